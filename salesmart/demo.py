@@ -6,10 +6,11 @@ The driver ships TPC-H-like tables, not retail sales records. ``sales_view`` map
 API would send. Both scale with ``lineitem``.
 
 Join strategy: ``lineitem`` is the only large side. ``part`` and ``supplier`` grow with
-the data too, so no hint is given; adaptive execution broadcasts them only when their
-runtime size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise keeps a
-sort-merge join. ``nation`` and ``region`` are joined to ``supplier`` first, so the
-lineitem side meets a single supplier-geography frame.
+the data too, so no hint is given: the planner broadcasts a side only when its size is
+under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise plans a sort-merge join.
+Every dimension is joined straight onto lineitem so each build side is a base table with
+a known size (a pre-joined supplier-nation-region frame gets a product-of-sizes estimate
+and would force a shuffle of lineitem).
 """
 
 from __future__ import annotations
@@ -49,10 +50,13 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-                   .join(region, nation.n_regionkey == region.r_regionkey))
-    return (li.join(part, li.l_partkey == part.p_partkey)
-              .join(geo, li.l_suppkey == geo.s_suppkey))
+    # Each dimension joins the growing lineitem side directly, so every join's build side is
+    # a base table whose size the planner knows: small ones are broadcast without shuffling
+    # lineitem, large ones (part and supplier at scale) stay sort-merge joins.
+    return (li.join(supplier, li.l_suppkey == supplier.s_suppkey)
+              .join(nation, F.col("s_nationkey") == nation.n_nationkey)
+              .join(region, F.col("n_regionkey") == region.r_regionkey)
+              .join(part, li.l_partkey == part.p_partkey))
 
 
 def _money(base: int) -> F.Column:

@@ -7,6 +7,8 @@ rounds half away from zero once, at the requested scale.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,6 +61,15 @@ def percent(part: Column, whole: Column, scale: int = 4) -> Column:
                      T.DecimalType(20, scale))
 
 
+INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
+
+
+def text_to_long(c: Column) -> Column:
+    """Integer text to long; anything else (or out of range) is null. The regex test runs
+    first so failing text never reaches the cast's slow error path."""
+    return F.when(c.rlike(INTEGER_PATTERN), F.trim(c).try_cast("long"))
+
+
 def is_number_text(c: Column) -> Column:
     """True when the text is a finite decimal number (no 'NaN', 'inf' or suffixes)."""
     return c.rlike(NUMBER_PATTERN)
@@ -79,3 +90,65 @@ def int_via_float(c: Column, to: str = "int") -> Column:
 def fixed_scale(c: Column, scale: int = 4) -> Column:
     """A double shown at a fixed scale, as decimal(38, scale) (half up)."""
     return c.cast(T.DecimalType(38, scale))
+
+
+# --- fixed-point arithmetic on longs -------------------------------------------------------
+#
+# A decimal with scale s is carried as its unscaled long (value * 10^s). Sums, products and
+# the half-up quotient stay in 64-bit integer arithmetic (no BigDecimal per operation);
+# overflow yields null through the try_ operators, and callers fall back to the wide
+# decimal path where a value could legitimately exceed a long.
+
+def to_units(c: Column, scale: int) -> Column:
+    """Unscaled long of a decimal (or integer) column at ``scale``; null on overflow."""
+    return (c.cast(T.DecimalType(38, scale)) * F.lit(10 ** scale)).try_cast("long")
+
+
+def units_mul(a: Column, b: Column) -> Column:
+    return F.try_multiply(a, b)
+
+
+def units_half_up_div(n: Column, d: Column) -> Column:
+    """round_half_away_from_zero(n / d) on longs; null when d is 0 or null.
+
+    Needs |n|, |d| < 2^61 (callers bound their inputs). The sign of ``d`` is folded into
+    ``n`` so one truncating division does the rounding: (2n +/- d) div 2d. The expression
+    is kept small on purpose: generated methods past 8 KB of bytecode are not JIT-compiled.
+    """
+    num = F.when(d < 0, -n).otherwise(n)
+    den = F.abs(d)
+    q = F.call_function("div", num * 2 + F.when(num < 0, -den).otherwise(den), den * 2)
+    return F.when(den != 0, q)
+
+
+def units_to_decimal(u: Column, out_type: T.DecimalType) -> Column:
+    """Unscaled long (at ``out_type.scale``) back to a decimal; null when it does not fit."""
+    scale = out_type.scale
+    wide = u.cast(T.DecimalType(18, 0))
+    value = wide * F.lit(Decimal(1).scaleb(-scale)).cast(T.DecimalType(scale + 1, scale)) \
+        if scale else wide
+    return F.when(F.abs(u) < F.lit(10 ** out_type.precision), value.cast(out_type))
+
+
+def round_div(num: Column, num_type: T.DecimalType, den: Column, den_type: T.DecimalType,
+              scale: int) -> Column | None:
+    """Exact ``round(num / den, scale)`` (half up) as one native decimal division, or None
+    when the types are too wide for it (use ``div_round`` then).
+
+    Spark rounds a decimal quotient to scale ``S = s1 + p2 + 1``. An exact quotient that is
+    not on a rounding boundary of ``scale`` lies at least 1/(2|d|) units away from it, where
+    |d| < 10^p2 is the divisor's unscaled value, and ``S >= scale + p2 + 1`` keeps Spark's
+    own rounding error (half a unit at S) below that gap. So the numerator is widened to
+    scale ``s1' >= scale`` (exact, it only pads zeros), and the single ``round`` then gives
+    the correctly rounded result. A zero divisor gives null.
+    """
+    p1, s1 = num_type.precision, num_type.scale
+    p2, s2 = den_type.precision, den_type.scale
+    s1w = max(s1, scale + max(0, s1 - s2 - scale))
+    int_digits = p1 - s1
+    result_scale = s1w + p2 + 1
+    if int_digits + s1w > 38 or int_digits + s2 + result_scale > 38:
+        return None
+    wide = num.cast(T.DecimalType(int_digits + s1w, s1w))
+    q = F.try_divide(wide, den.cast(den_type))
+    return F.round(q, scale)

@@ -13,9 +13,12 @@ before a later formula reads it:
 8. sale_liters   = round(bottle_volume_ml * sale_bottles / 1000, 2)
 9. liter_cost | liter_price | liter_profit = round(cost | revenue | profit / sale_liters, 2)
 
-Sums and products of decimals are exact; every quotient is formed from scaled integers
-and rounded once (``div_round``). A zero divisor, or a value beyond the declared
-precision, gives null. All of it is one projection.
+Sums and products of decimals are exact. Each quotient is one native decimal division
+whose numerator is first widened so that Spark's intermediate rounding is finer than the
+smallest gap between an exact quotient and a rounding boundary (``round_div``); the final
+``round`` is then the exact half-up result, never a double rounding. A zero divisor, or a
+value beyond the declared precision, gives null. Each step is a plain projection of
+compact expressions, so it stays in whole-stage codegen with JIT-sized methods.
 """
 
 from __future__ import annotations
@@ -26,44 +29,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.numeric import div_round
+from salesmart.functions.numeric import div_round, round_div
 from salesmart.schema import METRIC_COLUMNS, ML_PER_GALLON, ML_PER_LITER, MONEY, RATIO
 
+VOLUME = T.DecimalType(19, 0)       # bottle_volume_ml * sale_bottles: int * int fits 19 digits
 
-def _scale_of(text: str) -> int:
-    return -Decimal(text).as_tuple().exponent if "." in text else 0
 
+def _lit_type(text: str) -> T.DecimalType:
+    d = Decimal(text)
+    scale = max(0, -d.as_tuple().exponent)
+    digits = len(d.as_tuple().digits)
+    return T.DecimalType(max(digits, scale + 1), scale)
 
-def add_metrics(fact: DataFrame, ml_per_gallon: str = ML_PER_GALLON,
-                ml_per_liter: str = ML_PER_LITER) -> DataFrame:
-    price, cost, bottles = F.col("bottle_price"), F.col("bottle_cost"), F.col("sale_bottles")
-    volume = F.col("bottle_volume_ml").cast("long") * bottles.cast("long")
 
-    def money(c: Column) -> Column:
-        return c.try_cast(MONEY)
+def _ratio(num: Column, num_type: T.DecimalType, den: Column, den_type: T.DecimalType,
+           scale: int, out: T.DecimalType) -> Column:
+    exact = round_div(num, num_type, den, den_type, scale)
+    if exact is None:       # wider than one decimal division can hold: scaled integers
+        exact = div_round(num, num_type.scale, den, den_type.scale, scale)
+    return exact.try_cast(out)
+
 
-    gal_scale, lit_scale = _scale_of(ml_per_gallon), _scale_of(ml_per_liter)
-    gal = F.lit(Decimal(ml_per_gallon)).cast(T.DecimalType(38, gal_scale))
-    ltr = F.lit(Decimal(ml_per_liter)).cast(T.DecimalType(38, lit_scale))
+def add_metrics(fact: DataFrame, ml_per_gallon: str = ML_PER_GALLON,
+                ml_per_liter: str = ML_PER_LITER) -> DataFrame:
+    """Add the 13 metric columns (bottle_cost/bottle_price decimal(10,2), counts int)."""
+    price, cost = F.col("bottle_price").cast(MONEY), F.col("bottle_cost").cast(MONEY)
+    bottles = F.col("sale_bottles")
+    volume = (F.col("bottle_volume_ml").cast("long") * bottles.cast("long")).cast(VOLUME)
+    gal_t, ltr_t = _lit_type(ml_per_gallon), _lit_type(ml_per_liter)
+    gal = F.lit(Decimal(ml_per_gallon)).cast(gal_t)
+    ltr = F.lit(Decimal(ml_per_liter)).cast(ltr_t)
 
     step1 = fact.select(
         "*",
-        money(price - cost).alias("bottle_profit"),
-        money(price * bottles).alias("revenue"),
-        money((price - cost) * bottles).alias("profit"),
-        money(cost * bottles).alias("cost"),
-        div_round(volume, 0, gal, gal_scale, 2, MONEY).alias("sale_gallons"),
-        div_round(volume, 0, ltr, lit_scale, 2, MONEY).alias("sale_liters"))
+        (price - cost).try_cast(MONEY).alias("bottle_profit"),
+        (price * bottles).try_cast(MONEY).alias("revenue"),
+        ((price - cost) * bottles).try_cast(MONEY).alias("profit"),
+        (cost * bottles).try_cast(MONEY).alias("cost"),
+        _ratio(volume, VOLUME, gal, gal_t, 2, MONEY).alias("sale_gallons"),
+        _ratio(volume, VOLUME, ltr, ltr_t, 2, MONEY).alias("sale_liters"))
     rev, prof, tot = F.col("revenue"), F.col("profit"), F.col("cost")
     gallons, liters = F.col("sale_gallons"), F.col("sale_liters")
     step2 = step1.select(
         "*",
-        div_round(prof, 2, rev, 2, 4, RATIO).alias("margin"),
-        div_round(tot, 2, gallons, 2, 2, MONEY).alias("gallon_cost"),
-        div_round(rev, 2, gallons, 2, 2, MONEY).alias("gallon_price"),
-        div_round(prof, 2, gallons, 2, 2, MONEY).alias("gallon_profit"),
-        div_round(tot, 2, liters, 2, 2, MONEY).alias("liter_cost"),
-        div_round(rev, 2, liters, 2, 2, MONEY).alias("liter_price"),
-        div_round(prof, 2, liters, 2, 2, MONEY).alias("liter_profit"))
+        _ratio(prof, MONEY, rev, MONEY, 4, RATIO).alias("margin"),
+        _ratio(tot, MONEY, gallons, MONEY, 2, MONEY).alias("gallon_cost"),
+        _ratio(rev, MONEY, gallons, MONEY, 2, MONEY).alias("gallon_price"),
+        _ratio(prof, MONEY, gallons, MONEY, 2, MONEY).alias("gallon_profit"),
+        _ratio(tot, MONEY, liters, MONEY, 2, MONEY).alias("liter_cost"),
+        _ratio(rev, MONEY, liters, MONEY, 2, MONEY).alias("liter_price"),
+        _ratio(prof, MONEY, liters, MONEY, 2, MONEY).alias("liter_profit"))
     base = [c for c in fact.columns if c not in METRIC_COLUMNS]
     return step2.select(*base, *METRIC_COLUMNS)

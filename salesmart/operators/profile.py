@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.numeric import is_number_text, percent, to_double
+from salesmart.functions.numeric import is_number_text, percent, text_to_long, to_double
 from salesmart.schema import DIMENSION_COLUMNS, MEASURE_COLUMNS, NUMERIC_TYPES
 
 
@@ -66,7 +66,7 @@ def derive_placeholders(df: DataFrame, cols: Sequence[str] = DIMENSION_COLUMNS)
     """Placeholder per column: when every non-null value is an integer, '9' repeated by the
     most common digit count (the smaller count wins a tie); otherwise 'UNKNOWN'."""
     long = _as_text_long(df, cols)
-    as_int = F.col("value").try_cast("long")
+    as_int = text_to_long(F.col("value"))
     kind = (F.when(F.col("value").isNull(), F.lit(0))
              .when(as_int.isNotNull(), F.lit(1)).otherwise(F.lit(2)))
     digits = F.when(kind == 1, F.length(as_int.cast("string")))
