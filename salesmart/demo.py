@@ -103,7 +103,8 @@ def to_raw_text(sales: DataFrame) -> DataFrame:
     out = []
     for c in SALES_COLUMNS:
         if c == "date":
-            out.append(F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(c))
+            # a date's text plus a midnight time: 1998-12-01T00:00:00.000
+            out.append(F.concat(F.col(c).cast("string"), F.lit("T00:00:00.000")).alias(c))
         else:
             out.append(F.col(c).cast("string").alias(c))
     return sales.select(*out)

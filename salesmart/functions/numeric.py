@@ -67,7 +67,7 @@ INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 def text_to_long(c: Column) -> Column:
     """Integer text to long; anything else (or out of range) is null. The regex test runs
     first so failing text never reaches the cast's slow error path."""
-    return F.when(c.rlike(INTEGER_PATTERN), F.trim(c).try_cast("long"))
+    return F.when(c.rlike(INTEGER_PATTERN), c.try_cast("long"))
 
 
 def is_number_text(c: Column) -> Column:
@@ -76,15 +76,15 @@ def is_number_text(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
-    """Loose text to double: null unless the text is a finite number."""
-    return F.when(is_number_text(c), F.trim(c).try_cast("double"))
+    """Loose text to double: null unless the text is a finite number. (The string cast trims
+    surrounding blanks itself.)"""
+    return F.when(is_number_text(c), c.try_cast("double"))
 
 
 def int_via_float(c: Column, to: str = "int") -> Column:
-    """Text to int through a float: '12.0' -> 12, '12.7' -> 12, '-12.7' -> -12, junk -> null."""
-    d = to_double(c)
-    truncated = F.when(d >= 0, F.floor(d)).otherwise(F.ceil(d))
-    return truncated.try_cast(to)
+    """Text to int through a float: '12.0' -> 12, '12.7' -> 12, '-12.7' -> -12, junk -> null.
+    A double-to-int cast truncates toward zero, as Python's int(float(x)) does."""
+    return F.when(is_number_text(c), c.try_cast("double").try_cast(to))
 
 
 def fixed_scale(c: Column, scale: int = 4) -> Column:

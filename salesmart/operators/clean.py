@@ -53,7 +53,7 @@ def cast_by_map(df: DataFrame, type_map: Mapping[str, str] = NUMERIC_TYPES,
         col = F.col(c)
         if kind == "int":
             return int_via_float(col, "int")
-        return F.when(is_number_text(col), F.trim(col).try_cast(float_type))
+        return F.when(is_number_text(col), col.try_cast(float_type))
     casts = {c: conv(c, k).alias(c) for c, k in type_map.items() if c in df.columns}
     return df.select(*[casts.get(c, F.col(c)) for c in df.columns])
 

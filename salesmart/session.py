@@ -17,6 +17,10 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT methods over 8000 bytes of bytecode; above this limit Spark
+    # falls back from whole-stage codegen to per-operator code with split methods, which
+    # stays compiled (recommended for HotSpot in the Spark configuration docs).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

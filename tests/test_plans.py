@@ -32,10 +32,12 @@ def test_adapter_prunes_columns_and_does_not_shuffle_lineitem(spark):
     assert "SortMergeJoin" not in initial.split("\n\n")[0]
 
 
-def test_dedupe_and_latest_are_partial_aggregates(spark):
+def test_dedupe_and_latest_reduce_before_the_shuffle(spark):
     sales = demo.sales_view(spark, SF_SMALL)
-    for df in (first_per_key(sales), dim_stores(sales)):
-        p = plan(df)
-        assert "Window" not in p
-        # a partial aggregate runs before the exchange
-        assert p.count("Aggregate") >= 2 and "Exchange" in p
+    # first row per key: a partial group limit runs before the exchange
+    p = plan(first_per_key(sales))
+    assert "WindowGroupLimit" in p and "Partial" in p
+    assert p.index("Partial") > p.index("Exchange")      # listed below it = runs before it
+    # latest row per store: a partial aggregate runs before the exchange
+    p = plan(dim_stores(sales))
+    assert "Window" not in p and p.count("Aggregate") >= 2 and "Exchange" in p
