@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.dates import parse_api_date
-from salesmart.functions.numeric import NUMBER_PATTERN, int_via_float, is_number_text
+from salesmart.functions.numeric import (INTEGER_PATTERN, NUMBER_PATTERN, int_via_float,
+                                         is_number_text)
 from salesmart.schema import (MEASURE_COLUMNS, MONEY, NUMERIC_TYPES, PLACEHOLDERS, SALES_COLUMNS,
                               SALES_SCHEMA)
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
 
@@ -85,7 +87,11 @@ def conform(df: DataFrame, schema: T.StructType = SALES_SCHEMA,
         elif isinstance(f.dataType, T.StringType):
             typed = src.cast("string")
         else:
-            typed = src.cast("string").try_cast(f.dataType)
+            # a failing try_cast on text is very slow (an exception per value), so text that
+            # cannot be a number never reaches it
+            text = src.cast("string")
+            pattern = INTEGER_PATTERN if isinstance(f.dataType, _INTEGRAL) else NUMBER_PATTERN
+            typed = F.when(text.rlike(pattern), text.try_cast(f.dataType))
         out.append(typed.alias(f.name))
         bad.append(src.isNotNull() & typed.isNull())
     if reject_col:

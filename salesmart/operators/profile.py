@@ -1,9 +1,10 @@
 """Profiling: duplicates, missing values, placeholder and type inference, describe.
 
-Whole-table statistics are single aggregation passes. Per-column statistics unpivot the
-columns into (column_name, value) rows and aggregate by column name; the aggregate's map
-side collapses the expanded rows before any shuffle, so the shuffle carries a few rows per
-column per task whatever the table size.
+Whole-table and per-column statistics are single global aggregation passes: every column
+gets its own aggregate buffers (no row expansion, no grouping by column name), each task
+aggregates its split and only one partial row per task is merged. The one-row result is
+then reshaped into one row per column. Buffers are bounded: counts, flags, a mode over at
+most 20 digit counts, and (for exact quartiles) one count per distinct value.
 """
 
 from __future__ import annotations
@@ -14,16 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.numeric import is_number_text, percent, text_to_long, to_double
+from salesmart.functions.numeric import div_round, percent, text_to_long, to_double
 from salesmart.schema import DIMENSION_COLUMNS, MEASURE_COLUMNS, NUMERIC_TYPES
 
 
-def _as_text_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column_name, value) rows with every value as text; nulls kept."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in cols]) \
-             .unpivot([], list(cols), "column_name", "value")
-
-
 # --- P1 / P2 / P3: duplicates -------------------------------------------------------------
 
 def duplicate_stats(df: DataFrame) -> DataFrame:
@@ -62,22 +57,34 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 # --- P5: placeholders -------------------------------------------------------------------
 
+def _per_column(row: DataFrame, fields: dict[str, list[tuple[str, Column]]]) -> DataFrame:
+    """Reshape a one-row aggregate into one row per column: ``fields`` maps a column name to
+    (output name, expression over the aggregate row) pairs."""
+    items = [F.struct(F.lit(c).alias("column_name"), *[e.alias(n) for n, e in exprs])
+             for c, exprs in fields.items()]
+    return row.select(F.inline(F.array(*items)))
+
+
+def _agg_name(c: str, what: str) -> str:
+    return f"__{what}__{c}"
+
+
 def derive_placeholders(df: DataFrame, cols: Sequence[str] = DIMENSION_COLUMNS) -> DataFrame:
     """Placeholder per column: when every non-null value is an integer, '9' repeated by the
     most common digit count (the smaller count wins a tie); otherwise 'UNKNOWN'."""
-    long = _as_text_long(df, cols)
-    as_int = text_to_long(F.col("value"))
-    kind = (F.when(F.col("value").isNull(), F.lit(0))
-             .when(as_int.isNotNull(), F.lit(1)).otherwise(F.lit(2)))
-    digits = F.when(kind == 1, F.length(as_int.cast("string")))
-    per = (long.select("column_name", kind.alias("kind"), digits.alias("digits"))
-               .groupBy("column_name", "kind", "digits").agg(F.count(F.lit(1)).alias("n")))
-    best = F.max(F.when(F.col("kind") == 1, F.struct(F.col("n"), (-F.col("digits")).alias("neg"))))
-    summary = per.groupBy("column_name").agg(
-        F.sum(F.when(F.col("kind") == 2, F.col("n"))).alias("bad"), best.alias("best"))
-    placeholder = (F.when(F.col("bad").isNotNull() | F.col("best").isNull(), F.lit("UNKNOWN"))
-                    .otherwise(F.repeat(F.lit("9"), -F.col("best.neg"))))
-    return summary.select("column_name", placeholder.alias("placeholder"))
+    aggs = []
+    for c in cols:
+        v = F.col(c).cast("string")
+        as_int = text_to_long(v)
+        aggs.append(F.count_if(v.isNotNull() & as_int.isNull()).alias(_agg_name(c, "bad")))
+        aggs.append(F.mode(F.length(as_int.cast("string")), True).alias(_agg_name(c, "mode")))
+    row = df.agg(*aggs)
+    fields = {}
+    for c in cols:
+        bad, mode = F.col(_agg_name(c, "bad")), F.col(_agg_name(c, "mode"))
+        fields[c] = [("placeholder", F.when((bad > 0) | mode.isNull(), F.lit("UNKNOWN"))
+                      .otherwise(F.repeat(F.lit("9"), mode)))]
+    return _per_column(row, fields)
 
 
 # --- P6 / P7: type checks -----------------------------------------------------------------
@@ -96,14 +103,16 @@ def infer_numeric_types(df: DataFrame, exclude: Sequence[str] = ("date",)) -> Da
     """
     cols = [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name not in exclude]
-    long = df.select(*cols).unpivot([], cols, "column_name", "value")
-    numeric = F.col("value").isNotNull() & is_number_text(F.col("value"))
-    whole = F.coalesce(to_double(F.col("value")) % 1 == 0, F.lit(False))
-    per = long.groupBy("column_name").agg(F.bool_and(numeric).alias("numeric"),
-                                          F.bool_and(whole).alias("whole"))
-    return (per.filter(F.col("numeric"))
-               .select("column_name",
-                       F.when(F.col("whole"), F.lit("int")).otherwise(F.lit("float")).alias("dtype")))
+    aggs = []
+    for c in cols:
+        number = to_double(F.col(c))
+        aggs.append(F.coalesce(F.bool_and(number.isNotNull()), F.lit(False)).alias(_agg_name(c, "num")))
+        aggs.append(F.bool_and(F.coalesce(number % 1 == 0, F.lit(False))).alias(_agg_name(c, "whole")))
+    row = df.agg(*aggs)
+    fields = {c: [("numeric", F.col(_agg_name(c, "num"))),
+                  ("dtype", F.when(F.col(_agg_name(c, "whole")), F.lit("int")).otherwise(F.lit("float")))]
+              for c in cols}
+    return _per_column(row, fields).filter(F.col("numeric")).select("column_name", "dtype")
 
 
 def to_numeric(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS,
@@ -121,28 +130,32 @@ def to_numeric(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS,
 def describe(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS, scale: int = 4) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
-    Mean, quartiles and std are shown at ``scale`` decimals. Exact quartiles keep one count
-    per distinct value per column in the aggregation buffer (merged map-side), so memory
-    follows the number of distinct values, not rows.
+    Mean, quartiles and std are shown at ``scale`` decimals; the mean is the exact sum over
+    the count, rounded once. Exact quartiles keep one count per distinct value per column
+    in the aggregation buffer (merged map-side), so memory follows the number of distinct
+    values, not rows.
     """
     common = T.DecimalType(38, 6)
-    long = df.select(*[F.col(c).cast(common).alias(c) for c in cols]) \
-             .unpivot([], list(cols), "column_name", "value").filter(F.col("value").isNotNull())
     out = T.DecimalType(38, scale)
-    q = F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    agg = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("value").alias("_mean"),
-        F.stddev_samp(F.col("value").cast("double")).alias("_std"),
-        F.min("value").alias("_min"),
-        q.alias("_q"),
-        F.max("value").alias("_max"))
-    return agg.select(
-        "column_name", "count",
-        F.col("_mean").cast(out).alias("mean"), F.col("_std").cast(out).alias("std"),
-        F.col("_min").cast(out).alias("min"),
-        F.col("_q")[0].cast(out).alias("p25"), F.col("_q")[1].cast(out).alias("p50"),
-        F.col("_q")[2].cast(out).alias("p75"), F.col("_max").cast(out).alias("max"))
+    aggs = []
+    for c in cols:
+        v = F.col(c).cast(common)
+        aggs += [F.count(v).alias(_agg_name(c, "n")), F.sum(v).alias(_agg_name(c, "sum")),
+                 F.stddev_samp(v.cast("double")).alias(_agg_name(c, "std")),
+                 F.min(v).alias(_agg_name(c, "min")), F.max(v).alias(_agg_name(c, "max")),
+                 F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(_agg_name(c, "q"))]
+    row = df.agg(*aggs)
+    fields = {}
+    for c in cols:
+        n, q = F.col(_agg_name(c, "n")), F.col(_agg_name(c, "q"))
+        fields[c] = [
+            ("count", n),
+            ("mean", div_round(F.col(_agg_name(c, "sum")), 6, n, 0, scale, out)),
+            ("std", F.col(_agg_name(c, "std")).cast(out)),
+            ("min", F.col(_agg_name(c, "min")).cast(out)),
+            ("p25", q[0].cast(out)), ("p50", q[1].cast(out)), ("p75", q[2].cast(out)),
+            ("max", F.col(_agg_name(c, "max")).cast(out))]
+    return _per_column(row, fields).filter(F.col("count") > 0)
 
 
 def pct_where(df: DataFrame, cond: Column, name: str = "pct") -> DataFrame:

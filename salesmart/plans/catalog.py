@@ -132,9 +132,7 @@ def q_skipped_duplicates(spark, sf):
 def q_load_layers(spark, sf):
     base = scratch_path(spark, "layers")
     layers = qa.create_layers(spark, base)
-    batch_path = f"{base}/batch"
-    clean(spark, sf).write.parquet(batch_path)
-    return ld.load_layers(spark.read.parquet(batch_path), layers)
+    return ld.load_layers(clean(spark, sf), layers, scratch=f"{base}/batch")
 
 
 def _lookup_rows(raw_df: DataFrame) -> DataFrame:
