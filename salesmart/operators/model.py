@@ -66,11 +66,16 @@ def fact_transactions(sales: DataFrame) -> DataFrame:
 
 def write_fact(fact: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write the fact range-partitioned and sorted by date and invoice line, so date
-    predicates skip files and row groups by their min/max statistics."""
-    n = partitions or fact.sparkSession.sparkContext.defaultParallelism
-    (fact.repartitionByRange(n, "date")
-         .sortWithinPartitions("date", "invoice_line_id")
-         .write.mode("overwrite").parquet(path))
+    predicates skip files and row groups by their min/max statistics.
+
+    The range key includes the invoice line, so the sampled bounds can split a date that
+    holds a large share of all rows across several tasks and files. Without
+    ``partitions`` the count is ``spark.sql.shuffle.partitions`` (sized by the deployment
+    for its data volume), not the core count.
+    """
+    keys = ["date", "invoice_line_id"]
+    ranged = fact.repartitionByRange(partitions, *keys) if partitions else fact.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
 def build_model(sales: DataFrame, calendar_start: str | None = CALENDAR_START,

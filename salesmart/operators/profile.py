@@ -72,13 +72,19 @@ def _agg_name(c: str, what: str) -> str:
 def derive_placeholders(df: DataFrame, cols: Sequence[str] = DIMENSION_COLUMNS) -> DataFrame:
     """Placeholder per column: when every non-null value is an integer, '9' repeated by the
     most common digit count (the smaller count wins a tie); otherwise 'UNKNOWN'."""
-    aggs = []
+    # parse each value once: null for a null, -1 for non-integer text, else its digit count
+    parsed = []
     for c in cols:
         v = F.col(c).cast("string")
-        as_int = text_to_long(v)
-        aggs.append(F.count_if(v.isNotNull() & as_int.isNull()).alias(_agg_name(c, "bad")))
-        aggs.append(F.mode(F.length(as_int.cast("string")), True).alias(_agg_name(c, "mode")))
-    row = df.agg(*aggs)
+        parsed.append(F.when(v.isNotNull(), F.coalesce(F.length(text_to_long(v).cast("string")),
+                                                       F.lit(-1))).alias(c))
+    digits = df.select(*parsed)
+    aggs = []
+    for c in cols:
+        d = F.col(c)
+        aggs.append(F.count_if(d == -1).alias(_agg_name(c, "bad")))
+        aggs.append(F.mode(F.when(d > 0, d), True).alias(_agg_name(c, "mode")))
+    row = digits.agg(*aggs)
     fields = {}
     for c in cols:
         bad, mode = F.col(_agg_name(c, "bad")), F.col(_agg_name(c, "mode"))
@@ -103,12 +109,13 @@ def infer_numeric_types(df: DataFrame, exclude: Sequence[str] = ("date",)) -> Da
     """
     cols = [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name not in exclude]
+    numbers = df.select(*[to_double(F.col(c)).alias(c) for c in cols])   # parsed once
     aggs = []
     for c in cols:
-        number = to_double(F.col(c))
+        number = F.col(c)
         aggs.append(F.coalesce(F.bool_and(number.isNotNull()), F.lit(False)).alias(_agg_name(c, "num")))
         aggs.append(F.bool_and(F.coalesce(number % 1 == 0, F.lit(False))).alias(_agg_name(c, "whole")))
-    row = df.agg(*aggs)
+    row = numbers.agg(*aggs)
     fields = {c: [("numeric", F.col(_agg_name(c, "num"))),
                   ("dtype", F.when(F.col(_agg_name(c, "whole")), F.lit("int")).otherwise(F.lit("float")))]
               for c in cols}
