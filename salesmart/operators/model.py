@@ -7,7 +7,7 @@ still contributes one row per map task, and no task ever sorts a whole key group
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,18 +64,22 @@ def fact_transactions(sales: DataFrame) -> DataFrame:
                         F.col("state_bottle_retail").alias("bottle_price"), "sale_bottles")
 
 
-def write_fact(fact: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_fact(fact: DataFrame, path: str, partitions: int | None = None,
+               then: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write the fact range-partitioned and sorted by date and invoice line, so date
     predicates skip files and row groups by their min/max statistics.
 
     The range key includes the invoice line, so the sampled bounds can split a date that
     holds a large share of all rows across several tasks and files. Without
     ``partitions`` the count is ``spark.sql.shuffle.partitions`` (sized by the deployment
-    for its data volume), not the core count.
+    for its data volume), not the core count. ``then`` (for example the metrics) is a
+    row-wise projection applied after the sort: the range sampler then evaluates only the
+    plain fact columns, and the projection keeps the sort order.
     """
     keys = ["date", "invoice_line_id"]
     ranged = fact.repartitionByRange(partitions, *keys) if partitions else fact.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    ordered = ranged.sortWithinPartitions(*keys)
+    (then(ordered) if then else ordered).write.mode("overwrite").parquet(path)
 
 
 def build_model(sales: DataFrame, calendar_start: str | None = CALENDAR_START,
