@@ -42,13 +42,14 @@ def create_like(spark: SparkSession, source_path: str, path: str, fmt: str = "pa
     create_empty_table(spark, path, schema, fmt)
 
 
-def create_layers(spark: SparkSession, base: str, schema: T.StructType = SALES_SCHEMA,
-                  fmt: str = "parquet") -> dict[str, str]:
-    """Staging and integration sales tables (integration created LIKE staging)."""
+def create_layers(spark: SparkSession, base: str, schema: T.StructType = SALES_SCHEMA) -> dict[str, str]:
+    """Staging and integration sales layers with the same declared shape (integration is
+    created like staging), each partitioned by sale month."""
+    from salesmart.sources.layers import create_layer
     base = base.rstrip("/")
     paths = {"staging": f"{base}/stg/sales", "integration": f"{base}/int/sales"}
-    create_empty_table(spark, paths["staging"], schema, fmt)
-    create_like(spark, paths["staging"], paths["integration"], fmt)
+    for path in paths.values():
+        create_layer(spark, path, schema)
     return paths
 
 

@@ -41,3 +41,16 @@ def test_dedupe_and_latest_reduce_before_the_shuffle(spark):
     # latest row per store: a partial aggregate runs before the exchange
     p = plan(dim_stores(sales))
     assert "Window" not in p and p.count("Aggregate") >= 2 and "Exchange" in p
+
+
+def test_layer_month_slice_prunes_partitions(spark, tmp_dir):
+    from salesmart.operators.clean import clean_sales
+    from salesmart.sources.layers import append_to_layer, create_layer, layer_months, read_layer
+    path = f"{tmp_dir}/layer"
+    create_layer(spark, path)
+    append_to_layer(clean_sales(demo.raw_sales_view(spark, SF_SMALL)), path)
+    sliced = layer_months(read_layer(spark, path), [(1998, 12)])
+    p = plan(sliced)
+    assert "PartitionFilters: [isnotnull(sale_month" in p and "1998-12" in p
+    assert "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date,1998-12-01)" in p
+    assert sliced.count() == sliced.filter("date >= '1998-12-01' and date < '1999-01-01'").count() > 0
