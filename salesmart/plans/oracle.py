@@ -400,9 +400,11 @@ def build() -> dict[str, str]:
         "SELECT invoice_line_no, COUNT(*) AS n_rows FROM sales GROUP BY invoice_line_no HAVING COUNT(*) > 1")
     fy_lo, fy_hi = f"{q.DIM_FY - 1}-07-01", f"{q.DIM_FY}-07-01"
     earlier = f"(SELECT * FROM clean WHERE date >= DATE '{fy_lo}' AND date < DATE '{fy_hi}')"
+    retailer = (f"(SELECT * FROM (SELECT * REPLACE ({mix_name} AS name) FROM clean) "
+                f"WHERE lower(name) LIKE '%hy-vee%' OR name LIKE '%WALL TO WALL WINE AND SPIRITS%')")
     s["check_fk_store"] = with_("clean") + (
         f"SELECT store_id, COUNT(*) AS orphan_rows FROM ({FACT}) f WHERE store_id IS NOT NULL AND store_id NOT IN "
-        f"(SELECT store_id FROM ({dim_stores(earlier)})) GROUP BY store_id")
+        f"(SELECT store_id FROM ({dim_stores(retailer)})) GROUP BY store_id")
     s["check_fk_item"] = with_("clean") + (
         f"SELECT item_id, COUNT(*) AS orphan_rows FROM ({FACT}) f WHERE item_id IS NOT NULL AND item_id NOT IN "
         f"(SELECT item_id FROM ({dim_items(earlier)})) GROUP BY item_id")
