@@ -134,13 +134,15 @@ def to_numeric(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS,
 
 # --- P8 / P9 / P10: describe and measure checks ------------------------------------------
 
-def describe(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS, scale: int = 4) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS, scale: int = 4,
+             approx_accuracy: int | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
     Mean, quartiles and std are shown at ``scale`` decimals; the mean is the exact sum over
     the count, rounded once. Exact quartiles keep one count per distinct value per column
     in the aggregation buffer (merged map-side), so memory follows the number of distinct
-    values, not rows.
+    values, not rows. For columns with very many distinct values pass ``approx_accuracy``
+    to use a bounded-size quantile sketch instead (rank error about 1/accuracy).
     """
     common = T.DecimalType(38, 6)
     out = T.DecimalType(38, scale)
@@ -150,7 +152,9 @@ def describe(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS, scale: int =
         aggs += [F.count(v).alias(_agg_name(c, "n")), F.sum(v).alias(_agg_name(c, "sum")),
                  F.stddev_samp(v.cast("double")).alias(_agg_name(c, "std")),
                  F.min(v).alias(_agg_name(c, "min")), F.max(v).alias(_agg_name(c, "max")),
-                 F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(_agg_name(c, "q"))]
+                 (F.percentile_approx(v.cast("double"), [0.25, 0.5, 0.75], approx_accuracy)
+                  if approx_accuracy else
+                  F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).alias(_agg_name(c, "q"))]
     row = df.agg(*aggs)
     fields = {}
     for c in cols:

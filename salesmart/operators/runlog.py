@@ -59,9 +59,18 @@ def run_log_row(stats: DataFrame, start: dt.datetime, end: dt.datetime,
     return new_records(log).filter(F.col("_new")).drop("_new")
 
 
-def append_run_log(row: DataFrame, path: str) -> None:
-    row.select(*[f.name for f in RUN_LOG_SCHEMA.fields]).write.mode("append").parquet(path)
-
-
-def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+def append_run_log(row: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append log rows; ``fmt="csv"`` keeps a headered CSV log (each appended part file
+    carries its header, so readers see one table)."""
+    out = row.select(*[f.name for f in RUN_LOG_SCHEMA.fields]).coalesce(1).write.mode("append")
+    if fmt == "csv":
+        out.option("header", True).csv(path)
+    else:
+        out.format(fmt).save(path)
+
+
+def read_run_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    reader = spark.read.schema(RUN_LOG_SCHEMA)
+    if fmt == "csv":
+        return reader.option("header", True).csv(path)
+    return reader.format(fmt).load(path)

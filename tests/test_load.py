@@ -138,3 +138,30 @@ def test_first_per_key_prefers_earliest_date(spark):
     batch = frame(spark, [sales_row("A", dt.date(2024, 2, 1), name="LATE"),
                           sales_row("A", dt.date(2024, 1, 1), name="EARLY")])
     assert first_per_key(batch).first().name == "EARLY"
+
+
+def test_hot_key_with_distinct_rows(spark):
+    # a third of the batch shares one key but every row differs: one winner, the rest skipped
+    hot = [sales_row("HOT", dt.date(2024, 1, 1 + i % 28), bottles=1 + i) for i in range(400)]
+    rest = [sales_row(f"K{i}", dt.date(2024, 2, 1)) for i in range(800)]
+    batch = frame(spark, hot + rest)
+    empty = spark.createDataFrame([], SALES_SCHEMA)
+    inserted = {r.invoice_line_no: r for r in append_new(batch, empty).collect()}
+    assert len(inserted) == 801
+    assert (inserted["HOT"].date, inserted["HOT"].sale_bottles) == (dt.date(2024, 1, 1), 1)
+    skipped = skipped_rows(batch, empty)
+    assert skipped.agg(F.sum("copies")).first()[0] == 399
+    assert skipped.filter(F.col("invoice_line_no") != "HOT").count() == 0
+
+
+def test_run_log_as_csv(spark, tmp_dir):
+    from salesmart.operators.runlog import append_run_log, read_run_log, run_log_row, table_stats
+    stats = table_stats(frame(spark, [sales_row("A", dt.date(2024, 1, 1))]))
+    start = dt.datetime(2024, 3, 20, 22, 57, 44)
+    for k in range(2):
+        previous = read_run_log(spark, f"{tmp_dir}/log", "csv") if k else None
+        row = run_log_row(stats, start + dt.timedelta(days=k), start + dt.timedelta(days=k, seconds=5), previous)
+        append_run_log(row, f"{tmp_dir}/log", "csv")
+    log = read_run_log(spark, f"{tmp_dir}/log", "csv").orderBy("process_start_time").collect()
+    assert [(r.record_count, r.new_records_added, r.total_duration) for r in log] == \
+        [(1, 0, "00:00:05.000"), (1, 0, "00:00:05.000")]

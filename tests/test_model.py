@@ -113,3 +113,11 @@ def test_new_records(spark):
     log = spark.createDataFrame([(dt.datetime(2024, 1, 1), 100), (dt.datetime(2024, 2, 1), 130)],
                                 "process_start_time timestamp_ntz, record_count long")
     assert [r.new_records_added for r in new_records(log).orderBy("process_start_time").collect()] == [0, 30]
+
+
+def test_describe_approx_quartiles(spark):
+    df = spark.range(1, 1001).select(F.col("id").cast("int").alias("v"))
+    exact = describe(df, ["v"]).first()
+    approx = describe(df, ["v"], approx_accuracy=10000).first()
+    assert exact.p50 == Decimal("500.5000")
+    assert abs(approx.p50 - exact.p50) <= 1 and approx["count"] == 1000
