@@ -1,8 +1,12 @@
 """Exact numeric helpers: half-up division on decimals, loose number parsing, percents.
 
 Spark's decimal division rounds to its own result scale before a later ``round`` sees the
-value, so ``round(a / b, 2)`` can round twice. ``div_round`` divides scaled integers and
-rounds half away from zero once, at the requested scale.
+value, so a plain ``round(a / b, 2)`` can round twice. Two exact forms:
+
+* ``round_div`` widens the numerator so that Spark's own rounding step is too fine to
+  matter, then rounds once (one native decimal division; used per row);
+* ``div_round`` divides scaled wide integers and rounds half away from zero (any widths;
+  used on aggregates and as the fallback for very wide types).
 """
 
 from __future__ import annotations
@@ -87,49 +91,6 @@ def int_via_float(c: Column, to: str = "int") -> Column:
     return F.when(is_number_text(c), c.try_cast("double").try_cast(to))
 
 
-def fixed_scale(c: Column, scale: int = 4) -> Column:
-    """A double shown at a fixed scale, as decimal(38, scale) (half up)."""
-    return c.cast(T.DecimalType(38, scale))
-
-
-# --- fixed-point arithmetic on longs -------------------------------------------------------
-#
-# A decimal with scale s is carried as its unscaled long (value * 10^s). Sums, products and
-# the half-up quotient stay in 64-bit integer arithmetic (no BigDecimal per operation);
-# overflow yields null through the try_ operators, and callers fall back to the wide
-# decimal path where a value could legitimately exceed a long.
-
-def to_units(c: Column, scale: int) -> Column:
-    """Unscaled long of a decimal (or integer) column at ``scale``; null on overflow."""
-    return (c.cast(T.DecimalType(38, scale)) * F.lit(10 ** scale)).try_cast("long")
-
-
-def units_mul(a: Column, b: Column) -> Column:
-    return F.try_multiply(a, b)
-
-
-def units_half_up_div(n: Column, d: Column) -> Column:
-    """round_half_away_from_zero(n / d) on longs; null when d is 0 or null.
-
-    Needs |n|, |d| < 2^61 (callers bound their inputs). The sign of ``d`` is folded into
-    ``n`` so one truncating division does the rounding: (2n +/- d) div 2d. The expression
-    is kept small on purpose: generated methods past 8 KB of bytecode are not JIT-compiled.
-    """
-    num = F.when(d < 0, -n).otherwise(n)
-    den = F.abs(d)
-    q = F.call_function("div", num * 2 + F.when(num < 0, -den).otherwise(den), den * 2)
-    return F.when(den != 0, q)
-
-
-def units_to_decimal(u: Column, out_type: T.DecimalType) -> Column:
-    """Unscaled long (at ``out_type.scale``) back to a decimal; null when it does not fit."""
-    scale = out_type.scale
-    wide = u.cast(T.DecimalType(18, 0))
-    value = wide * F.lit(Decimal(1).scaleb(-scale)).cast(T.DecimalType(scale + 1, scale)) \
-        if scale else wide
-    return F.when(F.abs(u) < F.lit(10 ** out_type.precision), value.cast(out_type))
-
-
 def round_div(num: Column, num_type: T.DecimalType, den: Column, den_type: T.DecimalType,
               scale: int) -> Column | None:
     """Exact ``round(num / den, scale)`` (half up) as one native decimal division, or None
