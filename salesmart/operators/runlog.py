@@ -39,6 +39,11 @@ def format_duration(seconds: Column) -> Column:
     return F.format_string("%02d:%02d:%06.3f", hours.cast("long"), minutes.cast("long"), secs)
 
 
+def _wall_clock(t: dt.datetime) -> Column:
+    """A naive datetime as a timestamp without time zone (no session-zone shift)."""
+    return F.to_timestamp_ntz(F.lit(t.isoformat(sep=" ")))
+
+
 def run_log_row(stats: DataFrame, start: dt.datetime, end: dt.datetime,
                 previous: DataFrame | None = None) -> DataFrame:
     """One log row from table stats and run times; new records are counted against the
@@ -46,8 +51,8 @@ def run_log_row(stats: DataFrame, start: dt.datetime, end: dt.datetime,
     seconds = F.lit((end - start).total_seconds()).cast(T.DecimalType(20, 6))
     row = stats.select(
         F.lit(end.date()).alias("execution_date"),
-        F.lit(start).cast(T.TimestampNTZType()).alias("process_start_time"),
-        F.lit(end).cast(T.TimestampNTZType()).alias("process_end_time"),
+        _wall_clock(start).alias("process_start_time"),
+        _wall_clock(end).alias("process_end_time"),
         format_duration(seconds).alias("total_duration"),
         "data_start_date", "data_end_date",
         F.col("record_count").cast("long").alias("record_count"),
