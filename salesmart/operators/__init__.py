@@ -20,7 +20,7 @@ from salesmart.operators.profile import (derive_placeholders, describe, distinct
                                          distinct_values, drop_full_duplicates, duplicate_stats,
                                          filter_contains, infer_numeric_types, is_date_castable,
                                          key_collision_count, missing_values, pct_where, preview,
-                                         sample_n, shape, to_numeric)
+                                         profile_raw, sample_n, shape, to_numeric)
 from salesmart.operators.quality import (apply_defaults, check_fk, check_not_null, check_unique,
                                          create_layers, create_like, reset_model, replace_column,
                                          schema_report, update_from)

@@ -209,3 +209,53 @@ def sample_n(df: DataFrame, n: int = 100, seed: int = 42) -> DataFrame:
 
 def distinct_sorted(df: DataFrame, cols: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     return df.select(*cols).distinct().orderBy(*(order or cols))
+
+
+# --- one pass over raw records --------------------------------------------------------------
+
+def profile_raw(raw: DataFrame, dims: Sequence[str] = DIMENSION_COLUMNS,
+                placeholders: Mapping[str, object] | None = None,
+                exclude: Sequence[str] = ("date",)) -> dict[str, DataFrame]:
+    """Missing values, placeholder derivation and numeric type inference of raw text
+    records from a single scan (the same results as the three operators run separately;
+    numeric types are inferred after placeholder filling, as in the cleaning order).
+
+    The aggregate is one row with a few values per column, so it is brought to the driver
+    and reshaped there into three small frames.
+    """
+    from salesmart.schema import PLACEHOLDERS
+    placeholders = PLACEHOLDERS if placeholders is None else placeholders
+    spark = raw.sparkSession
+    text_cols = [f.name for f in raw.schema.fields if isinstance(f.dataType, T.StringType)]
+    typed = [c for c in text_cols if c not in exclude]
+    parsed = [F.col(c).isNull().alias(f"n_{i}") for i, c in enumerate(raw.columns)]
+    for i, c in enumerate(dims):
+        v = F.col(c).cast("string")
+        parsed.append(F.when(v.isNotNull(), F.coalesce(F.length(text_to_long(v).cast("string")),
+                                                       F.lit(-1))).alias(f"d_{i}"))
+    for i, c in enumerate(typed):
+        filled = F.coalesce(F.col(c), F.lit(str(placeholders[c]))) if c in placeholders else F.col(c)
+        parsed.append(to_double(filled).alias(f"x_{i}"))
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs += [F.count_if(F.col(f"n_{i}")).alias(f"nulls_{i}") for i in range(len(raw.columns))]
+    for i in range(len(dims)):
+        d = F.col(f"d_{i}")
+        aggs += [F.count_if(d == -1).alias(f"bad_{i}"), F.mode(F.when(d > 0, d), True).alias(f"mode_{i}")]
+    for i in range(len(typed)):
+        x = F.col(f"x_{i}")
+        aggs += [F.coalesce(F.bool_and(x.isNotNull()), F.lit(False)).alias(f"num_{i}"),
+                 F.bool_and(F.coalesce(x % 1 == 0, F.lit(False))).alias(f"whole_{i}")]
+    row = raw.select(*parsed).agg(*aggs).first()
+
+    missing = spark.createDataFrame(
+        [(c, row[f"nulls_{i}"], row["rows"]) for i, c in enumerate(raw.columns) if row[f"nulls_{i}"]],
+        "column_name string, missing_values long, rows long")
+    missing = missing.select("column_name", "missing_values",
+                             percent(F.col("missing_values"), F.col("rows")).alias("pct_of_total"))
+    holders = spark.createDataFrame(
+        [(c, "UNKNOWN" if row[f"bad_{i}"] or row[f"mode_{i}"] is None else "9" * row[f"mode_{i}"])
+         for i, c in enumerate(dims)], "column_name string, placeholder string")
+    types = spark.createDataFrame(
+        [(c, "int" if row[f"whole_{i}"] else "float") for i, c in enumerate(typed) if row[f"num_{i}"]],
+        "column_name string, dtype string")
+    return {"missing_values": missing, "placeholders": holders, "numeric_types": types}

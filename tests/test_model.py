@@ -121,3 +121,19 @@ def test_describe_approx_quartiles(spark):
     approx = describe(df, ["v"], approx_accuracy=10000).first()
     assert exact.p50 == Decimal("500.5000")
     assert abs(approx.p50 - exact.p50) <= 1 and approx["count"] == 1000
+
+
+def test_profile_raw_equals_the_separate_operators(spark):
+    from salesmart import demo
+    from salesmart.operators.clean import fill_placeholders
+    from salesmart.operators.profile import profile_raw
+    from tests.conftest import SF_SMALL
+    raw = demo.raw_sales_view(spark, SF_SMALL)
+    one = profile_raw(raw)
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+    assert rows(one["missing_values"]) == rows(missing_values(raw))
+    assert rows(one["placeholders"]) == rows(derive_placeholders(raw))
+    assert rows(one["numeric_types"]) == rows(infer_numeric_types(fill_placeholders(raw)))
+    assert dict(rows(one["placeholders"]))["zipcode"] == "99999"
