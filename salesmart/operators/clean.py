@@ -114,5 +114,42 @@ def clean_sales(raw: DataFrame, placeholders: Mapping[str, object] = PLACEHOLDER
                           for f in SALES_SCHEMA.fields if f.name in SALES_COLUMNS])
 
 
-__all__ = ["fill_placeholders", "normalize_date", "cast_by_map", "filter_positive",
+def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLACEHOLDERS,
+                       type_map: Mapping[str, str] = NUMERIC_TYPES) -> DataFrame:
+    """Typed sales columns plus ``reject_reason`` and ``raw_record`` in one projection.
+
+    ``reject_reason`` names the first problem of a record the cleaning cannot type (a
+    missing or unparseable date, a missing measure, a number that does not convert) and is
+    null otherwise; ``raw_record`` keeps such a record's text as JSON (null for good rows,
+    so it costs nothing there). Rows that merely fail the positive-measure filter are not
+    rejects. Writing this once lets a load split rejects and clean rows without parsing
+    the raw records twice.
+    """
+    filled = fill_placeholders(raw, placeholders)
+    typed = {f.name: F.col(f.name) for f in SALES_SCHEMA.fields}
+    typed["date"] = parse_api_date(F.col("date"))
+    checks = [(F.col("date").isNull(), "missing date"), (typed["date"].isNull(), "unparseable date")]
+    for c, kind in type_map.items():
+        if c not in raw.columns:
+            continue
+        text = F.col(c)
+        typed[c] = int_via_float(text, "int") if kind == "int" else \
+            F.when(is_number_text(text), text.try_cast(MONEY))
+        checks += [(text.isNull(), f"missing {c}"), (typed[c].isNull(), f"bad {c}")]
+    reason = None
+    for cond, label in checks:
+        reason = F.when(cond, F.lit(label)) if reason is None else reason.when(cond, F.lit(label))
+    record = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
+    return filled.select(*[typed[f.name].cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields],
+                         reason.alias("reject_reason"),
+                         F.when(reason.isNotNull(), record).alias("raw_record"))
+
+
+def rejected_rows(raw: DataFrame, **kw) -> DataFrame:
+    """Records the cleaning cannot type: (invoice_line_no, reject_reason, raw_record)."""
+    return (typed_with_rejects(raw, **kw).filter(F.col("reject_reason").isNotNull())
+            .select("invoice_line_no", "reject_reason", "raw_record"))
+
+
+__all__ = ["rejected_rows", "fill_placeholders", "normalize_date", "cast_by_map", "filter_positive",
            "filter_non_negative", "conform", "clean_sales", "MEASURE_COLUMNS"]

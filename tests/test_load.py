@@ -165,3 +165,19 @@ def test_run_log_as_csv(spark, tmp_dir):
     log = read_run_log(spark, f"{tmp_dir}/log", "csv").orderBy("process_start_time").collect()
     assert [(r.record_count, r.new_records_added, r.total_duration) for r in log] == \
         [(1, 0, "00:00:05.000"), (1, 0, "00:00:05.000")]
+
+
+def test_rejected_rows(spark):
+    from salesmart.operators.clean import rejected_rows
+    cols = ", ".join(f"{c} string" for c in SALES_COLUMNS)
+    good = ["A", "2024-01-02T00:00:00.000", "1", "N", "AD", "C", "50010", "CO", "1011100", "W", "3",
+            "V", "12", "I", "750", "3.50", "5.25", "2"]
+    bad_date = list(good); bad_date[0], bad_date[1] = "B", "not a date"
+    no_date = list(good); no_date[0], no_date[1] = "C", None
+    bad_num = list(good); bad_num[0], bad_num[14] = "D", "7.5ml"
+    no_cost = list(good); no_cost[0], no_cost[15] = "E", None
+    negative = list(good); negative[0], negative[17] = "F", "-3"
+    raw = spark.createDataFrame([tuple(r) for r in (good, bad_date, no_date, bad_num, no_cost, negative)], cols)
+    got = {r.invoice_line_no: r.reject_reason for r in rejected_rows(raw).collect()}
+    assert got == {"B": "unparseable date", "C": "missing date", "D": "bad bottle_volume_ml",
+                   "E": "missing state_bottle_cost"}
