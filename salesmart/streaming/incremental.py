@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from salesmart.operators.clean import clean_sales
+from pyspark.sql import functions as F
+
+from salesmart.operators.clean import clean_sales, rejected_rows
 from salesmart.operators.load import load_into
 from salesmart.operators.quality import create_empty_table
 from salesmart.schema import RAW_SALES_SCHEMA, SALES_KEY, SALES_SCHEMA
@@ -23,8 +25,10 @@ def start_incremental_stream(spark: SparkSession, landing_path: str, target_path
                              checkpoint_path: str, key: str = SALES_KEY,
                              order_cols: Sequence[str] | None = None,
                              max_files_per_trigger: int | None = None,
-                             available_now: bool = True) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what has landed and stops."""
+                             available_now: bool = True,
+                             rejects_path: str | None = None) -> StreamingQuery:
+    """Start the stream; with ``available_now`` it processes what has landed and stops.
+    With ``rejects_path`` the records that cannot be typed are appended there."""
     create_empty_table(spark, target_path, SALES_SCHEMA)
     reader = spark.readStream.schema(RAW_SALES_SCHEMA)
     if max_files_per_trigger:
@@ -32,6 +36,9 @@ def start_incremental_stream(spark: SparkSession, landing_path: str, target_path
     raw = reader.json(landing_path)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        if rejects_path:
+            rejected_rows(batch).withColumn("batch_id", F.lit(batch_id)) \
+                .write.mode("append").parquet(rejects_path)
         load_into(clean_sales(batch), target_path, key, order_cols)
 
     writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_path)

@@ -127,8 +127,10 @@ def test_stream_loads_new_files_only_once(spark, tmp_dir):
     land("m1.json", [rec("A", "2024-01-02T00:00:00.000"), rec("B", "2024-01-03T00:00:00.000")])
     target, ckpt = os.path.join(tmp_dir, "target"), os.path.join(tmp_dir, "ckpt")
     assert run_incremental_stream(spark, landing, target, ckpt).count() == 2
-    land("m2.json", [rec("A", "2024-02-01T00:00:00.000"), rec("C", "2024-02-02T00:00:00.000")])
-    out = run_incremental_stream(spark, landing, target, ckpt)
+    land("m2.json", [rec("A", "2024-02-01T00:00:00.000"), rec("C", "2024-02-02T00:00:00.000"),
+                     rec("D", "someday")])
+    out = run_incremental_stream(spark, landing, target, ckpt, rejects_path=os.path.join(tmp_dir, "rej"))
+    assert [r.invoice_line_no for r in spark.read.parquet(os.path.join(tmp_dir, "rej")).collect()] == ["D"]
     assert sorted((r.invoice_line_no, r.date.month) for r in out.collect()) == [("A", 1), ("B", 1), ("C", 2)]
     # a re-run with nothing new changes nothing
     assert run_incremental_stream(spark, landing, target, ckpt).count() == 3
