@@ -105,13 +105,18 @@ def conform(df: DataFrame, schema: T.StructType = SALES_SCHEMA,
 def clean_sales(raw: DataFrame, placeholders: Mapping[str, object] = PLACEHOLDERS,
                 type_map: Mapping[str, str] = NUMERIC_TYPES) -> DataFrame:
     """Raw text records to typed, valid sales: placeholders, date, numeric casts, then the
-    positive-measure filter. Full-row duplicates are kept; the load step resolves keys."""
+    positive-measure filter. Records that cannot be typed (see ``typed_with_rejects``) are
+    left out. Full-row duplicates are kept; the load step resolves keys."""
     typed = (raw.transform(lambda d: fill_placeholders(d, placeholders))
                 .transform(normalize_date)
-                .transform(lambda d: cast_by_map(d, type_map))
-                .transform(filter_positive))
-    return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                          for f in SALES_SCHEMA.fields if f.name in SALES_COLUMNS])
+                .transform(lambda d: cast_by_map(d, type_map)))
+    typable = F.col("date").isNotNull()
+    for c in type_map:
+        if c in raw.columns:
+            typable = typable & F.col(c).isNotNull()
+    return typed.filter(typable).transform(filter_positive).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields
+          if f.name in SALES_COLUMNS])
 
 
 def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLACEHOLDERS,

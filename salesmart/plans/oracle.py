@@ -142,8 +142,9 @@ TYPED = ("typed AS (SELECT " + ", ".join(
     f"{parse_date('date')} AS date" if c == "date" else _typed_col(c) for c in SALES_COLUMNS)
     + " FROM filled)")
 
-CLEAN = ("clean AS (SELECT * FROM typed WHERE COALESCE(state_bottle_cost > 0 AND "
-         "state_bottle_retail > 0 AND sale_bottles > 0, false))")
+CLEAN = ("clean AS (SELECT * FROM typed WHERE date IS NOT NULL AND "
+         + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC_TYPES)
+         + " AND COALESCE(state_bottle_cost > 0 AND state_bottle_retail > 0 AND sale_bottles > 0, false))")
 
 PRIORITY = ", ".join(f"{c} ASC NULLS FIRST" for c in ["date"] + [c for c in SALES_COLUMNS if c != "date"])
 

@@ -11,14 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
-
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from salesmart.operators.clean import clean_sales, rejected_rows
+from salesmart.operators.clean import filter_positive, typed_with_rejects
 from salesmart.operators.load import load_into
 from salesmart.operators.quality import create_empty_table
-from salesmart.schema import RAW_SALES_SCHEMA, SALES_KEY, SALES_SCHEMA
+from salesmart.schema import RAW_SALES_SCHEMA, SALES_COLUMNS, SALES_KEY, SALES_SCHEMA
 
 
 def start_incremental_stream(spark: SparkSession, landing_path: str, target_path: str,
@@ -36,10 +35,16 @@ def start_incremental_stream(spark: SparkSession, landing_path: str, target_path
     raw = reader.json(landing_path)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        # typed once per micro-batch, then split into rejects and rows to load
+        staged = typed_with_rejects(batch).persist()
         if rejects_path:
-            rejected_rows(batch).withColumn("batch_id", F.lit(batch_id)) \
-                .write.mode("append").parquet(rejects_path)
-        load_into(clean_sales(batch), target_path, key, order_cols)
+            (staged.filter(F.col("reject_reason").isNotNull())
+                   .select("invoice_line_no", "reject_reason", "raw_record",
+                           F.lit(batch_id).alias("batch_id"))
+                   .write.mode("append").parquet(rejects_path))
+        good = filter_positive(staged.filter(F.col("reject_reason").isNull()).select(*SALES_COLUMNS))
+        load_into(good, target_path, key, order_cols)
+        staged.unpersist()
 
     writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

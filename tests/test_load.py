@@ -183,3 +183,5 @@ def test_rejected_rows(spark):
     got = {r.invoice_line_no: r.reject_reason for r in rejected_rows(raw).collect()}
     assert got == {"B": "unparseable date", "C": "missing date", "D": "bad bottle_volume_ml",
                    "E": "missing state_bottle_cost"}
+    # the cleaning keeps only the typable record with positive measures
+    assert [r.invoice_line_no for r in clean_sales(raw).collect()] == ["A"]
