@@ -349,16 +349,15 @@ def build() -> dict[str, str]:
         "SELECT w.* FROM winners w WHERE NOT EXISTS "
         "(SELECT 1 FROM stored t WHERE t.invoice_line_no = w.invoice_line_no)")
     on = " AND ".join(f"c.{c} IS NOT DISTINCT FROM w.{c}" for c in SALES_COLUMNS)
+    kept = ("CASE WHEN invoice_line_no IS NOT NULL AND is_win AND NOT is_stored THEN 1 ELSE 0 END")
     s["skipped_duplicates"] = with_("winners", extra=(
         f"copies AS (SELECT {cols()}, COUNT(*) AS copies FROM batch GROUP BY ALL), "
         f"marked AS (SELECT {cols('c.')}, c.copies, "
         f"EXISTS (SELECT 1 FROM stored t WHERE t.invoice_line_no = c.invoice_line_no) AS is_stored, "
         f"w.invoice_line_no IS NOT NULL AS is_win FROM copies c LEFT JOIN winners w ON {on})")) + (
-        f"SELECT {cols()}, CAST(copies - CASE WHEN invoice_line_no IS NULL OR is_stored THEN 0 "
-        f"WHEN is_win THEN 1 ELSE 0 END AS BIGINT) AS copies, "
-        f"CASE WHEN invoice_line_no IS NULL THEN 'null key' WHEN is_stored THEN 'key already stored' "
-        f"ELSE 'duplicate key in batch' END AS reason FROM marked "
-        f"WHERE copies - CASE WHEN invoice_line_no IS NULL OR is_stored THEN 0 WHEN is_win THEN 1 ELSE 0 END > 0")
+        f"SELECT {cols()}, CAST(copies - {kept} AS BIGINT) AS copies, "
+        f"CASE WHEN invoice_line_no IS NULL THEN 'null key' WHEN is_win AND is_stored THEN 'key already stored' "
+        f"ELSE 'duplicate key in batch' END AS reason FROM marked WHERE copies - {kept} > 0")
     s["load_layers"] = with_("clean") + (
         "SELECT layer, CAST(0 AS BIGINT) AS rows_before, "
         "(SELECT COUNT(DISTINCT invoice_line_no) FROM clean) AS rows_after "

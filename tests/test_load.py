@@ -34,7 +34,7 @@ def test_key_twice_in_batch_and_once_stored(spark):
     assert [(r.invoice_line_no, r.date, r.sale_bottles) for r in inserted] == [("B", dt.date(2024, 2, 1), 9)]
     skipped = {(r.invoice_line_no, r.date, r.copies, r.reason) for r in skipped_rows(batch, stored).collect()}
     assert skipped == {("A", dt.date(2024, 2, 1), 1, "key already stored"),
-                       ("A", dt.date(2024, 2, 2), 1, "key already stored"),
+                       ("A", dt.date(2024, 2, 2), 1, "duplicate key in batch"),
                        ("B", dt.date(2024, 2, 3), 1, "duplicate key in batch")}
 
 
