@@ -137,3 +137,14 @@ def test_profile_raw_equals_the_separate_operators(spark):
     assert rows(one["placeholders"]) == rows(derive_placeholders(raw))
     assert rows(one["numeric_types"]) == rows(infer_numeric_types(fill_placeholders(raw)))
     assert dict(rows(one["placeholders"]))["zipcode"] == "99999"
+
+
+def test_update_from_with_a_hot_key(spark):
+    # a third of the rows share one key; results equal a plain join
+    rows = [(i, 7 if i % 3 == 0 else i, f"old{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "item_id int, category_code int, label string")
+    updates = spark.createDataFrame([(7, "hot"), (4, "four"), (99999, "none")],
+                                    "category_code int, label string")
+    got = {r.item_id: r.label for r in update_from(df, updates, "category_code", ["label"]).collect()}
+    assert len(got) == 3000
+    assert got[0] == got[3] == "hot" and got[4] == "four" and got[5] == "old5"

@@ -4,7 +4,7 @@ Usage: python tools/skew_check.py [sf_dir]
 
 Builds a skewed batch from the driver tables (every third row, by a hash of its invoice
 key, gets invoice key HOT and store 1), runs the first-row-per-key dedupe, the skipped-row
-report and the stores dimension, and reads Spark's event log (written to a scratch
+report, the stores dimension and a keyed update by store, and reads Spark's event log (written to a scratch
 folder) for the largest share of shuffle records read by a single task in each stage.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from salesmart.operators.load import append_new, skipped_rows  # noqa: E402
 from salesmart.operators.model import dim_stores  # noqa: E402
+from salesmart.operators.quality import update_from  # noqa: E402
 from salesmart.plans import catalog  # noqa: E402
 from salesmart.session import local_session  # noqa: E402
 
@@ -33,7 +34,8 @@ def main() -> None:
     spark = local_session(8, 16, extra={"spark.eventLog.enabled": "true",
                                         "spark.eventLog.dir": log_dir,
                                         "spark.eventLog.compress": "false",
-                                        "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+                                        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                        "spark.sql.adaptive.localShuffleReader.enabled": "false"})
     clean = catalog.clean(spark, sf)
     hot = F.abs(F.xxhash64("invoice_line_no")) % 3 == 0
     skewed = (clean.withColumn("invoice_line_no", F.when(hot, F.lit("HOT")).otherwise(F.col("invoice_line_no")))
@@ -45,6 +47,10 @@ def main() -> None:
         "first_per_key": lambda: append_new(skewed, empty).count(),
         "skipped_rows": lambda: skipped_rows(skewed, empty).agg(F.sum("copies")).first()[0],
         "dim_stores": lambda: dim_stores(skewed).count(),
+        "update_from": lambda: update_from(
+            skewed, dim_stores(skewed).select(F.col("store_id").alias("store"),
+                                              F.col("store_name").alias("name")),
+            "store", ["name"]).count(),
     }
     results = {}
     for name, fn in jobs.items():
