@@ -148,16 +148,17 @@ def train(texts: DataFrame, order: int = ORDER) -> DataFrame:
 class Table:
     """A shard of the model in sorted arrays: probabilities and back-off weights by order."""
 
-    def __init__(self, k: np.ndarray, code: np.ndarray, log_p: np.ndarray, log_backoff: np.ndarray):
+    def __init__(self, rows: pa.Table):
+        backoff, k, code, value = (rows.column(c).to_numpy() for c in ("backoff", "k", "code", "value"))
         self.probability, self.backoff = ({
-            order: self._sorted(code, value, (k == order) & ~np.isnan(value))
-            for order in np.unique(k).tolist()} for value in (log_p, log_backoff))
+            order: self._sorted(code, value, (k == order) & (backoff == kind))
+            for order in np.unique(k).tolist()} for kind in (False, True))
 
     @staticmethod
     def _sorted(code: np.ndarray, value: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(where)
         at = at[np.argsort(code[at])]
-        return code[at], value[at].astype(np.float32)
+        return code[at], value[at]
 
     @staticmethod
     def _find(table: dict, order: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,14 +193,19 @@ def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS) -> list:
     """The model as broadcast shards (``Table``) of at most ``shard_rows`` rows, unless one pair of
     context bytes alone has more."""
     spark = model.sparkSession
-    low = [tuple(r) for r in model.where("k <= 1").select("k", "code", "log_p", "log_backoff").collect()]
-    none = F.lit(None).cast("double")
-    high = model.where("k >= 2")
+    kind = F.lit(False).alias("backoff"), F.lit(True).alias("backoff")
+    probability = model.where("log_p is not null")
+    backoff = model.where("log_backoff is not null")
+
+    def rows(df, which, value, context):
+        return df.select(which, F.col("k").cast("byte").alias("k"), "code", F.col(value).cast("float").alias("value"),
+                         context.bitwiseAND(0xFFFF).alias("pair"))
+
     # an n-gram's own row goes by its context, its row as a context of the next order by itself
-    roles = stored(high.where("log_p is not null").select(
-        "k", "code", "log_p", none.alias("log_backoff"), F.shiftright("code", 8).bitwiseAND(0xFFFF).alias("pair")
-    ).union(high.where("log_backoff is not null").select(
-        "k", "code", none.alias("log_p"), "log_backoff", F.col("code").bitwiseAND(0xFFFF).alias("pair"))), "kn-roles")
+    both = rows(probability, kind[0], "log_p", F.shiftright("code", 8)).union(
+        rows(backoff, kind[1], "log_backoff", F.col("code")))
+    low = both.where("k <= 1").drop("pair").toArrow()                                   # at most 514 rows
+    roles = stored(both.where("k >= 2"), "kn-roles")
     pairs = np.array([tuple(r) for r in roles.groupBy("pair").count().collect()],       # at most 65,536 rows
                      dtype=np.int64).reshape(-1, 2)
     shards = max(1, -(-int(pairs[:, 1].sum()) // shard_rows))
@@ -207,10 +213,9 @@ def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS) -> list:
         shards += 1
     out = []
     for s in range(shards):
-        rows = roles.where(F.col("pair") % shards == s).drop("pair").toPandas()
-        out.append(spark.sparkContext.broadcast(Table(*(
-            np.concatenate([np.array([r[i] for r in low], dtype=t), rows[c].to_numpy(t)]) for i, (c, t) in enumerate(
-                (("k", np.int64), ("code", np.int64), ("log_p", np.float64), ("log_backoff", np.float64)))))))
+        mine = roles.where(F.col("pair") % shards == s).drop("pair").toArrow()
+        out.append(spark.sparkContext.broadcast(Table(pa.concat_tables([low, mine.cast(low.schema)]))))
+        del mine
     return out
 
 
