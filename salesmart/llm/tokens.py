@@ -16,8 +16,12 @@ import os
 from array import array
 from collections.abc import Iterable
 
-CACHE_ENTRIES = 1_000_000
+from salesmart.llm.buffers import pieces
+
+#: Chunks that a worker remembers (about 150 bytes each), and what it hands to the library at once.
+CACHE_ENTRIES = 700_000
 BATCH_CHARS = 1_000_000
+BATCH_TEXTS = 4_000
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
@@ -72,7 +76,7 @@ def _groups(texts: Iterable[str], chars: int = BATCH_CHARS) -> Iterable[list[str
     """Lists of texts of about ``chars`` characters; one longer text stands alone."""
     group, size = [], 0
     for t in texts:
-        if group and (size + len(t) > chars or len(group) >= 50_000):
+        if group and (size + len(t) > chars or len(group) >= BATCH_TEXTS):
             yield group
             group, size = [], 0
         group.append(t)
@@ -94,9 +98,5 @@ def encode_batches(batches, path: str, drops_space: bool):
     columns doc_id and text."""
     enc = encoder(path, drops_space)
     for batch in batches:
-        doc_ids = batch.column("doc_id").to_pylist()
-        texts = batch.column("text").to_pylist()
-        at = 0
-        for group in _groups(texts):
-            yield doc_ids[at:at + len(group)], enc.ids(group)
-            at += len(group)
+        for first, part in pieces(batch.column("text"), BATCH_CHARS):
+            yield batch.column("doc_id").slice(first, len(part)).to_pylist(), enc.ids(part.to_pylist())
