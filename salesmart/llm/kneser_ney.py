@@ -8,8 +8,8 @@ longer ones. Discounts, back-off weights and probabilities follow order by order
 those tables on the n-gram's context and on its suffix.
 
 Scoring joins texts with the finished table. The table is cut into shards by the last two context
-bytes, which every order of a lookup from the third on shares (the two lowest orders are short and
-go with every shard), so a shard answers its places alone. Each shard has at most ``SHARD_ROWS``
+bytes, which every order of a lookup from the third on shares (the lower orders are short and go with
+every shard), so a shard answers its places alone. Each shard has at most ``SHARD_ROWS``
 rows, the proven bound under which it is broadcast; a model with more rows is scored shard by shard, each
 pass adding its part to the rows. No text and no n-gram of a document is shuffled.
 
@@ -204,8 +204,10 @@ def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS) -> list:
     # an n-gram's own row goes by its context, its row as a context of the next order by itself
     both = rows(probability, kind[0], "log_p", F.shiftright("code", 8)).union(
         rows(backoff, kind[1], "log_backoff", F.col("code")))
-    low = both.where("k <= 1").drop("pair").toArrow()                                   # at most 514 rows
-    roles = stored(both.where("k >= 2"), "kn-roles")
+    # contexts of no and of one byte know no pair; these are at most 66,050 rows
+    short = (F.col("k") <= 1) | ((F.col("k") == 2) & ~F.col("backoff"))
+    low = both.where(short).drop("pair").toArrow()
+    roles = stored(both.where(~short), "kn-roles")
     pairs = np.array([tuple(r) for r in roles.groupBy("pair").count().collect()],       # at most 65,536 rows
                      dtype=np.int64).reshape(-1, 2)
     shards = max(1, -(-int(pairs[:, 1].sum()) // shard_rows))
@@ -273,7 +275,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, column
     trusted = (docs.select("doc_id", "lang", "text")
                .join(ids, F.col("doc_id").cast("long") == F.col("trusted_id"), "left_semi").select("lang", "text"))
     shards = shards_of(train(trusted.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))))
-    spread = SPREAD / F.sqrt("__n_bytes")
+    spread = SPREAD / F.sqrt(F.greatest(F.col("__n_bytes"), F.lit(1)))
     levels = stored(score(trusted, shards).where("__n_bytes > 0")
                     .select("lang", (_log_perplexity() - spread).alias("x")), "kn-trusted-scores")
     level = F.percentile_approx("x", F.lit(quantile), F.lit(10_000))

@@ -71,7 +71,7 @@ def _bare(c: Column) -> Column:
 
 def seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row_no, doc_id, base (valid seed spans) and occurrences (the tokens with a digit or @: place,
-    text without outer punctuation, word before, kind of the seed that begins in it)."""
+    text without outer punctuation or that of the seed which begins in it, word before, that seed)."""
     rows = text_of(docs, id_col, text_col).withColumn("row_no", F.monotonically_increasing_id())
     digit = F.col("text").rlike("[0-9]")
     rows = sp.held(rows, has_digit=digit, has_at=F.contains(F.col("text"), F.lit("@")))
@@ -85,10 +85,14 @@ def seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     lead = lambda s: F.length(F.regexp_extract(s["value"], "^[^A-Za-z0-9+#]*", 0))
     before = lambda s: F.lower(F.substring_index(F.rtrim(F.substring(
         F.col("text"), F.greatest(F.lit(1), s["start"] - 63), F.least(s["start"], F.lit(64)))), " ", -1))
-    occurrences = F.transform(tokens, lambda s: F.struct(
+    # the tokens that go on with a seed which began before them are part of it
+    first = F.filter(tokens, lambda s: ~F.exists("base", lambda b: (b["start"] < s["start"]) & (b["end"] > s["start"])))
+    inside = lambda s: F.filter("base", lambda b: (b["start"] < s["end"]) & (b["start"] >= s["start"]))
+    seed_text = lambda s: F.get(F.transform(inside(s), lambda b: F.substring(
+        F.col("text"), b["start"] + 1, b["end"] - b["start"])), F.lit(0))
+    occurrences = F.transform(first, lambda s: F.struct(
         (s["start"] + lead(s)).alias("start"), (s["start"] + lead(s) + F.length(value(s))).alias("end"),
-        value(s).alias("instance"), before(s).alias("pattern"),
-        F.filter("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])).alias("seeds")))
+        F.coalesce(seed_text(s), value(s)).alias("instance"), before(s).alias("pattern"), inside(s).alias("seeds")))
     return df.select("row_no", "doc_id", "base", occurrences.alias("occurrences"))
 
 

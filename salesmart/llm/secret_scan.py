@@ -2,8 +2,8 @@
 
 Every version of every path is addressed by the SHA-256 of its text (a blob). The ledger is a
 table with one row per scan of a blob: the rule versions that ran and the spans they found. A run
-scans a blob only with the rule versions that the ledger does not hold for it, and only in one of
-the rows that carry it, then appends to the ledger and joins the findings of the current rule
+scans a blob only with the rule versions that the ledger does not hold for it, and only under one of
+the ids that carry it, then appends to the ledger and joins the findings of the current rule
 versions back to all paths. Giving a rule a new version makes just that rule run again.
 
 Texts move at most once: rows that need no scan are listed (id and blob only, written first, so
