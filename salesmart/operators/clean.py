@@ -16,7 +16,7 @@ from salesmart.functions.dates import parse_api_date
 from salesmart.functions.numeric import (INTEGER_PATTERN, NUMBER_PATTERN, int_via_float,
                                          is_number_text)
 from salesmart.schema import (MEASURE_COLUMNS, MONEY, NUMERIC_TYPES, PLACEHOLDERS, SALES_COLUMNS,
-                              SALES_SCHEMA)
+                              SALES_KEY, SALES_SCHEMA)
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -123,8 +123,8 @@ def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLAC
                        type_map: Mapping[str, str] = NUMERIC_TYPES) -> DataFrame:
     """Typed sales columns plus ``reject_reason`` and ``raw_record`` in one projection.
 
-    ``reject_reason`` names the first problem of a record the cleaning cannot type (a
-    missing or unparseable date, a missing measure, a number that does not convert) and is
+    ``reject_reason`` names the first problem of a record the cleaning cannot load (a
+    missing key, a missing or unparseable date, a missing measure, a number that does not convert) and is
     null otherwise; ``raw_record`` keeps such a record's text as JSON (null for good rows,
     so it costs nothing there). Rows that merely fail the positive-measure filter are not
     rejects. Writing this once lets a load split rejects and clean rows without parsing
@@ -133,7 +133,8 @@ def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLAC
     filled = fill_placeholders(raw, placeholders)
     typed = {f.name: F.col(f.name) for f in SALES_SCHEMA.fields}
     typed["date"] = parse_api_date(F.col("date"))
-    checks = [(F.col("date").isNull(), "missing date"), (typed["date"].isNull(), "unparseable date")]
+    checks = [(F.col(SALES_KEY).isNull(), f"missing {SALES_KEY}"),
+              (F.col("date").isNull(), "missing date"), (typed["date"].isNull(), "unparseable date")]
     for c, kind in type_map.items():
         if c not in raw.columns:
             continue

@@ -1,11 +1,10 @@
 """Skew-safe left join of a large frame to a lookup with one row per key.
 
-The heaviest keys of the large side are found with a partial aggregate and a top-k (a
-list bounded by construction, so it is safe to broadcast). Rows of those keys are spread
-over ``buckets`` salt values by a hash of the whole row, and their lookup rows are
-repeated once per salt; every other key keeps salt 0. The join then runs on (key, salt),
-so a key holding a third of all rows is split across ``buckets`` tasks, while the lookup
-only grows by ``hot_keys * (buckets - 1)`` rows.
+The heaviest keys of the large side are found with a partial aggregate and a top-k (a list
+bounded by construction). Their lookup rows, at most that many, are broadcast, so rows of a
+hot key are joined where they are and never meet in one task, identical copies included. The
+k-th heaviest key holds at most 1/k of all rows, so every key left to the shuffle join of the
+other rows is below 1/``hot_keys`` of them.
 """
 
 from __future__ import annotations
@@ -13,27 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT = "_salt"
+HOT_KEYS = 1000
 
 
-def heavy_keys(df: DataFrame, key: str, hot_keys: int = 100) -> DataFrame:
+def heavy_keys(df: DataFrame, key: str, hot_keys: int = HOT_KEYS) -> DataFrame:
     """The ``hot_keys`` most frequent non-null keys (at most that many rows)."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     return counts.orderBy(F.col("_n").desc(), F.col(key)).limit(hot_keys) \
                  .select(key, F.lit(True).alias("_hot"))
 
 
-def salted_left_join(left: DataFrame, lookup: DataFrame, key: str, buckets: int = 64,
-                     hot_keys: int = 100) -> DataFrame:
+def skew_safe_left_join(left: DataFrame, lookup: DataFrame, key: str,
+                        hot_keys: int = HOT_KEYS) -> DataFrame:
     """``left`` LEFT JOIN ``lookup`` USING (key), with ``lookup`` unique per key."""
     hot = F.broadcast(heavy_keys(left, key, hot_keys))   # bounded: hot_keys rows
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    salted_left = (left.join(hot, key, "left")
-                       .withColumn(SALT, F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets)))
-                                   .otherwise(F.lit(0)).cast("int"))
-                       .drop("_hot"))
-    salted_lookup = (lookup.join(hot, key, "left")
-                           .withColumn(SALT, F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                                       .otherwise(F.array(F.lit(0)))))
-                           .drop("_hot"))
-    return salted_left.join(salted_lookup, [key, SALT], "left").drop(SALT)
+    marked = left.join(hot, key, "left")
+    hot_lookup = lookup.join(hot, key, "left_semi")
+    hot_rows = marked.filter("_hot").drop("_hot").join(F.broadcast(hot_lookup), key, "left")
+    rest = marked.filter("_hot is null").drop("_hot").join(lookup, key, "left")
+    return hot_rows.unionByName(rest)

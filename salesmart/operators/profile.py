@@ -202,9 +202,10 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int = 100, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` random rows (all rows when fewer). Each task keeps its own ``n``
-    smallest random keys, so only ``n`` rows per task reach the final merge."""
-    return df.orderBy(F.rand(seed)).limit(n)
+    """Exactly ``n`` rows (all rows when fewer), those with the least hashes of seed and row, so
+    the sample does not depend on how the rows are partitioned. Each task keeps its own ``n``
+    least, so only ``n`` rows per task reach the final merge."""
+    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), *df.columns).limit(n)
 
 
 def distinct_sorted(df: DataFrame, cols: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

@@ -125,15 +125,15 @@ def update_from(df: DataFrame, updates: DataFrame, key: str, cols: Sequence[str]
 
     An existing column keeps its old value on unmatched rows; a new column is null there.
     ``updates`` is reduced to one row per key first (the largest row, so the choice is
-    deterministic). The join salts the heaviest keys of ``df`` (``joins.salted_left_join``),
+    deterministic). The join broadcasts the lookup rows of the heaviest keys of ``df`` (``joins.skew_safe_left_join``),
     so a key shared by a large share of the rows is split across tasks.
     """
-    from salesmart.operators.joins import salted_left_join
+    from salesmart.operators.joins import skew_safe_left_join
     one = (updates.groupBy(key)
                   .agg(F.max(F.struct(*[F.col(c) for c in cols])).alias("_u")))
     upd = one.select(F.col(key), F.lit(True).alias("_matched"),
                      *[F.col(f"_u.{c}").alias(f"_new_{c}") for c in cols])
-    joined = salted_left_join(df, upd, key)
+    joined = skew_safe_left_join(df, upd, key)
     matched = F.coalesce(F.col("_matched"), F.lit(False))
     out = []
     for c in df.columns:
