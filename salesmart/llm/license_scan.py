@@ -54,18 +54,30 @@ TEMPLATES = (
 RARE_WORDS, MIN_SCORE = 8, 0.6
 
 
-def _index() -> tuple[list, list]:
-    """(template, place, word, key phrase or null) rows and the words of key phrases."""
-    rows, key_words = [], set()
+def _index() -> list[tuple]:
+    """(template, place, word, key phrase or null) rows."""
+    rows = []
     for t, (_, words, keys) in enumerate(TEMPLATES):
         words = words.split()
         for k, phrase in enumerate(keys):
             phrase = phrase.split()
             at = next(i for i in range(len(words)) if words[i:i + len(phrase)] == phrase)
             rows += [(t, at + i, w, k) for i, w in enumerate(phrase)]
-            key_words.update(phrase)
         rows += [(t, i, w, None) for i, w in enumerate(words)]
-    return rows, sorted(key_words)
+    return rows
+
+
+def _phrase_possible() -> Column:
+    """Whether the text has all words of some phrase that a label asks for."""
+    asked = sorted({tuple(sorted(set(p.split()))) for _, _, keys in TEMPLATES for p in keys}
+                   | {tuple(sorted(set(p.split()))) for p in PHRASES})
+    possible = F.lit(False)
+    for words in asked:
+        every = F.lit(True)
+        for w in words:
+            every = every & F.array_contains("present", w)
+        possible = possible | every
+    return possible
 
 
 def lower_ascii(text: Column) -> Column:
@@ -88,14 +100,15 @@ def _phrase_places(phrase: str) -> Column:
 
 def license_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row_no, doc_id, n_words, present (license words of the text), places per base phrase, and
-    hits (positions of license words) of texts that hold a word of a key phrase."""
-    index, key_words = _index()
+    hits (positions of license words) of texts that hold all words of some phrase: no other text can get
+    a label."""
+    index = _index()
     vocabulary = sorted({r[2] for r in index} | {w for p in PHRASES for w in p.split()})
     words = F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(WORD), F.lit(0))
     rows = text_of(docs, id_col, text_col).withColumn("row_no", F.monotonically_increasing_id())
     df = sp.held(rows, words=words).drop("text")
     df = sp.held(df, present=F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary))))
-    df = sp.held(df, hits=F.when(F.exists("present", lambda w: w.isin(key_words)), F.filter(
+    df = sp.held(df, hits=F.when(_phrase_possible(), F.filter(
         F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))),
         lambda h: h["word"].isin(vocabulary))))
     none = F.array().cast("array<int>")
@@ -107,7 +120,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
     spark = docs.sparkSession
     rows = stored(license_words(docs, id_col, text_col), "license-words")
-    index, _ = _index()
+    index = _index()
     postings = spark.createDataFrame(index, "template int, place int, word string, key int")
     # at most one row for each word of the templates
     counts = rows.select(F.explode("present").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
