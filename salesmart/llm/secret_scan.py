@@ -6,9 +6,8 @@ scans a blob only with the rule versions that the ledger does not hold for it, a
 the ids that carry it, then appends to the ledger and joins the findings of the current rule
 versions back to all paths. Giving a rule a new version makes just that rule run again.
 
-Texts move at most once: rows that need no scan are listed (id and blob only, written first, so
-the optimiser knows the list's size) and the texts are joined with that list; a list that is small
-on disk is broadcast by Spark's own limit, a large one is met by a shuffle join. Findings of a
+Texts move once: rows that need no scan are listed (id and blob only) and the texts meet that list
+in a shuffle join by id and blob, a key without hot values. Findings of a
 blob that a third of the paths share are met by a join whose hot side the engine splits. All work
 on texts is done by Spark SQL functions.
 
@@ -112,7 +111,9 @@ def update(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text_col:
         F.col("doc_id").alias("k"), F.col("blob").alias("b"),
         F.when(F.col("doc_id").eqNullSafe(F.col("first")), F.coalesce("seen", none)).otherwise(all_rules).alias("skip"))
         .where("size(skip) > 0").distinct(), "secret-done")
-    todo = (rows.join(done, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("blob") == F.col("b")), "left")
+    # the same plan at every size: texts meet the list by a shuffle, which holds the list's side in memory
+    # by partition and sorts no text
+    todo = (rows.join(done.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("blob") == F.col("b")), "left")
             .withColumn("todo", F.array_except(all_rules, F.coalesce("skip", none)))
             .where("size(todo) > 0").select("blob", "text", "todo"))
     (scan_texts(todo, "text", rules, "todo").select("blob", F.col("todo").alias("rules"), "findings")
