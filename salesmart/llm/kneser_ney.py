@@ -45,7 +45,7 @@ BROADCAST_LANGUAGES = 100_000
 #: Shards whose passes over the rows share a stage.
 CHAINED = 4
 BYTES_AT_ONCE = 1 << 20
-MERGE_AT = 4_000_000
+MERGE_AT = 1_000_000
 
 
 def codes(data: np.ndarray, order: int) -> np.ndarray:
