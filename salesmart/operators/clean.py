@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 
 from salesmart.functions.dates import parse_api_date
 from salesmart.functions.numeric import (INTEGER_PATTERN, NUMBER_PATTERN, int_via_float,
-                                         is_number_text)
+                                         is_number_text, to_double)
 from salesmart.schema import (MEASURE_COLUMNS, MONEY, NUMERIC_TYPES, PLACEHOLDERS, SALES_COLUMNS,
                               SALES_KEY, SALES_SCHEMA)
 
+POSITIVE = "positive_money"
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -70,6 +72,18 @@ def filter_positive(df: DataFrame,
     return df.filter(F.coalesce(cond, F.lit(False)))
 
 
+def money_positive(type_map: Mapping[str, str] = NUMERIC_TYPES,
+                   cols: Sequence[str] = ("state_bottle_cost", "state_bottle_retail",
+                                          "sale_bottles")) -> Column:
+    """Over text columns: every listed 'float' measure is > 0 before it is rounded to cents (a
+    cost of 0.004 is valid and stored as 0.00). 'int' measures are tested once typed."""
+    cond = F.lit(True)
+    for c in cols:
+        if type_map.get(c) == "float":
+            cond = cond & F.coalesce(to_double(F.col(c)) > 0, F.lit(False))
+    return cond
+
+
 def filter_non_negative(df: DataFrame, col: str = "sale_bottles") -> DataFrame:
     """Profiling variant: keep rows with ``col >= 0`` (zero kept)."""
     return df.filter(F.col(col) >= 0)
@@ -105,23 +119,26 @@ def conform(df: DataFrame, schema: T.StructType = SALES_SCHEMA,
 def clean_sales(raw: DataFrame, placeholders: Mapping[str, object] = PLACEHOLDERS,
                 type_map: Mapping[str, str] = NUMERIC_TYPES) -> DataFrame:
     """Raw text records to typed, valid sales: placeholders, date, numeric casts, then the
-    positive-measure filter. Records that cannot be typed (see ``typed_with_rejects``) are
-    left out. Full-row duplicates are kept; the load step resolves keys."""
+    positive-measure filter, which tests money before it is rounded to cents. Records that
+    cannot be typed (see ``typed_with_rejects``) are left out. Full-row duplicates are kept;
+    the load step resolves keys."""
     typed = (raw.transform(lambda d: fill_placeholders(d, placeholders))
+                .withColumn(POSITIVE, money_positive(type_map))
                 .transform(normalize_date)
                 .transform(lambda d: cast_by_map(d, type_map)))
-    typable = F.col("date").isNotNull()
+    typable = F.col("date").isNotNull() & F.col(POSITIVE) & (F.col("sale_bottles") > 0)
     for c in type_map:
         if c in raw.columns:
             typable = typable & F.col(c).isNotNull()
-    return typed.filter(typable).transform(filter_positive).select(
+    return typed.filter(typable).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields
           if f.name in SALES_COLUMNS])
 
 
 def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLACEHOLDERS,
                        type_map: Mapping[str, str] = NUMERIC_TYPES) -> DataFrame:
-    """Typed sales columns plus ``reject_reason`` and ``raw_record`` in one projection.
+    """Typed sales columns plus ``positive_money`` (see ``money_positive``), ``reject_reason``
+    and ``raw_record`` in one projection.
 
     ``reject_reason`` names the first problem of a record the cleaning cannot load (a
     missing key, a missing or unparseable date, a missing measure, a number that does not convert) and is
@@ -147,10 +164,17 @@ def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLAC
         reason = F.when(cond, F.lit(label)) if reason is None else reason.when(cond, F.lit(label))
     record = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
     return filled.select(*[typed[f.name].cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields],
+                         money_positive(type_map).alias(POSITIVE),
                          reason.alias("reject_reason"),
                          F.when(reason.isNotNull(), record).alias("raw_record"))
 
 
+def loadable_rows(staged: DataFrame) -> DataFrame:
+    """The sales rows of ``typed_with_rejects`` that a load takes: no rejects, positive measures."""
+    return (staged.filter(F.col("reject_reason").isNull() & F.col(POSITIVE) & (F.col("sale_bottles") > 0))
+            .select(*SALES_COLUMNS))
+
+
 def rejected_rows(raw: DataFrame, **kw) -> DataFrame:
     """Records the cleaning cannot type: (invoice_line_no, reject_reason, raw_record)."""
     return (typed_with_rejects(raw, **kw).filter(F.col("reject_reason").isNotNull())

@@ -29,11 +29,13 @@ from salesmart.operators import profile as pf
 from salesmart.operators import quality as qa
 from salesmart.operators import runlog as rl
 from salesmart.operators import windows as wn
+from salesmart.plans import workflow as wf
 from salesmart.plans.workflow import incremental_batch
 from salesmart.schema import (DIMENSION_COLUMNS, DIRECTIONS, MEASURE_COLUMNS, REFERENCE_RUN_ROWS,
                               REFERENCE_RUN_SECONDS, SALES_COLUMNS, STORE_FORMAT_DEFAULT,
                               STORE_FORMAT_EXACT, STORE_FORMATS, STORE_NAME_REWRITES)
 from salesmart.session import scratch_path
+from salesmart.sources.layers import read_layer
 from salesmart.sources import raw as src
 from salesmart.sources import sinks
 from salesmart.sources import slices as sl
@@ -227,6 +229,20 @@ def q_drop_full_duplicates(spark, sf):
     return pf.drop_full_duplicates(sales(spark, sf).select(*DUP_COLUMNS))
 
 
+def _with_copies(spark, sf):
+    """Sales of which those of every tenth store are there twice, all columns alike."""
+    rows = sales(spark, sf)
+    return rows.unionByName(rows.filter(F.col("store") % 10 == 3))
+
+
+def q_duplicate_rows(spark, sf):
+    return pf.duplicate_stats(_with_copies(spark, sf))
+
+
+def q_distinct_rows(spark, sf):
+    return pf.drop_full_duplicates(_with_copies(spark, sf))
+
+
 def q_key_collisions(spark, sf):
     return pf.key_collision_count(sales(spark, sf), "invoice_line_no")
 
@@ -341,6 +357,49 @@ def q_incremental_load(spark, sf):
     return to_insert
 
 
+def _landed(spark, sf) -> DataFrame:
+    """Raw records as a landing holds them: other retailers mixed in, and records that cannot be
+    typed, have sub-cent money or repeat a key, derived from the rows by their store and item."""
+    text = demo.to_raw_text(demo.retailer_mix(sales(spark, sf)))
+    store, item = F.col("store").cast("int"), F.col("itemno").cast("int")
+    spoiled = text.withColumns({
+        "date": F.when(store % 23 == 1, F.lit(None).cast("string")).when(store % 23 == 2, F.lit("soon"))
+                 .otherwise(F.col("date")),
+        "invoice_line_no": F.when(item % 41 == 3, F.lit(None).cast("string")).otherwise(F.col("invoice_line_no")),
+        "state_bottle_cost": F.when(item % 29 == 4, F.lit("0.004")).when(item % 29 == 5, F.lit("dear"))
+                              .otherwise(F.col("state_bottle_cost")),
+        "sale_bottles": F.when(item % 31 == 6, F.concat("sale_bottles", F.lit(".7"))).otherwise(F.col("sale_bottles"))})
+    return spoiled.unionByName(spoiled.filter(store % 10 == 3))
+
+
+def _landing_load(spark, sf) -> str:
+    """The shipped load run twice over one landing: the months before ``STORED_BEFORE`` and those from
+    ``RELOAD_FROM``, so that the second run meets stored keys. Returns the base folder."""
+    base = scratch_path(spark, "landing-load")
+    sinks.write_raw_json(_landed(spark, sf), f"{base}/landing")
+    span = sales(spark, sf).agg(F.min("date"), F.max("date")).first()
+    cut, again = _d(STORED_BEFORE), _d(RELOAD_FROM)
+    whole = wn.months_between(span[0], span[1])
+    first = [m for m in whole if m < (cut.year, cut.month)]
+    second = [m for m in whole if m >= (again.year, again.month)]
+    for months in (first, second):
+        wf.run_incremental(spark, f"{base}/landing", base, span[1], f"{base}/scratch", months=months).collect()
+    return base
+
+
+def q_load_landing(spark, sf):
+    return read_layer(spark, f"{_landing_load(spark, sf)}/int/sales").select(*SALES_COLUMNS)
+
+
+def q_load_rejects(spark, sf):
+    rejects = spark.read.parquet(f"{_landing_load(spark, sf)}/rejects")
+    return rejects.groupBy("run", "reject_reason").agg(F.count("*").alias("n_rows"))
+
+
+def q_load_skipped(spark, sf):
+    return spark.read.parquet(f"{_landing_load(spark, sf)}/skipped").select("run", *SALES_COLUMNS, "copies", "reason")
+
+
 def q_incremental_stream(spark, sf):
     from salesmart.streaming.incremental import run_incremental_stream
     base = scratch_path(spark, "stream")
@@ -397,6 +456,26 @@ def q_build_model_counts(spark, sf):
     return md.model_counts(md.build_model(spark.read.parquet(path), None, None))
 
 
+def _mart(spark, sf, name):
+    """A table of the mart that ``build_mart`` writes from the cleaned rows, read back."""
+    base = scratch_path(spark, "mart")
+    clean(spark, sf).write.parquet(f"{base}/sales")
+    wf.build_mart(spark.read.parquet(f"{base}/sales"), base)
+    return src.read_table(spark, f"{base}/{name}")
+
+
+def q_mart_stores(spark, sf):
+    return _mart(spark, sf, "stores")
+
+
+def q_mart_items(spark, sf):
+    return _mart(spark, sf, "items")
+
+
+def q_mart_transactions(spark, sf):
+    return _mart(spark, sf, "transactions")
+
+
 # --- features ---------------------------------------------------------------------------
 
 def _names(spark, sf):

@@ -140,11 +140,13 @@ def parse_date(x: str) -> str:
 
 TYPED = ("typed AS (SELECT " + ", ".join(
     f"{parse_date('date')} AS date" if c == "date" else _typed_col(c) for c in SALES_COLUMNS)
-    + " FROM filled)")
+    + ", TRY_CAST(trim(state_bottle_cost) AS DOUBLE) AS cost_number"
+    + ", TRY_CAST(trim(state_bottle_retail) AS DOUBLE) AS retail_number FROM filled)")
 
-CLEAN = ("clean AS (SELECT * FROM typed WHERE date IS NOT NULL AND "
+# money is tested before it is rounded to cents
+CLEAN = (f"clean AS (SELECT {cols()} FROM typed WHERE date IS NOT NULL AND "
          + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC_TYPES)
-         + " AND COALESCE(state_bottle_cost > 0 AND state_bottle_retail > 0 AND sale_bottles > 0, false))")
+         + " AND COALESCE(cost_number > 0 AND retail_number > 0 AND sale_bottles > 0, false))")
 
 PRIORITY = ", ".join(f"{c} ASC NULLS FIRST" for c in ["date"] + [c for c in SALES_COLUMNS if c != "date"])
 
@@ -424,6 +426,11 @@ def build() -> dict[str, str]:
         f"SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_rows, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS dup_rows, "
         f"{percent('SUM(n - 1)', 'SUM(n)')} AS pct_dup FROM (SELECT {dup}, COUNT(*) AS n FROM sales GROUP BY ALL)")
     s["drop_full_duplicates"] = with_("sales") + f"SELECT DISTINCT {dup} FROM sales"
+    copied = "copied AS (SELECT * FROM sales UNION ALL SELECT * FROM sales WHERE store % 10 = 3)"
+    s["duplicate_rows"] = with_("sales", extra=copied) + (
+        f"SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_rows, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS dup_rows, "
+        f"{percent('SUM(n - 1)', 'SUM(n)')} AS pct_dup FROM (SELECT {cols()}, COUNT(*) AS n FROM copied GROUP BY ALL)")
+    s["distinct_rows"] = with_("sales", extra=copied) + f"SELECT DISTINCT {cols()} FROM copied"
     s["key_collisions"] = with_("sales") + (
         "SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS key_collision_rows FROM "
         "(SELECT COUNT(*) AS n FROM sales GROUP BY invoice_line_no HAVING COUNT(*) > 1)")
@@ -551,6 +558,16 @@ def build() -> dict[str, str]:
         "bottle_profit, gallon_cost, gallon_price, sale_gallons, gallon_profit, liter_cost, liter_price, "
         "sale_liters, liter_profit, cost, revenue, profit, margin FROM m2")
 
+    # the mart as written
+    s["mart_items"] = s["liquor_type"]
+    s["mart_transactions"] = s["transaction_metrics"]
+    s["mart_stores"] = with_("clean") + (
+        f"SELECT store_id, store_name, a AS address, zipcode, c AS city, {title('county')} AS county, store_format, "
+        f"a || ', ' || c || ', IA ' || zipcode AS full_address FROM "
+        f"(SELECT *, {clean_address('address')} AS a, {title('city')} AS c FROM ({stores_fmt}))")
+
+    s |= landing_sql(mix_name)
+
     # run log
     fy_counts = f"fy AS (SELECT {fy_expr()} AS financial_year, COUNT(*) AS n_rows FROM clean GROUP BY 1)"
     s["table_stats"] = with_("clean") + (
@@ -576,6 +593,59 @@ def build() -> dict[str, str]:
     return s
 
 
+def landing_sql(mix_name: str) -> dict[str, str]:
+    """The shipped load run twice over one landing, by the rule of the load: other retailers' records
+    are left out, untypable ones rejected, money tested unrounded, the first row of a key inserted."""
+    spoil = {
+        "date": f"CASE WHEN store % 23 = 1 THEN NULL WHEN store % 23 = 2 THEN 'soon' ELSE {_raw_col('date')[:-8]} END",
+        "invoice_line_no": "CASE WHEN itemno % 41 = 3 THEN NULL ELSE invoice_line_no END",
+        "state_bottle_cost": "CASE WHEN itemno % 29 = 4 THEN '0.004' WHEN itemno % 29 = 5 THEN 'dear' "
+                             "ELSE CAST(state_bottle_cost AS VARCHAR) END",
+        "sale_bottles": "CASE WHEN itemno % 31 = 6 THEN CAST(sale_bottles AS VARCHAR) || '.7' "
+                        "ELSE CAST(sale_bottles AS VARCHAR) END"}
+    spoiled = ", ".join(f"{spoil[c]} AS {c}" if c in spoil else _raw_col(c) for c in SALES_COLUMNS)
+    whole = "invoice_line_no IS NOT NULL AND date IS NOT NULL AND " + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC_TYPES)
+    reasons = ["WHEN invoice_line_no IS NULL THEN 'missing invoice_line_no'", "WHEN had_date IS NULL THEN 'missing date'",
+               "WHEN date IS NULL THEN 'unparseable date'"]
+    reasons += [f"WHEN {c} IS NULL THEN 'bad {c}'" for c in NUMERIC_TYPES]
+    first_month = f"CAST(date_trunc('month', DATE {lit(q.STORED_BEFORE)}) AS DATE)"
+    again_month = f"CAST(date_trunc('month', DATE {lit(q.RELOAD_FROM)}) AS DATE)"
+    base = ["mixed AS (SELECT * REPLACE (" + mix_name + " AS name) FROM sales)",
+            f"once AS (SELECT store % 10 = 3 AS twice, {spoiled} FROM mixed)",
+            f"raw_sales AS (SELECT {cols()} FROM once UNION ALL SELECT {cols()} FROM once WHERE twice)",
+            "ours AS (SELECT * FROM raw_sales WHERE lower(name) LIKE '%hy-vee%' OR name LIKE '%WALL TO WALL WINE AND SPIRITS%')",
+            FILLED.replace("FROM raw_sales", "FROM ours"),
+            TYPED.replace(" FROM filled)", ", date AS had_date FROM filled)"),
+            f"good AS (SELECT {cols()} FROM typed WHERE {whole} AND cost_number > 0 AND retail_number > 0 AND sale_bottles > 0)",
+            f"b1 AS (SELECT * FROM good WHERE date < {first_month})",
+            f"b2 AS (SELECT * FROM good WHERE date >= {again_month})",
+            f"w1 AS ({first_per_key('b1')})", f"w2 AS ({first_per_key('b2')})",
+            "s1 AS (SELECT * FROM w1)",
+            "s2 AS (SELECT * FROM w2 WHERE invoice_line_no NOT IN (SELECT invoice_line_no FROM s1))",
+            "runs AS (SELECT strftime(MIN(date), '%Y-%m') AS lo, strftime(MAX(date), '%Y-%m') AS hi, "
+            f"strftime({first_month} - 1, '%Y-%m') AS cut, strftime({again_month}, '%Y-%m') AS again FROM sales)",
+            "named AS (SELECT lo || '_' || cut AS r1, again || '_' || hi AS r2 FROM runs)"]
+
+    def full(select: str) -> str:
+        return "WITH " + ",\n".join([SALES, *base]) + "\n" + select
+
+    def skipped(batch: str, winners: str, inserted: str, run: str) -> str:
+        on = " AND ".join(f"c.{c} IS NOT DISTINCT FROM w.{c}" for c in SALES_COLUMNS)
+        stored = f"w.invoice_line_no IS NOT NULL AND w.invoice_line_no NOT IN (SELECT invoice_line_no FROM {inserted})"
+        kept = f"CASE WHEN w.invoice_line_no IS NOT NULL AND NOT ({stored}) THEN 1 ELSE 0 END"
+        return (f"SELECT (SELECT {run} FROM named) AS run, {cols('c.')}, CAST(c.copies - {kept} AS BIGINT) AS copies, "
+                f"CASE WHEN {stored} THEN 'key already stored' ELSE 'duplicate key in batch' END AS reason "
+                f"FROM (SELECT {cols()}, COUNT(*) AS copies FROM {batch} GROUP BY ALL) c LEFT JOIN {winners} w ON {on} "
+                f"WHERE c.copies - {kept} > 0")
+
+    counted = (f"SELECT CASE {' '.join(reasons)} END AS reject_reason, COUNT(*) AS n_rows FROM typed "
+               f"WHERE NOT ({whole}) GROUP BY ALL")
+    return {"load_landing": full(f"SELECT {cols()} FROM s1 UNION ALL SELECT {cols()} FROM s2"),
+            "load_rejects": full(f"SELECT r.run, c.reject_reason, c.n_rows FROM ({counted}) c, "
+                                 "(SELECT r1 AS run FROM named UNION ALL SELECT r2 FROM named) r"),
+            "load_skipped": full(skipped("b1", "w1", "s1", "r1") + " UNION ALL " + skipped("b2", "w2", "s2", "r2"))}
+
+
 def placeholders_sql(src: str) -> str:
     long = _unpivot_text(src, DIMENSION_COLUMNS)
     is_int = f"(regexp_matches(value, '^\\s*[+-]?\\d+\\s*$') AND TRY_CAST(trim(value) AS BIGINT) IS NOT NULL)"

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from salesmart.operators.clean import filter_positive, typed_with_rejects
+from salesmart.operators.clean import loadable_rows, typed_with_rejects
 from salesmart.operators.load import load_into
 from salesmart.operators.quality import create_empty_table
-from salesmart.schema import RAW_SALES_SCHEMA, SALES_COLUMNS, SALES_KEY, SALES_SCHEMA
+from salesmart.schema import RAW_SALES_SCHEMA, SALES_KEY, SALES_SCHEMA
 
 
 def start_incremental_stream(spark: SparkSession, landing_path: str, target_path: str,
@@ -42,8 +42,7 @@ def start_incremental_stream(spark: SparkSession, landing_path: str, target_path
                    .select("invoice_line_no", "reject_reason", "raw_record",
                            F.lit(batch_id).alias("batch_id"))
                    .write.mode("append").parquet(rejects_path))
-        good = filter_positive(staged.filter(F.col("reject_reason").isNull()).select(*SALES_COLUMNS))
-        load_into(good, target_path, key, order_cols)
+        load_into(loadable_rows(staged), target_path, key, order_cols)
         staged.unpersist()
 
     writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_path)
