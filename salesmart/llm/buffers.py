@@ -4,6 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+
+def texts_in(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """The column of texts, nulls as empty texts."""
+    return pc.fill_null(batch.column(name).cast(pa.large_string()), "")
 
 
 def joined(column: pa.Array, lead: int) -> tuple[np.ndarray, np.ndarray]:

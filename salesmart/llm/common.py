@@ -39,11 +39,17 @@ def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 _SHIPPED: set[str] = set()
+#: Rows of whole texts that a Python worker is handed at once, unless the session says otherwise.
+BATCH_ROWS = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once for each application."""
+    """Give the executors' Python workers this package, once for each application, and texts in small
+    batches: a worker and its executor each hold a batch going in and one coming out."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     if context.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         name = os.path.join(tempfile.mkdtemp(prefix="salesmart-code-"), "salesmart")

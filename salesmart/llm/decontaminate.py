@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.buffers import joined, pieces
+from salesmart.llm.buffers import joined, pieces, texts_in
 from salesmart.llm.common import text_of
 
 MAX_EDITS = 0.10
@@ -290,19 +290,18 @@ def _reporting(shared):
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
     """The rows of ``docs``, all columns, whose text leaks no item."""
     spark = docs.sparkSession
-    marked = docs.withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     for block in item_blocks(items):
         shared = spark.sparkContext.broadcast(Index(block, max_edits))
-        marked = marked.mapInArrow(_filtering(shared), marked.schema)
-    return marked.drop("__text")
+        docs = docs.mapInArrow(_filtering(shared, text_col), docs.schema)
+    return docs
 
 
-def _filtering(shared):
+def _filtering(shared, text_col: str):
     def run(batches):
         matcher = Matcher(shared.value)
         for batch in batches:
             good = np.ones(batch.num_rows, dtype=bool)
-            for row, *_ in matcher.texts_of(batch.column("__text")):
+            for row, *_ in matcher.texts_of(texts_in(batch, text_col)):
                 good[row] = False
             yield batch.filter(pa.array(good))
     return run

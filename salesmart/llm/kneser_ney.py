@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.buffers import joined, pieces
+from salesmart.llm.buffers import joined, pieces, texts_in
 from salesmart.llm.common import stored
 
 ORDER = 5
@@ -42,8 +42,8 @@ QUANTILE = 0.99
 #: Allowance on the quantile's log-perplexity: a factor, and bytes whose square root spreads it.
 MARGIN, SPREAD = 0.03, 1.5
 BROADCAST_LANGUAGES = 100_000
-#: Shards whose passes over the rows share a stage.
-CHAINED = 4
+#: Shards that a pass over the rows looks up.
+SHARDS_AT_ONCE = 4
 BYTES_AT_ONCE = 1 << 20
 MERGE_AT = 1_000_000
 
@@ -222,30 +222,29 @@ def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS) -> list:
 
 
 def score(docs: DataFrame, shards: list, text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """``docs``, all rows and columns, with ``__n_bytes`` and ``__log_prob`` of the text. Each shard adds
-    its part in a pass of its own over the rows; ``CHAINED`` passes share a stage."""
-    df = docs.withColumns({"__text": F.coalesce(F.col(text_col).cast("string"), F.lit("")),
-                           "__n_bytes": F.lit(0).cast("long"), "__log_prob": F.lit(0.0)})
-    for i, shard in enumerate(shards):
-        if i and i % CHAINED == 0:
+    """``docs``, all rows and columns, with ``__n_bytes`` and ``__log_prob`` of the text. Each pass over
+    the rows adds the parts of ``SHARDS_AT_ONCE`` shards."""
+    df = docs.withColumns({"__n_bytes": F.lit(0).cast("long"), "__log_prob": F.lit(0.0)})
+    for i in range(0, len(shards), SHARDS_AT_ONCE):
+        if i:
             df = stored(df, "kn-partial")
-        df = df.mapInArrow(_adding(shard, i, len(shards), order), df.schema)
-    return df.drop("__text")
+        df = df.mapInArrow(_adding(dict(enumerate(shards[i:i + SHARDS_AT_ONCE], i)), len(shards), order, text_col),
+                           df.schema)
+    return df
 
 
-def _adding(shard, number: int, shards: int, order: int):
+def _adding(tables: dict, shards: int, order: int, text_col: str):
     def run(batches):
-        table = shard.value
         for batch in batches:
-            for first, part in pieces(batch.column("__text"), BYTES_AT_ONCE):
+            for first, part in pieces(texts_in(batch, text_col), BYTES_AT_ONCE):
                 data, begin = joined(part, order - 1)
                 code = codes(data, order)
-                mine = _places(begin, order - 1, len(data))
-                if shards > 1:
-                    mine &= _shard(code >> 8, shards) == number
-                unique, where = np.unique(code[mine], return_inverse=True)
+                real = _places(begin, order - 1, len(data))
                 value = np.zeros(len(data))
-                value[mine] = table.log_p(unique, order)[where]
+                for number, table in tables.items():
+                    mine = real & (_shard(code >> 8, shards) == number) if shards > 1 else real
+                    unique, where = np.unique(code[mine], return_inverse=True)
+                    value[mine] = table.value.log_p(unique, order)[where]
                 end = np.r_[begin[1:-1] - (order - 1), len(data)]
                 out = batch.slice(first, len(part))
                 total = out.column("__log_prob").to_numpy(zero_copy_only=False) + np.array(
