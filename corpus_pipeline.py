@@ -13,7 +13,6 @@ stage works on all that its predecessor kept, and all but the last return the co
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from salesmart.llm import decontaminate, kneser_ney, packing, secret_scan, simhash
 from salesmart.llm.common import ship, stored, table
@@ -48,7 +47,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     ship(spark)
-    return packing.with_crc(packing.pack(docs).withColumn("token_ids", F.col("ids")))
+    return packing.pack(docs, with_ids=True).withColumnRenamed("ids", "token_ids")
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),

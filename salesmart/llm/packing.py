@@ -42,7 +42,7 @@ BLOCK_TOKENS = 4_000_000
 LINEAR, QUADRATIC = 1.0, 1 / 4096
 
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
-          "offset long, sequence_tokens long, sequence_cost double, ids binary")
+          "offset long, sequence_tokens long, sequence_cost double, ids_crc32 long")
 
 
 def cost(n):
@@ -104,12 +104,15 @@ def pack_block(doc_ids: list, ids: list[bytes], first_sequence: int, size: int)
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          vocabulary: str | None = None, size: int = SEQUENCE_TOKENS, end_id: int = END_ID,
-         block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Every piece of every document with its ids (little-endian unsigned 16-bit) and place.
+         block_tokens: int = BLOCK_TOKENS, with_ids: bool = False) -> DataFrame:
+    """Every piece of every document with its place and, if asked for, its ids (``ids``,
+    little-endian unsigned 16-bit).
 
     Columns: ``PIECES``; ``start`` counts the document's ids before the piece, ``offset`` the
-    sequence's ids before it.
+    sequence's ids before it; ``ids_crc32`` is the unsigned crc32 of the piece's ids as
+    little-endian unsigned 32-bit integers.
     """
+    schema = f"{PIECES}, ids binary" if with_ids else PIECES
     end = np.array([end_id], "<u2").tobytes()
 
     def run(batches):
@@ -122,15 +125,19 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             tokens += sum(len(x) // 2 + 1 for x in ids)
             if tokens >= block_tokens:
                 columns, sequence = pack_block(held_docs, held, sequence, size)
-                yield _batch(columns)
+                yield _batch(columns, with_ids)
                 held_docs, held, tokens = [], [], 0
         if held:
-            yield _batch(pack_block(held_docs, held, sequence, size)[0])
+            yield _batch(pack_block(held_docs, held, sequence, size)[0], with_ids)
 
-    return text_of(docs, id_col, text_col).mapInArrow(run, PIECES)
+    return text_of(docs, id_col, text_col).mapInArrow(run, schema)
 
 
-def _batch(columns: dict) -> pa.RecordBatch:
+def _batch(columns: dict, with_ids: bool) -> pa.RecordBatch:
+    ids = columns.pop("ids")
+    columns["ids_crc32"] = [zlib.crc32(widened(x)) for x in ids]
+    if with_ids:
+        columns["ids"] = ids
     types = {"doc_id": pa.int64(), "ids": pa.binary(), "sequence_cost": pa.float64()}
     return pa.RecordBatch.from_arrays(
         [pa.array(v, type=types.get(k, pa.int64())) for k, v in columns.items()],
@@ -140,19 +147,3 @@ def _batch(columns: dict) -> pa.RecordBatch:
 def widened(ids: bytes) -> bytes:
     """16-bit ids as little-endian unsigned 32-bit ids."""
     return np.frombuffer(ids, "<u2").astype("<u4").tobytes()
-
-
-def with_crc(pieces: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """``ids_crc32``: unsigned crc32 of the ids as little-endian unsigned 32-bit integers, in
-    place of the ids."""
-    from pyspark.sql.types import LongType, StructField, StructType
-    kept = [f for f in pieces.schema.fields if f.name != ids_col]
-    schema = StructType([*kept, StructField("ids_crc32", LongType())])
-
-    def run(batches):
-        for b in batches:
-            crc = [zlib.crc32(widened(x)) for x in b.column(ids_col).to_pylist()]
-            arrays = [b.column(f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(crc, pa.int64())], names=schema.names)
-
-    return pieces.mapInArrow(run, schema)

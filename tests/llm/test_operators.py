@@ -67,7 +67,7 @@ def crc(ids):
 
 
 def test_packing(docs, no_docs):
-    rows = packing.with_crc(packing.pack(docs)).collect()
+    rows = packing.pack(docs).collect()
     by_text = {}
     for d, t in texts(docs):
         by_text.setdefault(d, []).append(ids_of("byte_bpe_50k.json", t))
