@@ -5,12 +5,53 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from salesmart import demo
-from salesmart.operators.clean import clean_sales
+from salesmart.operators.clean import clean_sales, loadable_rows, typed_with_rejects
 from salesmart.operators.windows import month_list
 from salesmart.plans.workflow import build_mart, log_run, run_incremental
+from salesmart.schema import RAW_SALES_SCHEMA, SALES_COLUMNS
+from salesmart.sources.layers import read_layer
 from tests.conftest import SF_SMALL
 
 
+def _record(**changes):
+    row = dict.fromkeys(SALES_COLUMNS, "1") | {
+        "invoice_line_no": "INV-1", "date": "2024-01-05T00:00:00.000", "name": "HY-VEE #1",
+        "state_bottle_cost": "1.10", "state_bottle_retail": "2.20", "sale_bottles": "12"}
+    return tuple((row | changes)[c] for c in SALES_COLUMNS)
+
+
+def test_money_is_tested_before_it_is_rounded(spark):
+    raw = spark.createDataFrame([
+        _record(invoice_line_no="sub-cent", state_bottle_cost="0.004"),
+        _record(invoice_line_no="whole", sale_bottles="12.0"),
+        _record(invoice_line_no="cut", sale_bottles="12.7"),
+        _record(invoice_line_no="less than one", sale_bottles="0.7"),
+        _record(invoice_line_no="zero", state_bottle_cost="0.00"),
+        _record(invoice_line_no="negative", state_bottle_retail="-0.004"),
+        _record(invoice_line_no="no cost", state_bottle_cost=None),
+        _record(invoice_line_no="no date", date="soon")], RAW_SALES_SCHEMA)
+    want = {"sub-cent": ("0.00", 12), "whole": ("1.10", 12), "cut": ("1.10", 12)}
+    for kept in (clean_sales(raw), loadable_rows(typed_with_rejects(raw))):
+        assert {r.invoice_line_no: (str(r.state_bottle_cost), r.sale_bottles) for r in kept.collect()} == want
+
+
+def test_load_accounts_for_every_record_and_repeats_alike(spark, tmp_dir):
+    rows = [_record(), _record(), _record(state_bottle_cost="9.99"), _record(invoice_line_no=None),
+            _record(invoice_line_no="bad", date="soon"), _record(invoice_line_no="free", sale_bottles="0"),
+            _record(invoice_line_no="other", name="SOME STORE")]
+    spark.createDataFrame(rows, RAW_SALES_SCHEMA).write.json(f"{tmp_dir}/landing")
+    for inserted in (1, 0):
+        run_incremental(spark, f"{tmp_dir}/landing", tmp_dir, dt.date(2024, 2, 5), f"{tmp_dir}/scratch",
+                        months=[(2024, 1)]).collect()
+        rejects = {r.reject_reason for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()}
+        assert rejects == {"missing invoice_line_no", "unparseable date"}
+        skipped = spark.read.parquet(f"{tmp_dir}/skipped").agg(F.sum("copies")).first()[0]
+        assert spark.read.parquet(f"{tmp_dir}/rejects").count() == 2
+        # seven records: two rejects, one not positive, one of another retailer, the rest loaded or reported
+        assert skipped + inserted == 3
+        assert read_layer(spark, f"{tmp_dir}/stg/sales").count() == 1
+
+
 def test_backfill_resume_model_and_log(spark, tmp_dir):
     raw = demo.raw_sales_view(spark, SF_SMALL).withColumn("sale_month", F.substring("date", 1, 7))
     landing = f"{tmp_dir}/landing"
