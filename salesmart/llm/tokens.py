@@ -19,7 +19,7 @@ from collections.abc import Iterable
 from salesmart.llm.buffers import pieces
 
 #: Chunks that a worker remembers (about 150 bytes each), and what it hands to the library at once.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 1_000_000
 BATCH_CHARS = 1_000_000
 BATCH_TEXTS = 4_000
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
@@ -48,12 +48,17 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _chunks(self, text: str) -> list[str] | None:
+        """Keys of the chunks: what follows a space, without it; a space marks the chunk that follows none."""
         if self.drops_space:
             return [c for c in text.replace("\n", " ").split(" ") if c]
         if "  " in text:
             return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + c for c in rest]]
+        chunks = text.split(" ")
+        chunks[0] = " " + chunks[0]
+        return chunks
+
+    def _text(self, key: str) -> str:
+        return key if self.drops_space else key[1:] if key[:1] == " " else " " + key
 
     def _encode(self, texts: list[str]) -> Iterable[bytes]:
         for group in _groups(texts):
@@ -65,8 +70,8 @@ class Encoder:
             self.known.clear()
         chunks = [self._chunks(t) for t in texts]
         known = self.known
-        new = list({c for cs in chunks if cs is not None for c in cs if c not in known})
-        known.update(zip(new, self._encode(new)))
+        new = list(set().union(*(cs for cs in chunks if cs is not None)).difference(known))
+        known.update(zip(new, self._encode(list(map(self._text, new)))))
         whole = iter(self._encode([t for t, cs in zip(texts, chunks) if cs is None]))
         return [next(whole) if cs is None else b"".join(map(known.__getitem__, cs))
                 for cs in chunks]
