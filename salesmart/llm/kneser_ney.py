@@ -11,16 +11,27 @@ Scoring joins texts with the finished table. The table is cut into shards by the
 bytes, which every order of a lookup from the third on shares (the lower orders are short and go with
 every shard), so a shard answers its places alone. Each shard has at most ``SHARD_ROWS``
 rows, the proven bound under which it is broadcast; a model with more rows is scored shard by shard, each
-pass adding its part to the rows. No text and no n-gram of a document is shuffled.
+pass adding its part to the rows. Marks go by the same shards, and the toxic model's n-grams, of which
+they are a part, count as rows of the shard. No text and no n-gram of a document is shuffled.
 
 A document's perplexity is the exponential of its mean negative log-probability per byte. The
 threshold of a language is a high quantile of the trusted documents' perplexities, all of them, with
-a margin that allows for the spread of short texts.
+a margin that allows for the spread of short texts. A model knows the texts it was trained on too
+well, so for the thresholds each half of the trusted texts (by a hash of the text) is scored by a model
+of the other half; the documents are scored by the model of both, whose counts are the halves' sums.
+
+A mean hides a few abusive words in a long clean text. A second model of the same kind is therefore
+trained on the text that the labels call toxic, and its n-grams that are at least e ** ``MARK`` times
+likelier there than by the trusted model are marks, weighted by the log-ratio beyond ``MARK``. A
+document goes as well when its marks' weights (the evidence) sum up to more than its limit: a high
+quantile of its language's trusted documents by the root of the length, and never less than
+``LEAST_EVIDENCE``.
 
 Defined results: a null or empty text has no perplexity and is rejected; a null or unknown language
 is judged by the quantile over all trusted documents; repeated rows are judged each by itself, and
 a row that the labels name several times is trusted if any label trusts it and none distrusts it;
-without trusted text there is no model and nothing is rejected but empty texts; an empty table gives
+without trusted text there is no model and nothing is rejected but empty texts; without toxic text
+there are no marks; an empty table gives
 no rows; other columns are ignored by ``classify`` and kept by ``keep``.
 """
 
@@ -41,6 +52,8 @@ BROADCAST_IDS = 1_000_000
 QUANTILE = 0.99
 #: Allowance on the quantile's log-perplexity: a factor, and bytes whose square root spreads it.
 MARGIN, SPREAD = 0.03, 1.5
+#: Log-ratio from which an n-gram is a mark; least limit of the evidence, and by the root of the bytes.
+MARK, LEAST_EVIDENCE, LEAST_RATE = 3.0, 8.0, 0.16
 BROADCAST_LANGUAGES = 100_000
 #: Shards that a pass over the rows looks up.
 SHARDS_AT_ONCE = 4
@@ -111,9 +124,14 @@ def _mask(order: int) -> Column:
 
 
 def train(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """The model: k (order), code, log_p (of an n-gram of k bytes; null where it only serves as a
+    """The model of the column ``text``; see ``fit``."""
+    return fit(stored(ngrams(texts, order), "kn-counts"), order)
+
+
+def fit(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """The model of stored n-gram counts: k (order), code, log_p (of an n-gram of k bytes; null where it only serves as a
     context) and log_backoff (from k + 1 bytes, in the context ``code`` of k bytes)."""
-    tables = {order: stored(ngrams(texts, order), "kn-counts")}
+    tables = {order: counts}
     for k in range(order - 1, 0, -1):
         tables[k] = stored(tables[k + 1].groupBy(F.col("code").bitwiseAND(_mask(k)).alias("code"))
                            .agg(F.count("*").alias("n")), "kn-counts")
@@ -189,9 +207,9 @@ def _shard(context: np.ndarray, shards: int) -> np.ndarray:
     return (context & 0xFFFF) % shards
 
 
-def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS) -> list:
+def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS, more: DataFrame | None = None) -> list:
     """The model as broadcast shards (``Table``) of at most ``shard_rows`` rows, unless one pair of
-    context bytes alone has more."""
+    context bytes alone has more. ``more``: n-grams (``code``) that will go with the shards and count."""
     spark = model.sparkSession
     kind = F.lit(False).alias("backoff"), F.lit(True).alias("backoff")
     probability = model.where("log_p is not null")
@@ -208,7 +226,10 @@ def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS) -> list:
     short = (F.col("k") <= 1) | ((F.col("k") == 2) & ~F.col("backoff"))
     low = both.where(short).drop("pair").toArrow()
     roles = stored(both.where(~short), "kn-roles")
-    pairs = np.array([tuple(r) for r in roles.groupBy("pair").count().collect()],       # at most 65,536 rows
+    held = roles.select("pair")
+    if more is not None:
+        held = held.union(more.select(F.shiftright("code", 8).bitwiseAND(0xFFFF)))
+    pairs = np.array([tuple(r) for r in held.groupBy("pair").count().collect()],        # at most 65,536 rows
                      dtype=np.int64).reshape(-1, 2)
     shards = max(1, -(-int(pairs[:, 1].sum()) // shard_rows))
     while shards < 1 << 16 and np.bincount(pairs[:, 0] % shards, pairs[:, 1], shards).max(initial=0) > shard_rows:
@@ -221,19 +242,62 @@ def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS) -> list:
     return out
 
 
-def score(docs: DataFrame, shards: list, text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """``docs``, all rows and columns, with ``__n_bytes`` and ``__log_prob`` of the text. Each pass over
-    the rows adds the parts of ``SHARDS_AT_ONCE`` shards."""
-    df = docs.withColumns({"__n_bytes": F.lit(0).cast("long"), "__log_prob": F.lit(0.0)})
+def marks_of(model: DataFrame, shards: list, order: int = ORDER) -> list:
+    """For every shard the marks of ``model`` (of toxic text) against the one in ``shards``: their codes,
+    sorted, and weights, as a broadcast."""
+    rows = model.where((F.col("k") == order) & F.col("log_p").isNotNull()).select("code", F.col("log_p").alias("ratio"))
+    for i in range(0, len(shards), SHARDS_AT_ONCE):
+        rows = stored(rows.mapInArrow(_rating(dict(enumerate(shards[i:i + SHARDS_AT_ONCE], i)), len(shards), order),
+                                      "code long, ratio double"), "kn-ratios")
+    marks = rows.where(F.col("ratio") > MARK)
+    out = []
+    for s in range(len(shards)):
+        mine = (marks.where(F.shiftright("code", 8).bitwiseAND(0xFFFF) % len(shards) == s)
+                .select("code", (F.col("ratio") - MARK).cast("float").alias("weight")).sort("code").toArrow())
+        out.append(model.sparkSession.sparkContext.broadcast(
+            (mine.column("code").to_numpy(), mine.column("weight").to_numpy())))
+    return out
+
+
+def _rating(tables: dict, shards: int, order: int):
+    def run(batches):
+        for batch in batches:
+            code = batch.column("code").to_numpy()
+            ratio = batch.column("ratio").to_numpy().copy()
+            for number, table in tables.items():
+                mine = _shard(code >> 8, shards) == number
+                ratio[mine] -= table.value.log_p(code[mine], order)
+            yield pa.RecordBatch.from_arrays([batch.column("code"), pa.array(ratio)], names=["code", "ratio"])
+    return run
+
+
+def score(docs: DataFrame, shards: list, text_col: str = "text", order: int = ORDER,
+          marks: list | None = None) -> DataFrame:
+    """``docs``, all rows and columns, with ``__n_bytes``, ``__log_prob`` and ``__evidence`` (by ``marks``,
+    one for each shard) of the text. Each pass over the rows adds the parts of ``SHARDS_AT_ONCE`` shards."""
+    df = docs.withColumns({"__n_bytes": F.lit(0).cast("long"), "__log_prob": F.lit(0.0), "__evidence": F.lit(0.0)})
     for i in range(0, len(shards), SHARDS_AT_ONCE):
         if i:
             df = stored(df, "kn-partial")
-        df = df.mapInArrow(_adding(dict(enumerate(shards[i:i + SHARDS_AT_ONCE], i)), len(shards), order, text_col),
-                           df.schema)
+        part = slice(i, i + SHARDS_AT_ONCE)
+        df = df.mapInArrow(_adding(dict(enumerate(shards[part], i)), dict(enumerate((marks or [])[part], i)),
+                                   len(shards), order, text_col), df.schema)
     return df
 
 
-def _adding(tables: dict, shards: int, order: int, text_col: str):
+def _weights(marks: tuple[np.ndarray, np.ndarray], code: np.ndarray) -> np.ndarray:
+    keys, weights = marks
+    if not len(keys):
+        return np.zeros(len(code))
+    at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+    return np.where(keys[at] == code, weights[at], 0.0)
+
+
+def _sums(value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return np.array([value[a:b].sum() for a, b in zip(begin.tolist(), end.tolist())])
+
+
+def _adding(tables: dict, marks: dict, shards: int, order: int, text_col: str):
     def run(batches):
         for batch in batches:
             for first, part in pieces(texts_in(batch, text_col), BYTES_AT_ONCE):
@@ -241,25 +305,33 @@ def _adding(tables: dict, shards: int, order: int, text_col: str):
                 code = codes(data, order)
                 real = _places(begin, order - 1, len(data))
                 value = np.zeros(len(data))
+                evidence = np.zeros(len(data))
                 for number, table in tables.items():
                     mine = real & (_shard(code >> 8, shards) == number) if shards > 1 else real
                     unique, where = np.unique(code[mine], return_inverse=True)
                     value[mine] = table.value.log_p(unique, order)[where]
+                    if number in marks:
+                        evidence[mine] = _weights(marks[number].value, unique)[where]
                 end = np.r_[begin[1:-1] - (order - 1), len(data)]
                 out = batch.slice(first, len(part))
-                total = out.column("__log_prob").to_numpy(zero_copy_only=False) + np.array(
-                    [value[a:b].sum() for a, b in zip(begin[:-1].tolist(), end.tolist())])
-                for name, column in (("__n_bytes", end - begin[:-1]), ("__log_prob", total)):
+                columns = {"__n_bytes": end - begin[:-1]}
+                for name, parts in (("__log_prob", value), ("__evidence", evidence)):
+                    columns[name] = (out.column(name).to_numpy(zero_copy_only=False)
+                                     + _sums(parts, begin[:-1], end))
+                for name, column in columns.items():
                     out = out.set_column(out.schema.get_field_index(name), name, pa.array(column))
                 yield out
     return run
 
 
-def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Ids that the labels call good and not toxic."""
+def labelled_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """labelled_id and ``toxic``: false for ids that the labels call good and not toxic, true for those
+    that any label calls toxic."""
+    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
     good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
-    return (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("trusted_id"))
-            .agg(F.min(F.coalesce(good, F.lit(False))).alias("ok")).where("ok").select("trusted_id"))
+    return (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("labelled_id"))
+            .agg(F.min(F.coalesce(good, F.lit(False))).alias("good"), F.max(toxic).alias("toxic"))
+            .where("good or toxic").select("labelled_id", "toxic"))
 
 
 def _log_perplexity() -> Column:
@@ -268,36 +340,61 @@ def _log_perplexity() -> Column:
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, columns: list[str] | None = None) -> DataFrame:
     """``docs`` (doc_id, lang, text and any others; only ``columns`` are carried on) with ``__n_bytes``,
-    ``__log_perplexity``, ``__threshold`` and ``__kept``."""
-    ids = stored(trusted_ids(labels), "kn-trusted")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    trusted = (docs.select("doc_id", "lang", "text")
-               .join(ids, F.col("doc_id").cast("long") == F.col("trusted_id"), "left_semi").select("lang", "text"))
-    shards = shards_of(train(trusted.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))))
+    ``__log_perplexity``, ``__threshold``, ``__evidence``, ``__evidence_limit`` and ``__kept``."""
+    ids = stored(labelled_ids(labels), "kn-labelled")
+
+    def texts(toxic: bool) -> DataFrame:
+        some = ids.where(F.col("toxic") == toxic)
+        some = F.broadcast(some) if some.count() <= BROADCAST_IDS else some
+        return (docs.select("doc_id", "lang", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+                .join(some, F.col("doc_id").cast("long") == F.col("labelled_id"), "left_semi").select("lang", "text"))
+
+    trusted = texts(False)
+    halves = [trusted.where(F.pmod(F.xxhash64("text"), F.lit(2)) == h) for h in (0, 1)]
+    counts = [stored(ngrams(h.select("text")), "kn-counts") for h in halves]
+    toxic_model = train(texts(True).select("text"))
+
+    def lookups(of: DataFrame) -> tuple[list, list]:
+        shards = shards_of(fit(of), more=toxic_model.where(F.col("k") == ORDER))
+        return shards, marks_of(toxic_model, shards)
+
     spread = SPREAD / F.sqrt(F.greatest(F.col("__n_bytes"), F.lit(1)))
-    levels = stored(score(trusted, shards).where("__n_bytes > 0")
-                    .select("lang", (_log_perplexity() - spread).alias("x")), "kn-trusted-scores")
-    level = F.percentile_approx("x", F.lit(quantile), F.lit(10_000))
+    root = F.sqrt(F.col("__n_bytes"))
+    scores = []
+    for half, others in zip(halves, reversed(counts)):
+        shards, marks = lookups(others)
+        scores.append(stored(score(half, shards, marks=marks).where("__n_bytes > 0").select(
+            "lang", (_log_perplexity() - spread).alias("x"), (F.col("__evidence") / root).alias("e")),
+            "kn-trusted-scores"))
+        for b in (*shards, *marks):             # the scores are written, nothing looks them up again
+            b.destroy()
+    levels = scores[0].union(scores[1])
+    shards, marks = lookups(stored(counts[0].union(counts[1]).groupBy("code").agg(F.sum("n").alias("n")), "kn-counts"))
+    level, rate = (F.percentile_approx(c, F.lit(quantile), F.lit(10_000)) for c in ("x", "e"))
     # no longer than the languages, and one row
     by_lang = stored(levels.where("lang is not null").groupBy(F.col("lang").cast("string").alias("__lang"))
-                     .agg(level.alias("__level")), "kn-levels")
+                     .agg(level.alias("__level"), rate.alias("__rate")), "kn-levels")
     by_lang = F.broadcast(by_lang) if by_lang.count() <= BROADCAST_LANGUAGES else by_lang
-    overall = levels.agg(level).first()[0]
-    scored = score(docs if columns is None else docs.select(*{*columns, "lang", "text"}), shards)
+    overall, overall_rate = levels.agg(level, rate).first()
+    scored = score(docs if columns is None else docs.select(*{*columns, "lang", "text"}), shards, marks=marks)
     if columns is not None:
-        scored = scored.select(*columns, "lang", "__n_bytes", "__log_prob")
+        scored = scored.select(*columns, "lang", "__n_bytes", "__log_prob", "__evidence")
     limit = F.coalesce("__level", F.lit(overall).cast("double")) + MARGIN + spread
+    evidence = F.greatest(F.lit(LEAST_EVIDENCE), root * F.greatest(
+        F.lit(LEAST_RATE), F.coalesce("__rate", F.lit(overall_rate).cast("double"))))
+    # without trusted text there is no level: nothing to compare with
+    kept = F.coalesce(F.col("__log_perplexity") <= F.col("__threshold"), F.lit(True)) & (
+        F.col("__threshold").isNull() | (F.col("__evidence") <= F.col("__evidence_limit")))
     return (scored.join(by_lang, F.col("lang").cast("string") == F.col("__lang"), "left")
-            .withColumns({"__log_perplexity": _log_perplexity(), "__threshold": limit})
-            .withColumn("__kept", (F.col("__n_bytes") > 0) & F.coalesce(
-                F.col("__log_perplexity") <= F.col("__threshold"), F.lit(True))))
+            .withColumns({"__log_perplexity": _log_perplexity(), "__threshold": limit, "__evidence_limit": evidence})
+            .withColumn("__kept", (F.col("__n_bytes") > 0) & kept))
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """doc_id, lang, n_bytes, log_perplexity, threshold, kept of every row."""
+    """doc_id, lang, n_bytes, log_perplexity, threshold, kept, evidence, evidence_limit of every row."""
     out = judge(docs, labels, quantile, ["doc_id"])
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", *(
-        F.col(f"__{c}").alias(c) for c in ("n_bytes", "log_perplexity", "threshold", "kept")))
+        F.col(f"__{c}").alias(c) for c in ("n_bytes", "log_perplexity", "threshold", "kept", "evidence", "evidence_limit")))
 
 
 def keep(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:

@@ -391,6 +391,52 @@ def test_classifier(spark, docs, no_docs):
     assert untrained == len(rows) - 2
 
 
+def test_marks_are_log_ratios(spark):
+    clean = ["the cat sat on the mat", "the dog sat on the log"]
+    toxic = ["the cat is an idiot", "idiot dog"]
+    to_df = lambda ts: spark.createDataFrame([(t,) for t in ts], "text string")
+    model, against = kneser_ney.train(to_df(clean), 3), kneser_ney.train(to_df(toxic), 3)
+    for shard_rows in (10 ** 6, 40):
+        shards = kneser_ney.shards_of(model, shard_rows, against.where("k = 3"))
+        marks = kneser_ney.marks_of(against, shards, 3)
+        weights = {int(c): float(w) for b in marks for c, w in zip(*b.value)}
+        grams = {t[i:i + 3] for t in (b"\0\0" + x.encode() for x in toxic) for i in range(len(t) - 2)}
+        for g in grams:
+            # the log-ratio of the last byte, each by the texts' sums of one byte more and less
+            ratio = (_last_log_p(toxic, g) - _last_log_p(clean, g))
+            got = weights.get(int.from_bytes(g, "big"), 0.0)
+            assert abs(got - max(0.0, ratio - kneser_ney.MARK)) < 1e-3
+        text = "an idiot sat"
+        seen = kneser_ney.score(spark.createDataFrame([(text,), (None,)], "text string"), shards, order=3, marks=marks).collect()
+        padded = b"\0\0" + text.encode()
+        want = sum(weights.get(int.from_bytes(padded[i:i + 3], "big"), 0.0) for i in range(len(text)))
+        assert want > 0 and sorted(round(r["__evidence"], 3) for r in seen) == [0.0, round(want, 3)]
+
+
+def _last_log_p(texts, gram):
+    known = [t.encode() for t in texts]
+    start = gram.lstrip(b"\0")
+    return brute_log_p(known, start, 3) - (brute_log_p(known, start[:-1], 3) if len(start) > 1 else 0.0) \
+        if gram[0] == 0 else _inner(known, gram)
+
+
+def _inner(known, gram):
+    """log p of the last byte after two others, from a text that goes on to it and one that does not."""
+    return brute_log_p(known, gram, 3) - brute_log_p(known, gram[:-1], 3)
+
+
+def test_toxic_text_goes(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    good = [(i, text(150), "en") for i in range(200)]
+    toxic = [(i, text(70) + " idiot scum " + text(70) + " worthless " + text(10), "en") for i in range(200, 240)]
+    df = spark.createDataFrame(good + toxic, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, int(i >= 200)) for i in [*range(100), *range(200, 220)]],
+                                   "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in kneser_ney.classify(df, labels).collect()}
+    assert not any(kept[i] for i in range(200, 240)) and sum(kept[i] for i in range(200)) >= 197
+
+
 def test_warc(spark, docs):
     pages = spark.createDataFrame(
         [(i, f"http://a/{i}", f"<p>{i}</p>") for i in range(20)] + [(30, "u", "<p>3</p>"), (31, "u", "<p>3</p>"),
