@@ -37,6 +37,8 @@ no rows; other columns are ignored by ``classify`` and kept by ``keep``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -352,24 +354,28 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, column
     trusted = texts(False)
     halves = [trusted.where(F.pmod(F.xxhash64("text"), F.lit(2)) == h) for h in (0, 1)]
     counts = [stored(ngrams(h.select("text")), "kn-counts") for h in halves]
-    toxic_model = train(texts(True).select("text"))
+    counts.append(stored(counts[0].union(counts[1]).groupBy("code").agg(F.sum("n").alias("n")), "kn-counts"))
+    counts.append(stored(ngrams(texts(True).select("text")), "kn-counts"))
+    # independent chains of short jobs, submitted side by side
+    with ThreadPoolExecutor(len(counts)) as pool:
+        *half_models, model, toxic_model = pool.map(fit, counts)
 
     def lookups(of: DataFrame) -> tuple[list, list]:
-        shards = shards_of(fit(of), more=toxic_model.where(F.col("k") == ORDER))
+        shards = shards_of(of, more=toxic_model.where(F.col("k") == ORDER))
         return shards, marks_of(toxic_model, shards)
 
     spread = SPREAD / F.sqrt(F.greatest(F.col("__n_bytes"), F.lit(1)))
     root = F.sqrt(F.col("__n_bytes"))
     scores = []
-    for half, others in zip(halves, reversed(counts)):
-        shards, marks = lookups(others)
+    for half, other in zip(halves, reversed(half_models)):
+        shards, marks = lookups(other)
         scores.append(stored(score(half, shards, marks=marks).where("__n_bytes > 0").select(
             "lang", (_log_perplexity() - spread).alias("x"), (F.col("__evidence") / root).alias("e")),
             "kn-trusted-scores"))
         for b in (*shards, *marks):             # the scores are written, nothing looks them up again
             b.destroy()
     levels = scores[0].union(scores[1])
-    shards, marks = lookups(stored(counts[0].union(counts[1]).groupBy("code").agg(F.sum("n").alias("n")), "kn-counts"))
+    shards, marks = lookups(model)
     level, rate = (F.percentile_approx(c, F.lit(quantile), F.lit(10_000)) for c in ("x", "e"))
     # no longer than the languages, and one row
     by_lang = stored(levels.where("lang is not null").groupBy(F.col("lang").cast("string").alias("__lang"))
