@@ -2,11 +2,13 @@
 
 The index lists, for every word of the notice templates, where it stands in which template. How
 rare a license word is, is counted over all documents (a table no longer than the vocabulary of
-the templates). Each document looks up the postings of its highest-IDF license words only; every
-posting says where the template would have to begin, and places on which at least two different
-rare words agree (one, where the template has but one) are candidates. There the whole template is
-laid over the document: it counts if every word of one of its mandatory key phrases stands in its
-place, and its score is the share of the template's IDF weight that matches.
+the templates). Of every mandatory key phrase the ``ANCHORS`` words of highest IDF are looked up in
+every document that holds all words of some phrase; every posting says where the template would have
+to begin, and places on which all anchors of a phrase agree are candidates. A template counts only
+where one of its key phrases stands whole, anchors included, so no place is lost, and no notice
+competes with another, however many a text holds or how common one is. There the whole template is
+laid over the document: it counts if every word of one of its key phrases stands in its place, and
+its score is the share of the template's IDF weight that matches.
 
 All work is done by Spark SQL functions: words, license words and their positions in the row;
 candidates, a handful for each notice, as rows. A notice in a third of the documents costs its own
@@ -50,8 +52,8 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain",
      ("unencumbered software",)),
 )
-#: Highest-IDF license words that a document looks up, and the least score of a label.
-RARE_WORDS, MIN_SCORE = 8, 0.6
+#: Highest-IDF words of a key phrase that are looked up, and the least score of a label.
+ANCHORS, MIN_SCORE = 2, 0.6
 
 
 def _index() -> list[tuple]:
@@ -67,6 +69,18 @@ def _index() -> list[tuple]:
     return rows
 
 
+def _anchors(weight: dict[str, float]) -> list[tuple]:
+    """(template, key, word, place, number of anchors) rows: the postings by which a phrase is looked up."""
+    rows = []
+    for t, (_, _, keys) in enumerate(TEMPLATES):
+        for k in range(len(keys)):
+            places = [r for r in _index() if r[0] == t and r[3] == k]
+            # a word that no document holds comes first: then the phrase stands nowhere
+            rare = sorted({r[2] for r in places}, key=lambda w: (-weight.get(w, float("inf")), w))[:ANCHORS]
+            rows += [(t, k, w, place, len(rare)) for _, place, w, _ in places if w in rare]
+    return rows
+
+
 def _phrase_possible() -> Column:
     """Whether the text has all words of some phrase that a label asks for."""
     asked = sorted({tuple(sorted(set(p.split()))) for _, _, keys in TEMPLATES for p in keys}
@@ -132,20 +146,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     whole = words.groupBy("template").agg(F.sum("idf").alias("whole"))
     needed = (postings.where("key is not null").groupBy("template", "key")
               .agg(F.count("*").alias("need")))
-    n_distinct = words.groupBy("template").agg(F.least(F.lit(2), F.count_distinct("word")).alias("votes_needed"))
+    anchors = spark.createDataFrame(_anchors(weight), "template int, k int, word string, place int, votes_needed int")
 
-    noticed = rows.where("hits is not null").select("row_no", "present", "hits")
-    lookup = F.create_map(*(F.lit(x) for kv in weight.items() for x in kv)) if weight else F.lit(None).cast("map<string,double>")
-    rare = F.transform(F.slice(F.array_sort(F.transform("present", lambda w: F.struct(
-        (-lookup[w]).alias("idf"), w.alias("word")))), 1, RARE_WORDS), lambda s: s["word"])
-    noticed = sp.held(noticed, rare=rare)
+    noticed = rows.where("hits is not null").select("row_no", "hits")
     looked_up = noticed.select("row_no", F.explode(F.filter(
-        "hits", lambda h: F.array_contains("rare", h["word"]))).alias("h")).select("row_no", "h.*")
-    candidates = (looked_up.join(F.broadcast(words.select("template", "place", "word")), "word")
-                  .groupBy("row_no", "template", (F.col("pos") - F.col("place")).alias("begin"))
-                  .agg(F.count_distinct("word").alias("votes"))
-                  .join(F.broadcast(n_distinct), "template").where("votes >= votes_needed")
-                  .select("row_no", "template", "begin"))
+        "hits", lambda h: h["word"].isin(sorted({r[2] for r in _anchors(weight)})))).alias("h")).select("row_no", "h.*")
+    candidates = (looked_up.join(F.broadcast(anchors), "word")
+                  .groupBy("row_no", "template", "k", "votes_needed", (F.col("pos") - F.col("place")).alias("begin"))
+                  .agg(F.count_distinct("word").alias("votes")).where("votes >= votes_needed")
+                  .select("row_no", "template", "begin").distinct())
     hits = noticed.select(F.col("row_no").alias("r"), F.explode("hits").alias("h")).select("r", "h.*")
     laid = (candidates.join(F.broadcast(postings.withColumnRenamed("template", "t")), F.col("template") == F.col("t"))
             .join(hits.withColumnRenamed("word", "w"), (F.col("row_no") == F.col("r")) & (F.col("w") == F.col("word"))

@@ -286,6 +286,17 @@ def test_licenses(docs, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
+def test_licenses_of_many_notices(spark):
+    words = {label: (w, keys) for label, w, keys in license_scan.TEMPLATES}
+    four = ". ".join(words[k][0] for k in ("gpl-3", "isc", "bsd", "mpl-2"))
+    rows = [(0, four), (1, four + ". " + " ".join(sorted({w for _, t, _ in license_scan.TEMPLATES for w in t.split()})))]
+    rows += [(i, words["gpl-3"][0] if i % 3 == 0 else f"plain text {i} to copy") for i in range(2, 60)]
+    got = {r.doc_id: r.labels.split(",") for r in license_scan.scan(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all({"gpl-3", "isc", "bsd", "mpl-2"} <= set(got[i]) for i in (0, 1))
+    assert all(("gpl-3" in labels) == (i % 3 == 0) for i, labels in got.items() if i > 1)
+
+
 def test_leaks(spark, docs, no_docs):
     item = "What is the capital of the smallest country that the long river of the north crosses before it meets the sea?"
     edited = item.replace("smallest", "smalest").replace("north", "North").replace(" it ", " It, ")
