@@ -138,8 +138,9 @@ class Index:
         return (key[order], np.concatenate(item)[order] if keys else key, np.concatenate(offset)[order] if keys else key,
                 marks)
 
-    def candidates(self, form: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, place where it would begin) pairs, each once."""
+    def candidates(self, form: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, place where it would begin, place of the word that met), each once. The item may
+        begin before the text of the word: then its first bytes are missing."""
         longest = max((w.steps for w, *_ in self.walks), default=0)
         padded = np.r_[form, np.full(longest + 1, 32, np.uint8)]
         starts = _word_starts(form)
@@ -153,11 +154,12 @@ class Index:
                 n = np.searchsorted(keys, key[maybe], side="right") - first
                 which = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 found.append(np.stack([items[which].astype(np.int64),
-                                       np.repeat(some[maybe], n) - offsets[which].astype(np.int64)]))
+                                       np.repeat(some[maybe], n) - offsets[which].astype(np.int64),
+                                       np.repeat(some[maybe], n)]))
         if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pairs[0], pairs[1]
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        met = np.unique(np.concatenate(found, axis=1), axis=1)
+        return met[0], met[1], met[2]
 
 
 def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
@@ -227,13 +229,13 @@ class Matcher:
         for first, part in pieces(column, BYTES_AT_ONCE):
             data, begin = joined(part, 1)             # a zero byte, in compared form a blank, before each
             form, kept = normal_form(data)
-            items, places = self.index.candidates(form)
+            items, places, words = self.index.candidates(form)
             if not len(items):
                 continue
             # the byte before a text belongs to it, so a window may begin at its first word
             edge = np.searchsorted(kept, np.r_[begin[:-1] - 1, len(data)])
             run = runs(form)
-            of = np.searchsorted(edge, np.maximum(places, 0), side="right") - 1
+            of = np.searchsorted(edge, words, side="right") - 1
             for row in np.unique(of).tolist():
                 mine = of == row
                 text = form[edge[row]:edge[row + 1]].tobytes()

@@ -315,6 +315,15 @@ def test_leaks(spark, docs, no_docs):
     assert decontaminate.leaks(no_docs, items).count() == 0 and decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leak_without_its_first_word_in_every_row():
+    item = "What is the capital of the smallest country that the long river of the north crosses before it meets the sea?"
+    m = decontaminate.Matcher(decontaminate.Index([(1, item)], 0.1))
+    cut = item.split(" ", 1)[1]
+    column = [cut, cut, "prose of another kind.", cut, None, "", cut + " and more"]
+    got = {r: (d, a, b) for r, _, d, a, b in m.texts_of(pa.array(column, pa.string()))}
+    assert set(got) == {0, 1, 3, 6} and len(set(got.values())) == 1
+
+
 def edit(a, b):
     """Least edit distance of a to a window of b."""
     row = [0] * (len(b) + 1)
