@@ -1,23 +1,19 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH and exact edit verification.
+"""Benchmark decontamination: exact pieces, run filter and exact edit verification.
 
 A passage is a benchmark leak when some window of a document lies within ``MAX_EDITS`` (a share of
 the item's length) of the item in edit distance, after lower-casing ASCII letters and reducing all
 other ASCII characters to single spaces.
 
-The CGK embedding walks over a text: step j copies the current byte and goes on to the next byte or
-stays, as a random bit for (j, byte) says. Texts that differ by few edits fall into step again, so
-their walks agree in most places: edit distance becomes Hamming distance, and sampling places of the
-walk is a locality-sensitive hash for it. An edit puts only the part of a walk after it at risk.
-Walks are therefore short (``WALK`` steps) and begin afresh at every word: an item is indexed by the
-walks from all its words, and the item-sized window of a document is met if any one of them agrees in
-all sampled places. Each of ``REPEATS`` independent walks gives every window as many chances as the
-item has words. With a share e of bytes edited, a walk that reads about WALK / 2 bytes is untouched
-with probability (1 - e) ** (WALK / 2); an item of 150 bytes holds six walks that do not overlap, so
-at e = 0.05 one repeat finds 88 % and two, with the overlapping ones, over 95 % (tested).
+An item that may have k edits is cut into k + 1 pieces. One edit spoils one piece at most, so every
+window within k edits holds one of them unchanged, wherever the edits are and however long the item
+is: no leak is lost (tested against brute force at ``MAX_EDITS`` and by length). A piece is looked up
+by its first bytes, at most ``WIDEST``, at every byte of a document, not only at words, so scripts
+without spaces are met too.
 
 Every candidate (window, item) is verified exactly: equal windows at once, the others by Myers' bit
 vector algorithm over the window with the slack that the edits allow, unless the window holds fewer
-of the item's runs of ``RUN`` bytes than must be left whole by the allowed edits. Whole texts of all documents
+of the item's runs of ``RUN`` bytes than must be left whole by the allowed edits. The runs of many
+windows are first counted together by hashes, which can only count too many. Whole texts of all documents
 are read in one pass over the bytes of Arrow batches; nothing is shuffled, and a passage in a third
 of the documents costs each its own verification. Items are handed to the tasks in blocks of
 ``BLOCK_ITEMS``, whose size bounds what is broadcast; more items take more passes.
@@ -41,15 +37,15 @@ from salesmart.llm.buffers import joined, pieces, texts_in
 from salesmart.llm.common import text_of
 
 MAX_EDITS = 0.10
-REPEATS = 2
-#: Steps and sampled places of a walk; the second kind serves items that are shorter than the first.
-WALK, SAMPLES = (48, 16), (12, 10)
-MIN_ITEM, LONG_ITEM = 20, 64
+#: Most bytes of a piece that are looked up, and the least bytes of an item.
+WIDEST, MIN_ITEM = 16, 20
 RUN = 6
 BLOCK_ITEMS = 10_000
-SEED = 20_240
 BYTES_AT_ONCE = 1 << 20
-STARTS_AT_ONCE = 1 << 15
+#: Places that are hashed, candidates that are held and bytes of windows whose runs are counted together.
+PLACES_AT_ONCE, CANDIDATES_AT_ONCE, WINDOWS_AT_ONCE = 1 << 18, 1 << 18, 1 << 20
+RUN_BITS = 12
+_ODD = 0x9E3779B97F4A7C15
 LEAKS = "doc_id long, item_id long, start long, end long, distance long, item_length long"
 
 _FORM = np.arange(256, dtype=np.uint8)
@@ -73,36 +69,26 @@ def runs(form: np.ndarray) -> np.ndarray:
     return out
 
 
-class Walk:
-    """One random walk: its hash of the text from each of many starts."""
+def _keys(form: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the ``width`` bytes from every place (fewer places than bytes)."""
+    n = max(0, len(form) - width + 1)
+    key = np.zeros(n, dtype=np.uint64)
+    for k in range(width):
+        key += form[k:k + n]
+        key *= np.uint64(_ODD)
+    return key ^ key >> np.uint64(32)
 
-    def __init__(self, steps: int, samples: int, seed: int):
-        rng = np.random.default_rng(seed)
-        self.steps = steps
-        self.bits = rng.integers(0, 2, (steps, 256), dtype=np.int64)
-        self.sampled = np.zeros(steps, dtype=bool)
-        self.sampled[rng.choice(steps, samples, replace=False)] = True
-        self.factor = np.uint64(int(rng.integers(1, 1 << 62)) * 2 + 1)
 
-    def keys(self, padded: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """``padded`` ends in at least ``steps`` blanks."""
-        at = starts.copy()
-        key = np.zeros(len(at), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for step in range(self.steps):
-                byte = padded.take(at)
-                if self.sampled[step]:
-                    key = (key + byte + np.uint64(1)) * self.factor
-                at += self.bits[step].take(byte)
-        return key ^ (key >> np.uint64(29))
-
-
-def _word_starts(form: np.ndarray) -> np.ndarray:
-    return np.flatnonzero((form != 32) & np.r_[True, form[:-1] == 32]) if len(form) else np.zeros(0, np.int64)
+def _run_hash(run: np.ndarray) -> np.ndarray:
+    out = np.empty(len(run), dtype=np.uint16)
+    for k in range(0, len(run), PLACES_AT_ONCE):
+        some = run[k:k + PLACES_AT_ONCE].astype(np.uint64)
+        out[k:k + PLACES_AT_ONCE] = some * np.uint64(_ODD) >> np.uint64(64 - RUN_BITS)
+    return out
 
 
 class Index:
-    """Keys of the walks from all words of a block of items."""
+    """Keys of the pieces of a block of items."""
 
     def __init__(self, items: list[tuple[int | None, str]], max_edits: float):
         self.max_edits = max_edits
@@ -113,53 +99,43 @@ class Index:
             if len(form) >= MIN_ITEM:
                 self.ids.append(item_id)
                 self.forms.append(form)
-        self.walks = []
-        long_ = [len(f) >= LONG_ITEM for f in self.forms]
-        for kind, (steps, samples) in enumerate(zip(WALK, SAMPLES)):
-            mine = [i for i, b in enumerate(long_) if b == (kind == 0)]
-            for r in range(REPEATS if mine else 0):
-                walk = Walk(steps, samples, SEED + 10 * kind + r)
-                self.walks.append((walk, *self._entries(walk, mine)))
-
-    def _entries(self, walk: Walk, items: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        self.most = np.array([int(max_edits * len(f)) for f in self.forms], np.int64)
+        widths: dict[int, list[int]] = {}
+        for i, form in enumerate(self.forms):
+            widths.setdefault(max(1, min(WIDEST, len(form) // (int(self.most[i]) + 1))), []).append(i)
+        self.pieces = [(width, *self._entries(width, mine)) for width, mine in sorted(widths.items())]
+
+    def _entries(self, width: int, items: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         keys, item, offset = [], [], []
         for i in items:
-            starts = _word_starts(self.forms[i])
-            # a walk that would leave the item would read the document's other text
-            starts = starts[starts <= max(0, len(self.forms[i]) - walk.steps)]
-            padded = np.r_[self.forms[i], np.full(walk.steps + 1, 32, np.uint8)]
-            keys.append(walk.keys(padded, starts))
-            item.append(np.full(len(starts), i))
+            # where the pieces begin: the shortest has ``width`` bytes at least
+            n = int(self.most[i]) + 1
+            starts = np.minimum(np.arange(n) * len(self.forms[i]) // n, len(self.forms[i]) - width)
+            keys.append(_keys(self.forms[i], width)[starts])
+            item.append(np.full(n, i, np.int64))
             offset.append(starts)
-        key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        key = np.concatenate(keys)
         order = np.argsort(key, kind="stable")
         marks = np.zeros(1 << 20, dtype=bool)
         marks[(key & np.uint64(0xFFFFF)).astype(np.int64)] = True
-        return (key[order], np.concatenate(item)[order] if keys else key, np.concatenate(offset)[order] if keys else key,
-                marks)
-
-    def candidates(self, form: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, place where it would begin, place of the word that met), each once. The item may
-        begin before the text of the word: then its first bytes are missing."""
-        longest = max((w.steps for w, *_ in self.walks), default=0)
-        padded = np.r_[form, np.full(longest + 1, 32, np.uint8)]
-        starts = _word_starts(form)
-        found = []
-        for walk, keys, items, offsets, marks in self.walks:
-            for k in range(0, len(starts), STARTS_AT_ONCE):
-                some = starts[k:k + STARTS_AT_ONCE]
-                key = walk.keys(padded, some)
+        return key[order], np.concatenate(item)[order], np.concatenate(offset)[order], marks
+
+    def candidates(self, form: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Lots of (item, place where it would begin, place of the piece that met). The item may begin
+        before the text of the piece: then its first bytes are missing."""
+        for width, keys, items, offsets, marks in self.pieces:
+            for k in range(0, len(form) - width + 1, PLACES_AT_ONCE):
+                key = _keys(form[k:k + PLACES_AT_ONCE + width - 1], width)
                 maybe = np.flatnonzero(marks[(key & np.uint64(0xFFFFF)).astype(np.int64)])
                 first = np.searchsorted(keys, key[maybe])
                 n = np.searchsorted(keys, key[maybe], side="right") - first
-                which = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                found.append(np.stack([items[which].astype(np.int64),
-                                       np.repeat(some[maybe], n) - offsets[which].astype(np.int64),
-                                       np.repeat(some[maybe], n)]))
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        met = np.unique(np.concatenate(found, axis=1), axis=1)
-        return met[0], met[1], met[2]
+                lot = np.cumsum(n) // CANDIDATES_AT_ONCE
+                for some in np.split(np.arange(len(n)), np.flatnonzero(np.diff(lot)) + 1):
+                    m, total = n[some], int(n[some].sum())
+                    if total:
+                        which = np.repeat(first[some], m) + np.arange(total) - np.repeat(np.cumsum(m) - m, m)
+                        place = k + np.repeat(maybe[some], m)
+                        yield items[which], place - offsets[which], place
 
 
 def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
@@ -191,6 +167,31 @@ class Matcher:
         self.index = index
         self.texts = [f.tobytes() for f in index.forms]
         self.runs = [np.unique(runs(f)) for f in index.forms]
+        # the last entry stands for places without a run
+        self.known = np.zeros((len(self.texts), (1 << RUN_BITS) + 1), dtype=bool)
+        for i, run in enumerate(self.runs):
+            self.known[i, _run_hash(run)] = True
+        self.pad = max((len(t) for t in self.texts), default=0) + 4 * int(index.most.max(initial=0)) + RUN
+
+    def _hashed(self, run: np.ndarray) -> np.ndarray:
+        none = np.full(self.pad, 1 << RUN_BITS, np.uint16)
+        return np.concatenate([none, _run_hash(run), none])
+
+    def _near(self, hashed: np.ndarray, items: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Whether the windows around ``begins`` (items in order) can hold the runs that the edits must
+        leave whole; other texts' runs beside a window may count for it."""
+        good = np.zeros(len(items), dtype=bool)
+        edge = np.r_[0, np.flatnonzero(np.diff(items)) + 1, len(items)]
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            i = int(items[a])
+            n, most = len(self.texts[i]), int(self.index.most[i])
+            windows = np.lib.stride_tricks.sliding_window_view(hashed, n + 4 * most - RUN + 1)
+            step = max(1, WINDOWS_AT_ONCE // n)
+            for k in range(a, b, step):
+                some = windows[begins[k:min(b, k + step)] - 2 * most + self.pad]
+                good[k:min(b, k + step)] = (np.count_nonzero(self.known[i][some], axis=1)
+                                            >= n - RUN + 1 - RUN * most)
+        return good
 
     def _too_far(self, i: int, window: np.ndarray, most: int) -> bool:
         known = self.runs[i]
@@ -204,7 +205,7 @@ class Matcher:
         tried: set[tuple[int, int]] = set()
         for i, begin in sorted(zip(items.tolist(), begins.tolist()), key=lambda p: (p[0], p[1])):
             item = self.texts[i]
-            n, most = len(item), int(self.index.max_edits * len(item))
+            n, most = len(item), int(self.index.most[i])
             if i in out and out[i][0] == 0:
                 continue
             if begin >= 0 and form[begin:begin + n] == item:
@@ -224,18 +225,29 @@ class Matcher:
                 out[i] = (hit[0], lo + hit[1] - back[1], lo + hit[1])
         return out
 
+    def _candidates(self, form: np.ndarray, run: np.ndarray, edge: np.ndarray) -> np.ndarray:
+        """(item, place where it would begin, row) of the windows that can be near."""
+        hashed, kept = None, [np.zeros((3, 0), np.int64)]
+        for items, places, met in self.index.candidates(form):
+            hashed = self._hashed(run) if hashed is None else hashed
+            of = np.searchsorted(edge, met, side="right") - 1
+            # one window serves all that begin within the allowed edits from its own begin
+            slot = (places - edge[of]) // np.maximum(1, self.index.most[items])
+            order = np.lexsort((places, slot, of, items))
+            found = np.stack([items, places, of, slot])[:, order]
+            found = found[:3, np.r_[True, (np.diff(found[[0, 2, 3]]) != 0).any(axis=0)]]
+            kept.append(found[:, self._near(hashed, found[0], found[1])])
+        return np.concatenate(kept, axis=1)
+
     def texts_of(self, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item, distance, start, end in code points) of every leak of a column of texts."""
         for first, part in pieces(column, BYTES_AT_ONCE):
             data, begin = joined(part, 1)             # a zero byte, in compared form a blank, before each
             form, kept = normal_form(data)
-            items, places, words = self.index.candidates(form)
-            if not len(items):
-                continue
             # the byte before a text belongs to it, so a window may begin at its first word
             edge = np.searchsorted(kept, np.r_[begin[:-1] - 1, len(data)])
             run = runs(form)
-            of = np.searchsorted(edge, words, side="right") - 1
+            items, places, of = self._candidates(form, run, edge)
             for row in np.unique(of).tolist():
                 mine = of == row
                 text = form[edge[row]:edge[row + 1]].tobytes()

@@ -324,6 +324,33 @@ def test_leak_without_its_first_word_in_every_row():
     assert set(got) == {0, 1, 3, 6} and len(set(got.values())) == 1
 
 
+def test_no_leak_is_lost_at_the_limit_of_edits():
+    rng = random.Random(5)
+    def some(n):
+        return (" ".join(rng.choice(WORDS[:2] + WORDS[3:]) + rng.choice("aeiou") for _ in range(n // 4 + 2)))[:n - 1] + "z"
+    items, changed = [], []
+    for n in (20, 25, 30, 40, 50, 64, 70, 80, 95, 120, 150, 200, 300, 394):
+        for r in range(8):
+            text = some(n)
+            most = int(0.1 * len(decontaminate.normal_form(np.frombuffer(text.encode(), np.uint8))[0]))
+            at = rng.sample(range(n), most) if r % 2 else [int((j + .5) * n / most) for j in range(most)]
+            out = "".join(rng.choice(["", "x", c + "y"]) if j in at else c for j, c in enumerate(text))
+            items.append((len(items), text))
+            changed.append(some(90) + ". " + out + ". " + some(90))
+    text = "what is the capital of a land that lies by a sea and has a long river"
+    items.append((len(items), text))
+    changed.append(text[:12] + "x" + text[13:35] + "x" + text[36:])
+    text = "世界上最长的河流是哪一条请写出它的名字和长度"
+    items.append((len(items), text))
+    changed.append("关于地理的问题" + text + "还有别的问题")
+    m = decontaminate.Matcher(decontaminate.Index(items, 0.1))
+    found = {(r, i) for r, i, *_ in m.texts_of(pa.array(changed))}
+    forms = [decontaminate.normal_form(np.frombuffer(t.encode(), np.uint8))[0].tobytes() for t in changed]
+    want = {(r, i) for r, t in enumerate(forms) for i, item in enumerate(m.texts)
+            if decontaminate.nearest(item, t, int(0.1 * len(item)))}
+    assert found == want and sum((i, i) in want for i in range(len(items))) > 100
+
+
 def edit(a, b):
     """Least edit distance of a to a window of b."""
     row = [0] * (len(b) + 1)
