@@ -1,12 +1,14 @@
 """Personal data by bootstrapped contextual extraction.
 
 Seeds are the identifiers whose form alone tells them (addresses, numbers). Around every token
-that holds a digit or an @ sign the word before it is its lexical pattern. Patterns and instances
-(the token texts) form a graph with an edge for every pair that occurs. Each round scores a
+that holds a digit or an @ sign the word before it is its lexical pattern. Adjacent tokens of one line
+that are digit groups outside seeds (``555 123 4567``, ``(523) 555-1099``) are one, with the word before
+the first. Patterns and instances (the token texts) form a graph with an edge for every pair that occurs. Each round scores a
 pattern by the share of its occurrences whose instance is believed, weighs in how many different
 instances it has met, and believes the instances that well-scored patterns hold. Patterns that end
 with a high score mark the remaining identifier-like tokens that follow them, which no form
-recognises, as spans of kind ``<kind>_context``.
+recognises, as spans of kind ``<kind>_context``. What is identifier-like depends on the kind: an @ sign
+between two parts for email, ``MIN_DIGITS`` digits for the others, colon-separated groups also for ip.
 
 All work on texts is done by Spark SQL functions in the row; the graph is aggregated per pair
 before anything is joined, so a pattern as common as "the" is one pre-aggregated group, and only
@@ -34,11 +36,17 @@ PATTERNS = {
     "ip": r"[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "token": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+",
+    # with the line break after it
+    "token": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+[\x0A-\x0D]?+",
 }
+# Digit groups that another may follow, and that may follow another.
+_GROUP = r"[0-9]++(?:[()./-]++[0-9]++)*+"
+OPENS, FOLLOWS = rf"\A[^\p{{L}}0-9@]*+{_GROUP}\)?\z", rf"\A[(+\[]*+{_GROUP}[^\p{{L}}0-9@]*+\z"
+# Outer punctuation; a bracketed first group keeps its bracket.
+LEAD, TRAIL = r"^(?:(?!\([0-9]+\)[^A-Za-z0-9]*[0-9])[^A-Za-z0-9+#])+", r"[^A-Za-z0-9]+$"
 #: A pattern is accepted at this share of believed occurrences, met with so many instances.
 MIN_SCORE, MIN_SUPPORT, ROUNDS = 0.8, 3, 2
-#: A token is like an identifier from so many digits.
+#: A token or run of digit groups is like a number from so many digits.
 MIN_DIGITS = 6
 FOUND = "array<struct<rank:int,kind:string,start:int,end:int>>"
 
@@ -65,13 +73,27 @@ def _valid(s: Column) -> Column:
             .when(s["kind"] == "phone", n.between(10, 15)).otherwise(False))
 
 
+def _like(kind: Column, instance: Column) -> Column:
+    """Whether an instance is like an identifier of the kind."""
+    number = F.length(_digits(instance)) >= MIN_DIGITS
+    return (F.when(kind == "email", instance.rlike(r"\A[^@]+@[^@]+\z"))
+            .when(kind == "ip", number | instance.rlike(r"\A[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,}\z"))
+            .otherwise(number))
+
+
+def _like_any() -> Column:
+    """Whether ``instance`` is like an identifier of some kind."""
+    return F.greatest(*(_like(F.lit(k), F.col("instance")) for k in KINDS))
+
+
 def _bare(c: Column) -> Column:
     return F.struct(c["rank"].alias("rank"), c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
 
 
 def seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row_no, doc_id, base (valid seed spans) and occurrences (the tokens with a digit or @: place,
-    text without outer punctuation or that of the seed which begins in it, word before, that seed)."""
+    """row_no, doc_id, base (valid seed spans) and occurrences (the tokens with a digit or @, or runs of
+    digit groups: place, text without outer punctuation or that of the seed which begins in it, word
+    before, that seed)."""
     rows = text_of(docs, id_col, text_col).withColumn("row_no", F.monotonically_increasing_id())
     digit = F.col("text").rlike("[0-9]")
     rows = sp.held(rows, has_digit=digit, has_at=F.contains(F.col("text"), F.lit("@")))
@@ -81,18 +103,32 @@ def seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         "token": F.col("has_digit") | F.col("has_at")})
     df = sp.held(df, base=F.transform(F.filter("found", lambda s: (s["kind"] != "token") & _valid(s)), _bare))
     tokens = F.filter("found", lambda s: s["kind"] == "token")
-    value = lambda s: F.regexp_replace(s["value"], r"^[^A-Za-z0-9+#]+|[^A-Za-z0-9]+$", "")
-    lead = lambda s: F.length(F.regexp_extract(s["value"], "^[^A-Za-z0-9+#]*", 0))
+    value = lambda r: F.regexp_replace(F.regexp_replace(r["raw"], LEAD, ""), TRAIL, "")
+    lead = lambda r: F.length(F.regexp_extract(r["raw"], LEAD, 0))
     before = lambda s: F.lower(F.substring_index(F.rtrim(F.substring(
         F.col("text"), F.greatest(F.lit(1), s["start"] - 63), F.least(s["start"], F.lit(64)))), " ", -1))
     # the tokens that go on with a seed which began before them are part of it
     first = F.filter(tokens, lambda s: ~F.exists("base", lambda b: (b["start"] < s["start"]) & (b["end"] > s["start"])))
     inside = lambda s: F.filter("base", lambda b: (b["start"] < s["end"]) & (b["start"] >= s["start"]))
-    seed_text = lambda s: F.get(F.transform(inside(s), lambda b: F.substring(
+    df = sp.held(df, tokens=F.transform(first, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), inside(s).alias("seeds"))))
+    df = sp.held(df, opens=F.transform("tokens", lambda t: (F.size(t["seeds"]) == 0) & t["value"].rlike(OPENS)),
+                 follows=F.transform("tokens", lambda t: (F.size(t["seeds"]) == 0) & t["value"].rlike(FOLLOWS)))
+    goes_on = lambda t, i: (F.get("follows", i) & F.coalesce(F.get("opens", i - 1), F.lit(False))
+                            & (F.get("tokens", i - 1)["end"] + 1 == t["start"]))
+    df = sp.held(df, firsts=F.transform(F.filter(F.transform("tokens", lambda t, i: F.struct(
+        i.alias("i"), F.coalesce(goes_on(t, i), F.lit(False)).alias("goes_on"))), lambda t: ~t["goes_on"]),
+        lambda t: t["i"]))
+    # the tokens of a run stand one blank apart
+    df = sp.held(df, runs=F.transform("firsts", lambda i, k: F.struct(
+        F.get("tokens", i)["start"].alias("start"), F.get("tokens", i)["seeds"].alias("seeds"),
+        F.array_join(F.transform(F.slice("tokens", i + 1, F.coalesce(F.get("firsts", k + 1), F.size("tokens")) - i),
+                                 lambda t: t["value"]), " ").alias("raw"))))
+    seed_text = lambda r: F.get(F.transform(r["seeds"], lambda b: F.substring(
         F.col("text"), b["start"] + 1, b["end"] - b["start"])), F.lit(0))
-    occurrences = F.transform(first, lambda s: F.struct(
-        (s["start"] + lead(s)).alias("start"), (s["start"] + lead(s) + F.length(value(s))).alias("end"),
-        F.coalesce(seed_text(s), value(s)).alias("instance"), before(s).alias("pattern"), inside(s).alias("seeds")))
+    occurrences = F.transform("runs", lambda r: F.struct(
+        (r["start"] + lead(r)).alias("start"), (r["start"] + lead(r) + F.length(value(r))).alias("end"),
+        F.coalesce(seed_text(r), value(r)).alias("instance"), before(r).alias("pattern"), r["seeds"].alias("seeds")))
     return df.select("row_no", "doc_id", "base", occurrences.alias("occurrences"))
 
 
@@ -113,8 +149,8 @@ def bootstrap(seeded: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SC
                           .withColumn("score", F.col("good") / F.col("total"))
                           .where((F.col("score") >= min_score) & (F.col("support") >= min_support))
                           .select("pattern", "kind", "score"), "pii-patterns")
-        found = (pairs.where(F.length(_digits(F.col("instance"))) >= MIN_DIGITS)
-                 .join(accepted, "pattern").select("instance", "kind"))
+        found = (pairs.where(_like_any()).join(accepted, "pattern")
+                 .where(_like(F.col("kind"), F.col("instance"))).select("instance", "kind"))
         believed = stored(believed.union(found).distinct(), "pii-instances")
     return accepted
 
@@ -125,8 +161,8 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     accepted = bootstrap(seeded)
     place = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     more = (seeded.select("row_no", F.explode("occurrences").alias("o")).select("row_no", "o.*")
-            .where((F.size("seeds") == 0) & (F.length(_digits(F.col("instance"))) >= MIN_DIGITS))
-            .join(accepted, "pattern")
+            .where((F.size("seeds") == 0) & _like_any())
+            .join(accepted, "pattern").where(_like(F.col("kind"), F.col("instance")))
             .select("row_no", F.struct((place + len(KINDS)).cast("int").alias("rank"),
                                        F.concat("kind", F.lit("_context")).alias("kind"), "start", "end").alias("s"))
             .groupBy("row_no").agg(F.collect_set("s").alias("more")))

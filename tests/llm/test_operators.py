@@ -268,6 +268,21 @@ def test_pii_discovers_by_context(spark, docs):
     assert got[99] == "phone_context:12:22" and got[98] == ""
 
 
+def test_pii_discovers_every_shape(spark):
+    cards = [n for n in range(4111111111110000, 4111111111119999) if luhn(re.match(".*", str(n)))][:20]
+    seen = {"mail": [f"a{i}.b@mail.example.com" for i in range(20)], "call": [f"+1 (523) 555-10{i:02d}" for i in range(20)],
+            "card": [str(n) for n in cards], "host": [f"10.0.0.{i}" for i in range(20)]}
+    rows = [(i, f"now {word} {x} soon") for i, (word, x) in enumerate((w, x) for w, v in seen.items() for x in v)]
+    new = {"mail jane@intranet, or": "email_context:5:18", "call 555 123 4567. or": "phone_context:5:17",
+           "call (523) 555-1099, or": "phone_context:5:19", "card 4111 1111 1111 1112 or": "card_context:5:24",
+           "host fe80::1:2f or": "ip_context:5:15", "mail 5235551099 or": "", "call jane@intranet or": "",
+           "call 555\n123 4567 or": "", "call 12 +1 (523) 555-1055": "phone:8:25", "we saw 555 123 4567 or": ""}
+    rows += [(1000 + i, t) for i, t in enumerate(new)]
+    got = {r.doc_id: r[1] for r in pii.extract(spark.createDataFrame(rows, "doc_id long, text string"))
+           .select("doc_id", spans.as_text(F.col("spans"))).collect()}
+    assert [got[1000 + i] for i in range(len(new))] == list(new.values())
+
+
 def test_licenses(docs, no_docs):
     got = license_scan.scan(docs).collect()
     want = []
