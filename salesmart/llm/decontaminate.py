@@ -18,8 +18,8 @@ are read in one pass over the bytes of Arrow batches; nothing is shuffled, and a
 of the documents costs each its own verification. Items are handed to the tasks in blocks of
 ``BLOCK_ITEMS``, whose size bounds what is broadcast; more items take more passes.
 
-Defined results: null and empty texts and items are never leaks; items under ``MIN_ITEM`` bytes are
-no evidence and are left out; repeated rows and items are each reported; among windows of the same
+Defined results: null and empty texts and items are never leaks; items under ``MIN_ITEM`` bytes leak
+as exact copies between word boundaries only (scripts without spaces have none); repeated rows and items are each reported; among windows of the same
 distance the first is reported; a null ``doc_id`` stays null; an empty table gives no rows; other
 columns are ignored by ``leaks`` and kept by ``clean``.
 """
@@ -37,7 +37,7 @@ from salesmart.llm.buffers import joined, pieces, texts_in
 from salesmart.llm.common import text_of
 
 MAX_EDITS = 0.10
-#: Most bytes of a piece that are looked up, and the least bytes of an item.
+#: Most bytes of a piece that are looked up, and the least bytes of an item that may be edited.
 WIDEST, MIN_ITEM = 16, 20
 RUN = 6
 BLOCK_ITEMS = 10_000
@@ -96,10 +96,12 @@ class Index:
         for item_id, text in items:
             form = normal_form(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))[0]
             form = form[:len(form) - (len(form) > 0 and form[-1] == 32)]
-            if len(form) >= MIN_ITEM:
+            if len(form) < MIN_ITEM:
+                form = form[int(len(form) > 0 and form[0] == 32):]
+            if len(form):
                 self.ids.append(item_id)
                 self.forms.append(form)
-        self.most = np.array([int(max_edits * len(f)) for f in self.forms], np.int64)
+        self.most = np.array([int(max_edits * len(f)) * (len(f) >= MIN_ITEM) for f in self.forms], np.int64)
         widths: dict[int, list[int]] = {}
         for i, form in enumerate(self.forms):
             widths.setdefault(max(1, min(WIDEST, len(form) // (int(self.most[i]) + 1))), []).append(i)
@@ -160,6 +162,22 @@ def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
     return best
 
 
+def _spaced(char: str) -> bool:
+    """Whether a letter or digit belongs to a script that sets blanks between words."""
+    c = ord(char)
+    return char.isalnum() and not (0xE00 <= c < 0xF00 or 0x1000 <= c < 0x10A0 or 0x1780 <= c < 0x1800
+                                   or 0x3000 <= c < 0xA000 or 0xF900 <= c < 0xFB00 or c >= 0x20000)
+
+
+def bounded(form: bytes, begin: int, end: int) -> bool:
+    """Whether the window neither begins nor ends inside a word."""
+    def chars(a: int, b: int) -> str:
+        return form[max(0, a):b].decode("utf-8", "ignore")
+    before, head = chars(begin - 4, begin)[-1:], chars(begin, begin + 4)[:1]
+    tail, after = chars(end - 4, end)[-1:], chars(end, end + 4)[:1]
+    return not any(x and y and _spaced(x) and _spaced(y) for x, y in ((before, head), (tail, after)))
+
+
 class Matcher:
     """Verified leaks of one text."""
 
@@ -185,7 +203,7 @@ class Matcher:
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             i = int(items[a])
             n, most = len(self.texts[i]), int(self.index.most[i])
-            windows = np.lib.stride_tricks.sliding_window_view(hashed, n + 4 * most - RUN + 1)
+            windows = np.lib.stride_tricks.sliding_window_view(hashed, max(1, n + 4 * most - RUN + 1))
             step = max(1, WINDOWS_AT_ONCE // n)
             for k in range(a, b, step):
                 some = windows[begins[k:min(b, k + step)] - 2 * most + self.pad]
@@ -208,7 +226,10 @@ class Matcher:
             n, most = len(item), int(self.index.most[i])
             if i in out and out[i][0] == 0:
                 continue
-            if begin >= 0 and form[begin:begin + n] == item:
+            same = begin >= 0 and form[begin:begin + n] == item
+            if n < MIN_ITEM and not (same and bounded(form, begin, begin + n)):
+                continue
+            if same:
                 out[i] = (0, begin, begin + n)
                 continue
             place = (i, begin // max(1, most))

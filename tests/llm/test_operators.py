@@ -339,6 +339,14 @@ def test_leak_without_its_first_word_in_every_row():
     assert set(got) == {0, 1, 3, 6} and len(set(got.values())) == 1
 
 
+def test_short_items_leak_as_exact_copies():
+    items = [(0, "Newton's laws?"), (1, "42"), (2, "長城はどこ"), (3, "été"), (4, ""), (5, "?!")]
+    column = ["See «newton s LAWS», 42.", "newton s lawsuit 142 421 4.2", "質問は長城はどこにあるか", "un Été", "étés", None, "42"]
+    m = decontaminate.Matcher(decontaminate.Index(items, 0.1))
+    got = {(r, m.index.ids[i]): (d, column[r][a:b]) for r, i, d, a, b in m.texts_of(pa.array(column))}
+    assert got == {(0, 0): (0, "newton s LAWS"), (0, 1): (0, "42"), (2, 2): (0, "長城はどこ"), (6, 1): (0, "42")}
+
+
 def test_no_leak_is_lost_at_the_limit_of_edits():
     rng = random.Random(5)
     def some(n):
