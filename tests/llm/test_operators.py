@@ -210,6 +210,19 @@ def test_repetition(docs, no_docs):
     assert repetition.repetition(no_docs).count() == 0
 
 
+def test_repeats_are_measured_after_the_first():
+    def text(length, times, of):
+        passage = " ".join(f"p{i:03d}" for i in range(length))
+        rest = [f"w{i:03d}" for i in range(of - length * times)]
+        step = len(rest) // times
+        return " ".join(" ".join([*rest[k * step:(k + 1) * step if k < times - 1 else None], passage]) for k in range(times))
+    fields = [c.split()[0] for c in repetition.SCHEMA.split(", ")][1:]
+    five = dict(zip(fields, repetition.measure(text(10, 5, 330))))     # 40 words of 330 after the first
+    assert abs(five["covered_share"] - 40 / 330) < 0.01 and not five["kept"] and five["failed_rule"] == "covered_8"
+    twice = dict(zip(fields, repetition.measure(text(25, 2, 330))))    # 25 words of 330
+    assert abs(twice["covered_share"] - 25 / 330) < 0.01 and twice["kept"] and twice["n_repeat_words"] == 50
+
+
 def brute_spans(text, rules):
     out = [(m.start(), rank, m.end(), kind) for rank, (kind, pattern, ok) in enumerate(rules)
            for m in re.finditer(pattern, text) if ok(m)]
