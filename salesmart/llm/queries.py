@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import (decontaminate, kneser_ney, license_scan, packing, pii, repetition, secret_scan,
-                           simhash, spans, token_store, warc)
+from salesmart.llm import (bpe_replay, decontaminate, filter_audit, kneser_ney, license_scan, packing, pii, repetition,
+                           secret_scan, simhash, spans, subvector_kmeans, token_store, warc)
 from salesmart.llm.common import ship, stored, table
 from salesmart.session import scratch_path
 
@@ -100,9 +100,24 @@ def op10_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
 
+def op11_subvector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every vector."""
+    return subvector_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter does at each step of every order, by language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's ids, and digest of what they decode to."""
+    return bpe_replay.round_trip(table(spark, sf_dir, "documents"))
+
+
 _ALL = (op1_warc_transactions, op2_cost_packing, op3_license_index, op4_edit_decontamination,
         op5_kneser_ney_quality, op6_perfect_hash_store, op7_secret_ledger, op8_golay_simhash, op9_contextual_pii,
-        op10_repetition_coverage)
+        op10_repetition_coverage, op11_subvector_clusters, op12_filter_audit, op13_merge_replay)
 
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

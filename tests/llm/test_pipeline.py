@@ -35,7 +35,7 @@ def test_stages(spark):
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "documents", "benchmark", "labels"):
+    for t in ("pages", "documents", "benchmark", "labels", "embeddings"):
         con.execute(f"create view {t} as select * from '{SF_SMALL}/{t}.parquet'")
     res = con.execute(oracle.ORACLE[name])
     columns = [d[0] for d in res.description]
