@@ -58,7 +58,6 @@ def bag(rows):
 
 def ids_of(name, text):
     t = Tokenizer.from_file(tokenizer_path(name))
-    t.encode_special_tokens = True
     return t.encode(text, add_special_tokens=False).ids + [1]
 
 
