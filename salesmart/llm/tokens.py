@@ -28,6 +28,8 @@ BATCH_CHARS = 1_000_000
 BATCH_TEXTS = 4_000
 #: Chunks joined into one text, and the length from which a chunk goes alone.
 JOINED, LONG = 200, 200
+#: Joined texts in one call: the library's results take some 200 bytes a token while they are held.
+CALL_GROUPS = 20
 SIGNS = frozenset(",.;:!?)")
 _INNER_SPACE = re.compile(r"\s (?:\s|\Z)").search
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
@@ -98,7 +100,8 @@ class Encoder:
         """Ids of many short chunks, each of which follows a space, from few calls."""
         groups = [keys[i:i + JOINED] for i in range(0, len(keys), JOINED)]
         joint = f" {self.mark} " if self.drops_space else " "
-        found = self.tokenizer.encode_batch_fast([" " + joint.join(g) for g in groups], add_special_tokens=False)
+        found = (e for i in range(0, len(groups), CALL_GROUPS) for e in self.tokenizer.encode_batch_fast(
+            [" " + joint.join(g) for g in groups[i:i + CALL_GROUPS]], add_special_tokens=False))
         for group, e in zip(groups, found):
             ids = np.array(e.ids, dtype="<u2")
             if self.drops_space:
