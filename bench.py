@@ -88,8 +88,10 @@ def main() -> None:
         for df in reports:
             df.collect()
     _, steps["profile"] = timed(profile)
+    ledger = Ledger(spark, layers_base, create_layers(spark, layers_base))
     _, steps["log"] = timed(lambda: log_run(spark, f"{layers_base}/stg/sales", f"{base}/run_log",
-                                            wall_start, dt.datetime.now()).collect())
+                                            wall_start, dt.datetime.now(), stats=ledger.stats().filter(
+                                                "layer = 'staging'")).collect())
     workflow = sum(v for k, v in steps.items() if k != "land")
 
     queries: dict[str, float] = {}

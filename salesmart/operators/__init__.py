@@ -10,7 +10,7 @@ from salesmart.operators.clean import (cast_by_map, clean_sales, conform, fill_p
 from salesmart.operators.features import (add_full_address, add_liquor_type, add_store_format,
                                           item_features, liquor_type, store_features,
                                           store_format)
-from salesmart.operators.load import (append_new, first_per_key, load_into, load_layers,
+from salesmart.operators.load import (append_new, first_per_key, insert_marked, load_layers,
                                       skipped_rows)
 from salesmart.operators.metrics import add_metrics
 from salesmart.operators.model import (build_model, dim_items, dim_stores, distinct_items,

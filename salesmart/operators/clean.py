@@ -17,6 +17,7 @@ from salesmart.functions.numeric import (INTEGER_PATTERN, NUMBER_PATTERN, int_vi
                                          is_number_text, to_double)
 from salesmart.schema import (MEASURE_COLUMNS, MONEY, NUMERIC_TYPES, PLACEHOLDERS, SALES_COLUMNS,
                               SALES_KEY, SALES_SCHEMA)
+from salesmart.sources.raw import CORRUPT
 
 POSITIVE = "positive_money"
 
@@ -145,13 +146,17 @@ def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLAC
     null otherwise; ``raw_record`` keeps such a record's text as JSON (null for good rows,
     so it costs nothing there). Rows that merely fail the positive-measure filter are not
     rejects. Writing this once lets a load split rejects and clean rows without parsing
-    the raw records twice.
+    the raw records twice. With a ``corrupt_record`` column (see ``sources.raw.read_landing``) a
+    line that is no proper record is rejected as ``malformed record``, whatever fields could be read.
+    Columns beyond the sales columns are carried through.
     """
     filled = fill_placeholders(raw, placeholders)
+    more = [c for c in raw.columns if c not in SALES_COLUMNS and c != CORRUPT]
     typed = {f.name: F.col(f.name) for f in SALES_SCHEMA.fields}
     typed["date"] = parse_api_date(F.col("date"))
-    checks = [(F.col(SALES_KEY).isNull(), f"missing {SALES_KEY}"),
-              (F.col("date").isNull(), "missing date"), (typed["date"].isNull(), "unparseable date")]
+    checks = [(F.col(CORRUPT).isNotNull(), "malformed record")] if CORRUPT in raw.columns else []
+    checks += [(F.col(SALES_KEY).isNull(), f"missing {SALES_KEY}"),
+               (F.col("date").isNull(), "missing date"), (typed["date"].isNull(), "unparseable date")]
     for c, kind in type_map.items():
         if c not in raw.columns:
             continue
@@ -162,11 +167,13 @@ def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLAC
     reason = None
     for cond, label in checks:
         reason = F.when(cond, F.lit(label)) if reason is None else reason.when(cond, F.lit(label))
-    record = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
+    record = F.to_json(F.struct(*[F.col(c) for c in raw.columns if c in SALES_COLUMNS]))
+    if CORRUPT in raw.columns:
+        record = F.coalesce(F.col(CORRUPT), record)
     return filled.select(*[typed[f.name].cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields],
                          money_positive(type_map).alias(POSITIVE),
                          reason.alias("reject_reason"),
-                         F.when(reason.isNotNull(), record).alias("raw_record"))
+                         F.when(reason.isNotNull(), record).alias("raw_record"), *more)
 
 
 def loadable_rows(staged: DataFrame) -> DataFrame:

@@ -30,7 +30,6 @@ from salesmart.operators import quality as qa
 from salesmart.operators import runlog as rl
 from salesmart.operators import windows as wn
 from salesmart.plans import workflow as wf
-from salesmart.plans.workflow import incremental_batch
 from salesmart.schema import (DIMENSION_COLUMNS, DIRECTIONS, MEASURE_COLUMNS, REFERENCE_RUN_ROWS,
                               REFERENCE_RUN_SECONDS, SALES_COLUMNS, STORE_FORMAT_DEFAULT,
                               STORE_FORMAT_EXACT, STORE_FORMATS, STORE_NAME_REWRITES)
@@ -352,9 +351,16 @@ def q_windows_initial(spark, sf):
 
 
 def q_incremental_load(spark, sf):
-    run_date = clean(spark, sf).agg(F.date_add(F.max("date"), 1)).first()[0]
-    to_insert, _, _ = incremental_batch(raw(spark, sf), stored(spark, sf), run_date)
-    return to_insert
+    """The shipped load: a backfill of the months before ``STORED_BEFORE``, then a run that takes its
+    months from the high-water mark; what the second one inserted."""
+    base = scratch_path(spark, "incremental")
+    sinks.write_raw_json(raw(spark, sf), f"{base}/landing")
+    first, last = sales(spark, sf).agg(F.min("date"), F.max("date")).first()
+    cut, run_date = _d(STORED_BEFORE), last + dt.timedelta(days=1)
+    earlier = [m for m in wn.months_between(first, last) if m < (cut.year, cut.month)]
+    for months in (earlier, None):
+        wf.run_incremental(spark, f"{base}/landing", base, run_date, f"{base}/scratch", months=months).collect()
+    return read_layer(spark, f"{base}/int/sales").filter(F.col("sale_month") >= f"{cut:%Y-%m}").select(*SALES_COLUMNS)
 
 
 def _landed(spark, sf) -> DataFrame:
@@ -372,11 +378,21 @@ def _landed(spark, sf) -> DataFrame:
     return spoiled.unionByName(spoiled.filter(store % 10 == 3))
 
 
+def _broken_lines(spark, sf) -> DataFrame:
+    """Lines of a landing that are no proper records: records cut short, with the fields before the
+    cut readable, some of them twice."""
+    rows = sales(spark, sf).filter((F.col("store") % 19 == 7) & (F.col("itemno") % 13 == 5))
+    line = F.concat(F.lit('{"invoice_line_no":"'), "invoice_line_no", F.lit('","name":"HY-VEE","sale_bottles":"'))
+    lines = rows.select(line.alias("value"), "store")
+    return lines.unionByName(lines.filter(F.col("store") % 2 == 1)).select("value")
+
+
 def _landing_load(spark, sf) -> str:
     """The shipped load run twice over one landing: the months before ``STORED_BEFORE`` and those from
     ``RELOAD_FROM``, so that the second run meets stored keys. Returns the base folder."""
     base = scratch_path(spark, "landing-load")
     sinks.write_raw_json(_landed(spark, sf), f"{base}/landing")
+    _broken_lines(spark, sf).write.mode("append").text(f"{base}/landing")
     span = sales(spark, sf).agg(F.min("date"), F.max("date")).first()
     cut, again = _d(STORED_BEFORE), _d(RELOAD_FROM)
     whole = wn.months_between(span[0], span[1])
@@ -393,7 +409,12 @@ def q_load_landing(spark, sf):
 
 def q_load_rejects(spark, sf):
     rejects = spark.read.parquet(f"{_landing_load(spark, sf)}/rejects")
-    return rejects.groupBy("run", "reject_reason").agg(F.count("*").alias("n_rows"))
+    return rejects.groupBy("run", "reject_reason").agg(F.sum("copies").alias("n_rows"))
+
+
+def q_load_account(spark, sf):
+    """What became of every landed line that the two runs had to account for."""
+    return spark.read.parquet(f"{_landing_load(spark, sf)}/account").select("run", "outcome", "n_rows")
 
 
 def q_load_skipped(spark, sf):
@@ -403,9 +424,9 @@ def q_load_skipped(spark, sf):
 def q_incremental_stream(spark, sf):
     from salesmart.streaming.incremental import run_incremental_stream
     base = scratch_path(spark, "stream")
-    landing = f"{base}/landing"
-    sinks.write_raw_json(raw(spark, sf), landing)
-    return run_incremental_stream(spark, landing, f"{base}/target", f"{base}/checkpoint")
+    sinks.write_raw_json(_landed(spark, sf), f"{base}/landing")
+    _broken_lines(spark, sf).write.mode("append").text(f"{base}/landing")
+    return run_incremental_stream(spark, f"{base}/landing", base, f"{base}/checkpoint").select(*SALES_COLUMNS)
 
 
 # --- calendar ---------------------------------------------------------------------------

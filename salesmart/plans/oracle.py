@@ -364,7 +364,6 @@ def build() -> dict[str, str]:
         "SELECT layer, CAST(0 AS BIGINT) AS rows_before, "
         "(SELECT COUNT(DISTINCT invoice_line_no) FROM clean) AS rows_after "
         "FROM (VALUES ('staging'), ('integration')) v(layer)")
-    s["incremental_stream"] = with_("clean") + first_per_key("clean")
 
     # placeholders / numeric types (also the lookup round trip)
     ph = placeholders_sql("raw_sales")
@@ -624,7 +623,8 @@ def landing_sql(mix_name: str) -> dict[str, str]:
             "s2 AS (SELECT * FROM w2 WHERE invoice_line_no NOT IN (SELECT invoice_line_no FROM s1))",
             "runs AS (SELECT strftime(MIN(date), '%Y-%m') AS lo, strftime(MAX(date), '%Y-%m') AS hi, "
             f"strftime({first_month} - 1, '%Y-%m') AS cut, strftime({again_month}, '%Y-%m') AS again FROM sales)",
-            "named AS (SELECT lo || '_' || cut AS r1, again || '_' || hi AS r2 FROM runs)"]
+            "named AS (SELECT lo || '..' || cut AS r1, again || '..' || hi AS r2 FROM runs)",
+            "broken AS (SELECT COUNT(*) + COUNT(*) FILTER (store % 2 = 1) AS n FROM sales WHERE store % 19 = 7 AND itemno % 13 = 5)"]
 
     def full(select: str) -> str:
         return "WITH " + ",\n".join([SALES, *base]) + "\n" + select
@@ -638,11 +638,38 @@ def landing_sql(mix_name: str) -> dict[str, str]:
                 f"FROM (SELECT {cols()}, COUNT(*) AS copies FROM {batch} GROUP BY ALL) c LEFT JOIN {winners} w ON {on} "
                 f"WHERE c.copies - {kept} > 0")
 
-    counted = (f"SELECT CASE {' '.join(reasons)} END AS reject_reason, COUNT(*) AS n_rows FROM typed "
-               f"WHERE NOT ({whole}) GROUP BY ALL")
+    # a record without a date belongs to every run and is kept by the first; a dated one to the runs of its month
+    reason = f"CASE {' '.join(reasons)} END"
+    in_run = {"r1": f"date < {first_month}", "r2": f"date >= {again_month}"}
+    rejects = " UNION ALL ".join(
+        f"SELECT '{r}' AS r, {reason} AS reject_reason, COUNT(*) AS n FROM typed WHERE NOT ({whole}) AND {scope} GROUP BY ALL"
+        for r, scope in (("r1", f"(date IS NULL OR {in_run['r1']})"),
+                         ("r2", f"NOT ({in_run['r1']}) AND {in_run['r2']}")))
+    overlap = f"date >= {again_month} AND date < {first_month}"
+    rejects += " UNION ALL SELECT 'r1', 'malformed record', n FROM broken WHERE n > 0"
+
+    def outcomes(r: str, batch: str, inserted: str, new: str, old: str) -> str:
+        loadable = f"(SELECT COUNT(*) FROM {batch})"
+        dated = in_run[r]
+        foreign = f"(SELECT COUNT(*) FROM foreign_dates WHERE date IS NULL OR {dated})"
+        weak = f"(SELECT COUNT(*) FROM typed WHERE {whole} AND {dated}) - {loadable}"
+        parts = {"inserted": f"(SELECT COUNT(*) FROM {inserted})", "skipped": f"{loadable} - (SELECT COUNT(*) FROM {inserted})",
+                 "rejected": new, "rejected before": old, "other retailer": foreign, "not positive": weak}
+        return " UNION ALL ".join(f"SELECT (SELECT {r} FROM named) AS run, '{o}' AS outcome, CAST({n} AS BIGINT) AS n_rows"
+                                  for o, n in parts.items())
+
+    kept = f"kept AS ({rejects})"
+    total = {r: f"(SELECT COALESCE(SUM(n), 0) FROM kept WHERE r = '{r}')" for r in ("r1", "r2")}
+    again = (f"(SELECT COUNT(*) FROM typed WHERE NOT ({whole}) AND (date IS NULL OR {overlap})) + (SELECT n FROM broken)")
+    theirs = ("foreign_dates AS (SELECT " + parse_date("date") + " AS date FROM raw_sales WHERE NOT "
+              "(COALESCE(lower(name) LIKE '%hy-vee%' OR name LIKE '%WALL TO WALL WINE AND SPIRITS%', false)))")
+    base += [kept, theirs]
     return {"load_landing": full(f"SELECT {cols()} FROM s1 UNION ALL SELECT {cols()} FROM s2"),
-            "load_rejects": full(f"SELECT r.run, c.reject_reason, c.n_rows FROM ({counted}) c, "
-                                 "(SELECT r1 AS run FROM named UNION ALL SELECT r2 FROM named) r"),
+            "load_rejects": full("SELECT CASE r WHEN 'r1' THEN r1 ELSE r2 END AS run, reject_reason, "
+                                 "CAST(SUM(n) AS BIGINT) AS n_rows FROM kept, named GROUP BY ALL"),
+            "load_account": full(outcomes("r1", "b1", "s1", total["r1"], "0") + " UNION ALL "
+                                 + outcomes("r2", "b2", "s2", total["r2"], again)),
+            "incremental_stream": full(first_per_key("good")),
             "load_skipped": full(skipped("b1", "w1", "s1", "r1") + " UNION ALL " + skipped("b2", "w2", "s2", "r2"))}
 
 

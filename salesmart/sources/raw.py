@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.schema import RAW_SALES_SCHEMA, SALES_COLUMNS
@@ -25,6 +26,31 @@ def read_raw_sales(spark: SparkSession, path: str | Sequence[str], fmt: str = "j
     return reader.format(fmt).load(path)
 
 
+#: Text of a record that is not proper JSON; null for every other record.
+CORRUPT = "corrupt_record"
+SOURCE_FILE = "source_file"
+
+
+def landing_schema(month_col: str | None = None) -> T.StructType:
+    """Raw fields, the corrupt-record column and, where the landing has one, the month folder."""
+    more = [T.StructField(CORRUPT, T.StringType())]
+    if month_col:
+        more.append(T.StructField(month_col, T.StringType()))
+    return T.StructType(RAW_SALES_SCHEMA.fields + more)
+
+
+def read_landing(spark: SparkSession, path: str | Sequence[str], month_col: str | None = None,
+                 stream_files: int | None = None, stream: bool = False) -> DataFrame:
+    """Landed JSON lines with nothing lost: the raw fields as text, ``corrupt_record`` with the whole
+    line where it is no proper record, and ``source_file``. A stream with ``stream``."""
+    reader = spark.readStream if stream else spark.read
+    if stream and stream_files:
+        reader = reader.option("maxFilesPerTrigger", stream_files)
+    reader = (reader.schema(landing_schema(month_col)).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT))
+    return reader.json(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+
+
 def select_sales(df: DataFrame, columns: Sequence[str] = SALES_COLUMNS) -> DataFrame:
     """Keep the selected sales columns; on a file scan Catalyst prunes the rest."""
     return df.select(*columns)

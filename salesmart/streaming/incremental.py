@@ -1,58 +1,41 @@
 """The incremental load as a Structured Streaming query.
 
 Raw record files land in a folder (one or more per month). The file source picks up only
-files it has not seen (tracked in the checkpoint), each micro-batch is cleaned and
-loaded insert-if-absent into the target table. A replayed micro-batch after a failure
-inserts nothing twice, because the load itself skips stored keys.
+files it has not seen (tracked in the checkpoint), and each micro-batch goes through the same
+load as a batch run (``plans.workflow.load_records``): rejects and skipped rows kept by run,
+first row of each new key into both layers, every record accounted for. A micro-batch is a run of
+its own, of any month, named by its number, so one that is replayed after a failure replaces its
+reports and inserts nothing twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from salesmart.operators.clean import loadable_rows, typed_with_rejects
-from salesmart.operators.load import load_into
-from salesmart.operators.quality import create_empty_table
-from salesmart.schema import RAW_SALES_SCHEMA, SALES_KEY, SALES_SCHEMA
+from salesmart.plans.workflow import load_records
+from salesmart.sources.layers import read_layer
+from salesmart.sources.raw import read_landing
 
 
-def start_incremental_stream(spark: SparkSession, landing_path: str, target_path: str,
-                             checkpoint_path: str, key: str = SALES_KEY,
-                             order_cols: Sequence[str] | None = None,
+def start_incremental_stream(spark: SparkSession, landing_path: str, base: str, checkpoint_path: str,
                              max_files_per_trigger: int | None = None,
-                             available_now: bool = True,
-                             rejects_path: str | None = None) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what has landed and stops.
-    With ``rejects_path`` the records that cannot be typed are appended there."""
-    create_empty_table(spark, target_path, SALES_SCHEMA)
-    reader = spark.readStream.schema(RAW_SALES_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(landing_path)
+                             available_now: bool = True) -> StreamingQuery:
+    """Start the stream into the layers under ``base``; with ``available_now`` it processes what has
+    landed and stops."""
+    landing = read_landing(spark, landing_path, stream_files=max_files_per_trigger, stream=True)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        # typed once per micro-batch, then split into rejects and rows to load
-        staged = typed_with_rejects(batch).persist()
-        if rejects_path:
-            (staged.filter(F.col("reject_reason").isNotNull())
-                   .select("invoice_line_no", "reject_reason", "raw_record",
-                           F.lit(batch_id).alias("batch_id"))
-                   .write.mode("append").parquet(rejects_path))
-        load_into(loadable_rows(staged), target_path, key, order_cols)
-        staged.unpersist()
-
-    writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_path)
+        load_records(batch.sparkSession, batch, base, f"batch-{batch_id}", None, f"{base.rstrip('/')}/scratch")
+
+    writer = landing.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def run_incremental_stream(spark: SparkSession, landing_path: str, target_path: str,
+def run_incremental_stream(spark: SparkSession, landing_path: str, base: str,
                            checkpoint_path: str, **kw) -> DataFrame:
-    """Run the stream to completion over the landed files and return the target table."""
-    query = start_incremental_stream(spark, landing_path, target_path, checkpoint_path, **kw)
+    """Run the stream to completion over the landed files and return the integration layer."""
+    query = start_incremental_stream(spark, landing_path, base, checkpoint_path, **kw)
     query.awaitTermination()
-    return spark.read.parquet(target_path)
+    return read_layer(spark, f"{base.rstrip('/')}/int/sales")

@@ -4,13 +4,19 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators.clean import clean_sales, fill_placeholders
+from salesmart.operators import load
 from salesmart.operators.load import append_new, first_per_key, load_layers, skipped_rows
 from salesmart.operators.quality import create_layers
 from salesmart.operators.windows import high_water_mark, month_list, month_windows
+from salesmart.plans.workflow import load_records, run_id, run_incremental
 from salesmart.schema import DIMENSION_COLUMNS, SALES_COLUMNS, SALES_SCHEMA
+from salesmart.sources.layers import read_layer
+from salesmart.sources.ledger import Ledger
+from salesmart.sources.raw import read_landing
 from salesmart.streaming.incremental import run_incremental_stream
 
 
@@ -112,28 +118,139 @@ def test_clean_sales_from_json(spark, tmp_dir):
     assert r.category_name == "UNKNOWN" and str(r.state_bottle_cost) == "3.50"
 
 
+def record(key, day, bottles="2", name="HY-VEE"):
+    return json.dumps({"invoice_line_no": key, "date": day, "store": "1", "name": name, "bottle_volume_ml": "750",
+                       "state_bottle_cost": "3.50", "state_bottle_retail": "5.25", "sale_bottles": bottles})
+
+
+def land(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("\n".join(lines))
+
+
 def test_stream_loads_new_files_only_once(spark, tmp_dir):
-    landing = os.path.join(tmp_dir, "landing")
-    os.makedirs(landing)
-
-    def land(name, rows):
-        with open(os.path.join(landing, name), "w") as f:
-            f.write("\n".join(json.dumps(r) for r in rows))
-
-    def rec(key, day, bottles="2"):
-        return {"invoice_line_no": key, "date": day, "store": "1", "name": "HY-VEE",
-                "bottle_volume_ml": "750", "state_bottle_cost": "3.50",
-                "state_bottle_retail": "5.25", "sale_bottles": bottles}
-    land("m1.json", [rec("A", "2024-01-02T00:00:00.000"), rec("B", "2024-01-03T00:00:00.000")])
-    target, ckpt = os.path.join(tmp_dir, "target"), os.path.join(tmp_dir, "ckpt")
-    assert run_incremental_stream(spark, landing, target, ckpt).count() == 2
-    land("m2.json", [rec("A", "2024-02-01T00:00:00.000"), rec("C", "2024-02-02T00:00:00.000"),
-                     rec("D", "someday")])
-    out = run_incremental_stream(spark, landing, target, ckpt, rejects_path=os.path.join(tmp_dir, "rej"))
-    assert [r.invoice_line_no for r in spark.read.parquet(os.path.join(tmp_dir, "rej")).collect()] == ["D"]
+    landing, base, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "base", "ckpt"))
+    land(landing, "m1.json", [record("A", "2024-01-02T00:00:00.000"), record("B", "2024-01-03T00:00:00.000"),
+                              record("X", "2024-01-03T00:00:00.000", name="FAREWAY")])
+    assert run_incremental_stream(spark, landing, base, ckpt).count() == 2
+    land(landing, "m2.json", [record("A", "2024-02-01T00:00:00.000"), record("C", "2024-02-02T00:00:00.000"),
+                              record("D", "someday"), '{"invoice_line_no": "E", "name": "HY-VEE"', "[1"])
+    out = run_incremental_stream(spark, landing, base, ckpt)
     assert sorted((r.invoice_line_no, r.date.month) for r in out.collect()) == [("A", 1), ("B", 1), ("C", 2)]
-    # a re-run with nothing new changes nothing
-    assert run_incremental_stream(spark, landing, target, ckpt).count() == 3
+    rejects = spark.read.parquet(f"{base}/rejects").collect()
+    assert sorted((r.run, r.reject_reason) for r in rejects) == [
+        ("batch-1", "malformed record"), ("batch-1", "malformed record"), ("batch-1", "unparseable date")]
+    assert [(r.run, r.invoice_line_no, r.reason) for r in spark.read.parquet(f"{base}/skipped").collect()] == [
+        ("batch-1", "A", "key already stored")]
+    # a re-run with nothing new changes nothing, and a replayed batch replaces its reports
+    assert run_incremental_stream(spark, landing, base, ckpt).count() == 3
+    replayed = read_landing(spark, f"{landing}/m2.json")
+    load_records(spark, replayed, base, "batch-1", None, f"{base}/scratch").collect()
+    assert read_layer(spark, f"{base}/stg/sales").count() == 3
+    assert spark.read.parquet(f"{base}/rejects").count() == 3
+
+
+def account(spark, base):
+    return {(r.run, r.outcome): r.n_rows for r in spark.read.parquet(f"{base}/account").collect() if r.n_rows}
+
+
+def test_every_landed_line_is_accounted_for_over_several_runs(spark, tmp_dir):
+    landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/base"
+    lines = [record("A", "2024-01-02T00:00:00.000")] * 3 + [
+        record("B", "2024-01-05T00:00:00.000", bottles="-1"), record("C", "2024-02-05T00:00:00.000"),
+        record("D", "2024-02-05T00:00:00.000", bottles="many"), record("E", None), record("E", None),
+        record("F", "2024-03-05T00:00:00.000"), record("G", "2024-02-07T00:00:00.000", name="FAREWAY"),
+        record(None, "2024-03-05T00:00:00.000"), '{"invoice_line_no": "H", "date": "2024-01-09T00:00:00.000"', "no json", "no json"]
+    land(landing, "page.json", lines)
+
+    def run(*months):
+        run_incremental(spark, landing, base, dt.date(2024, 4, 2), f"{tmp_dir}/scratch", months=[(2024, m) for m in months]).collect()
+
+    run(1)
+    run(2)
+    once = {("2024-01", "inserted"): 1, ("2024-01", "skipped"): 2, ("2024-01", "not positive"): 1, ("2024-01", "rejected"): 5,
+            ("2024-02", "inserted"): 1, ("2024-02", "other retailer"): 1, ("2024-02", "rejected"): 1,
+            ("2024-02", "rejected before"): 5}
+    assert account(spark, base) == once
+    assert sum(n for (_, o), n in once.items() if o != "rejected before") == len(lines) - 2      # all but March's
+    # months 1 and 3, then 1 to 3: other names, no reject twice, no report replaced
+    run(1, 3)
+    run(1, 2, 3)
+    rejects = spark.read.parquet(f"{base}/rejects").collect()
+    assert sorted((r.run, r.reject_reason, r.copies) for r in rejects) == [
+        ("2024-01", "malformed record", 1), ("2024-01", "malformed record", 2), ("2024-01", "missing date", 2),
+        ("2024-01+2024-03", "missing invoice_line_no", 1), ("2024-02", "bad sale_bottles", 1)]
+    assert {r.raw_record for r in rejects if r.reject_reason == "malformed record"} == {lines[-3], "no json"}
+    # the same run again: nothing inserted, the same rejects
+    run(1)
+    assert len(spark.read.parquet(f"{base}/rejects").collect()) == len(rejects)
+    assert account(spark, base)[("2024-01", "skipped")] == 3
+    assert sorted(r.invoice_line_no for r in read_layer(spark, f"{base}/stg/sales").collect()) == ["A", "C", "F"]
+
+
+def test_run_ids_name_all_months():
+    assert run_id([(2023, 12), (2024, 1), (2024, 3)]) == "2023-12..2024-01+2024-03"
+    assert run_id([(2024, 1), (2024, 3)]) != run_id([(2024, 1), (2024, 2), (2024, 3)])
+    odd = [(y, m) for y in range(1990, 2024) for m in (1, 3, 5)]
+    assert len(run_id(odd)) < 120 and run_id(odd) != run_id(odd[:-1])
+
+
+def test_stored_keys_are_not_shuffled(spark, tmp_dir):
+    layers = create_layers(spark, tmp_dir)
+    batch = frame(spark, [sales_row(f"K{i}", dt.date(2024, 1, 1 + i % 9)) for i in range(50)])
+    load_layers(batch, layers)
+    ledger = Ledger(spark, tmp_dir, layers)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marked = ledger.mark_stored(first_per_key(batch))
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert marked.filter("in_staging and in_integration").count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Bucketed: true" in plan
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    above = []                                           # the operators from the stored keys up to the join
+    for line in reversed(lines[:at]):
+        d = len(line) - len(line.lstrip(" :+-"))
+        if d < depth:
+            above.append(line)
+            depth = d
+        if "Join" in line:
+            break
+    assert above and not any("Exchange" in line for line in above), plan
+
+
+def test_figures_come_from_the_writes_and_survive_an_interrupted_run(spark, tmp_dir, monkeypatch):
+    layers = create_layers(spark, tmp_dir)
+
+    def batch(first, n):
+        return frame(spark, [sales_row(f"K{i}", dt.date(2024, 1 + i % 3, 1)) for i in range(first, first + n)])
+
+    load_layers(batch(0, 10), layers, run="one")
+    stats = {r.layer: tuple(r)[1:] for r in Ledger(spark, tmp_dir, layers).stats().collect()}
+    assert stats == dict.fromkeys(layers, (10, dt.date(2024, 1, 1), dt.date(2024, 3, 1)))
+    # the second layer's write fails: staging has rows that neither log nor keys know
+    real = load.append_to_layer
+
+    def failing(rows, path):
+        if "/int/" in path:
+            raise RuntimeError("lost")
+        return real(rows, path)
+
+    monkeypatch.setattr(load, "append_to_layer", failing)
+    with pytest.raises(RuntimeError):
+        load_layers(batch(5, 10), layers, run="two")
+    monkeypatch.setattr(load, "append_to_layer", real)
+    got = {r.layer: (r.rows_before, r.rows_after) for r in load_layers(batch(5, 10), layers, run="two").collect()}
+    assert got == {"staging": (15, 15), "integration": (10, 15)}
+    for layer, path in layers.items():
+        t = read_layer(spark, path)
+        assert t.count() == t.select("invoice_line_no").distinct().count() == 15
+    assert {r.layer: r.record_count for r in Ledger(spark, tmp_dir, layers).stats().collect()} == dict.fromkeys(layers, 15)
 
 
 def test_first_per_key_prefers_earliest_date(spark):
