@@ -32,11 +32,13 @@ from pyspark.sql import functions as F  # noqa: E402
 from salesmart import demo  # noqa: E402
 from salesmart.operators import clean as cl  # noqa: E402
 from salesmart.operators import profile as pf  # noqa: E402
+from salesmart.operators.quality import create_layers  # noqa: E402
 from salesmart.plans import catalog  # noqa: E402
 from salesmart.plans.workflow import build_mart, log_run, run_incremental  # noqa: E402
 from salesmart.schema import REFERENCE_RUN_ROWS, REFERENCE_RUN_SECONDS  # noqa: E402
 from salesmart.session import local_session, scratch_path  # noqa: E402
 from salesmart.sources.layers import read_layer  # noqa: E402
+from salesmart.sources.ledger import Ledger  # noqa: E402
 from salesmart.sources.raw import read_raw_sales  # noqa: E402
 
 HEADLINE = ["clean_sales", "transaction_metrics", "dim_stores", "dim_items", "store_format",

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.numeric import div_round, percent, text_to_long, to_double
+from salesmart.session import scratch_path
 from salesmart.schema import DIMENSION_COLUMNS, MEASURE_COLUMNS, NUMERIC_TYPES
 
 
@@ -134,15 +135,58 @@ def to_numeric(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS,
 
 # --- P8 / P9 / P10: describe and measure checks ------------------------------------------
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUARTILES) -> DataFrame:
+    """Exact quantiles with linear interpolation: (column_name, prob, value double).
+
+    No task ever holds a column: values are counted (partial aggregation), and the counts are
+    written in ranges of (column, value), so that equal parts of all distinct values lie in each.
+    The parts' totals tell which part holds each rank that a quantile needs, and only in those
+    parts, two for each quantile at most, counts are summed up to the rank. Columns without values
+    give no rows.
+    """
+    spark = df.sparkSession
+    number = T.DecimalType(38, 6)
+    stacked = df.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast(number).alias("value"))
+                                           for c in cols)))).filter(F.col("value").isNotNull())
+    path = scratch_path(spark, "value-counts")
+    (stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+     .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "column_name", "value")
+     .withColumn("part", F.spark_partition_id()).write.parquet(path))
+    counts = spark.read.schema("column_name string, value decimal(38,6), n long, part int").parquet(path)
+    # a row for each column and part: the ranks it holds are [before, before + n)
+    upto = Window.partitionBy("column_name").orderBy("part")
+    parts = (counts.groupBy("column_name", "part").agg(F.sum("n").alias("n"))
+             .select("column_name", "part", F.sum("n").over(upto).alias("end"), F.col("n").alias("inside"))
+             .withColumn("before", F.col("end") - F.col("inside")))
+    edges = []                                           # the ranks below and above the place, by nearness
+    for p in probs:
+        at = (F.col("total") - 1) * F.lit(float(p))
+        above = at - F.floor(at)
+        edges += [F.struct(F.lit(float(p)).alias("prob"), rank.cast("long").alias("rank"), weight.alias("weight"))
+                  for rank, weight in ((F.floor(at), 1 - above), (F.floor(at) + 1, above))]
+    ranks = (parts.groupBy("column_name").agg(F.max("end").alias("total"))
+             .select("column_name", F.inline(F.array(*edges))).filter(F.col("weight") > 0))
+    wanted = (ranks.join(parts, "column_name").filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("end")))
+              .select("column_name", "part", "prob", "rank", "weight", "before"))
+    within = Window.partitionBy("column_name", "prob", "rank", "weight").orderBy("value")
+    reached = (counts.join(wanted, ["column_name", "part"])
+               .withColumn("end", F.col("before") + F.sum("n").over(within))
+               .filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n"))))
+    return (reached.groupBy("column_name", "prob")
+            .agg(F.sum(F.col("value").cast("double") * F.col("weight")).alias("value")))
+
+
 def describe(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS, scale: int = 4,
              approx_accuracy: int | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
     Mean, quartiles and std are shown at ``scale`` decimals; the mean is the exact sum over
-    the count, rounded once. Exact quartiles keep one count per distinct value per column
-    in the aggregation buffer (merged map-side), so memory follows the number of distinct
-    values, not rows. For columns with very many distinct values pass ``approx_accuracy``
-    to use a bounded-size quantile sketch instead (rank error about 1/accuracy).
+    the count, rounded once. Quartiles are exact and distributed (see ``exact_quantiles``, which
+    writes the value counts to the shared folder); with ``approx_accuracy`` a bounded quantile
+    sketch in the same pass gives them instead (rank error about 1/accuracy).
     """
     common = T.DecimalType(38, 6)
     out = T.DecimalType(38, scale)
@@ -151,22 +195,29 @@ def describe(df: DataFrame, cols: Sequence[str] = MEASURE_COLUMNS, scale: int =
         v = F.col(c).cast(common)
         aggs += [F.count(v).alias(_agg_name(c, "n")), F.sum(v).alias(_agg_name(c, "sum")),
                  F.stddev_samp(v.cast("double")).alias(_agg_name(c, "std")),
-                 F.min(v).alias(_agg_name(c, "min")), F.max(v).alias(_agg_name(c, "max")),
-                 (F.percentile_approx(v.cast("double"), [0.25, 0.5, 0.75], approx_accuracy)
-                  if approx_accuracy else
-                  F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).alias(_agg_name(c, "q"))]
+                 F.min(v).alias(_agg_name(c, "min")), F.max(v).alias(_agg_name(c, "max"))]
+        if approx_accuracy:
+            aggs.append(F.percentile_approx(v.cast("double"), list(QUARTILES), approx_accuracy).alias(_agg_name(c, "q")))
     row = df.agg(*aggs)
     fields = {}
     for c in cols:
-        n, q = F.col(_agg_name(c, "n")), F.col(_agg_name(c, "q"))
+        n = F.col(_agg_name(c, "n"))
         fields[c] = [
             ("count", n),
             ("mean", div_round(F.col(_agg_name(c, "sum")), 6, n, 0, scale, out)),
             ("std", F.col(_agg_name(c, "std")).cast(out)),
             ("min", F.col(_agg_name(c, "min")).cast(out)),
-            ("p25", q[0].cast(out)), ("p50", q[1].cast(out)), ("p75", q[2].cast(out)),
             ("max", F.col(_agg_name(c, "max")).cast(out))]
-    return _per_column(row, fields).filter(F.col("count") > 0)
+        if approx_accuracy:
+            fields[c].append(("q", F.col(_agg_name(c, "q"))))
+    found = _per_column(row, fields).filter(F.col("count") > 0)
+    if not approx_accuracy:
+        # one row for each column
+        quartiles = exact_quantiles(df, cols).groupBy("column_name").agg(
+            F.array(*(F.max(F.when(F.col("prob") == p, F.col("value"))) for p in QUARTILES)).alias("q"))
+        found = found.join(quartiles, "column_name")
+    return found.select("column_name", "count", "mean", "std", "min",
+                        *(F.col("q")[i].cast(out).alias(name) for i, name in enumerate(("p25", "p50", "p75"))), "max")
 
 
 def pct_where(df: DataFrame, cond: Column, name: str = "pct") -> DataFrame:
@@ -202,10 +253,12 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int = 100, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (all rows when fewer), those with the least hashes of seed and row, so
-    the sample does not depend on how the rows are partitioned. Each task keeps its own ``n``
-    least, so only ``n`` rows per task reach the final merge."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), *df.columns).limit(n)
+    """Exactly ``n`` rows (all rows when fewer): those with the least MD5 of seed and row text (columns
+    joined by '|', a null as nothing), so the sample does not depend on how the rows are partitioned
+    and any SQL engine can repeat it. Each task keeps its own ``n`` least, so only ``n`` rows per
+    task reach the final merge."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *text).cast("binary")), *df.columns).limit(n)
 
 
 def distinct_sorted(df: DataFrame, cols: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

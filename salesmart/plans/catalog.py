@@ -18,7 +18,7 @@ from salesmart.functions.dates import fiscal_year
 from salesmart.functions.numeric import div_round
 from salesmart.functions.text import (clean_address, normalize_store_name, py_title,
                                       title_except_numbers)
-from salesmart.functions.classify import classify_ordered
+from salesmart.functions.classify import classify_ordered, first_match
 from salesmart.operators import calendar as cal
 from salesmart.operators import clean as cl
 from salesmart.operators import features as ft
@@ -149,10 +149,53 @@ def _lookup_rows(raw_df: DataFrame) -> DataFrame:
     return ph.unionByName(nt)
 
 
+DICTIONARIES = ("placeholders", "num_col_dtype_map")
+
+
 def q_lookup_roundtrip(spark, sf):
-    path = scratch_path(spark, "lookups")
-    _lookup_rows(raw(spark, sf)).write.partitionBy("dictionary").json(path)
-    return spark.read.schema("pos int, key string, value string, dictionary string").json(path)
+    rows, path, back = _lookup_rows(raw(spark, sf)), scratch_path(spark, "lookups"), None
+    for name in DICTIONARIES:
+        sinks.write_lookup(rows.filter(F.col("dictionary") == name).drop("dictionary"), f"{path}/{name}")
+        own = src.read_lookup(spark, f"{path}/{name}").withColumn("dictionary", F.lit(name))
+        back = own if back is None else back.unionByName(own)
+    return back
+
+
+def q_dictionary_roundtrip(spark, sf):
+    """The derived dictionaries as JSON objects, read back in order."""
+    rows, path, back = _lookup_rows(raw(spark, sf)), scratch_path(spark, "dictionaries"), None
+    for name in DICTIONARIES:
+        sinks.write_dictionary(rows.filter(F.col("dictionary") == name).drop("dictionary"), f"{path}/{name}.json")
+        own = src.read_dictionary(spark, f"{path}/{name}.json").withColumn("dictionary", F.lit(name))
+        back = own if back is None else back.unionByName(own)
+    return back
+
+
+def _with_gaps(spark, sf) -> DataFrame:
+    """Raw records of which some lack the vendor, the category or the county."""
+    store, item = F.col("store").cast("int"), F.col("itemno").cast("int")
+    none = F.lit(None).cast("string")
+    return raw(spark, sf).withColumns({
+        "vendor_no": F.when(store % 7 == 1, none).otherwise(F.col("vendor_no")),
+        "category": F.when(item % 11 == 2, none).otherwise(F.col("category")),
+        "county": F.when(store % 5 == 3, none).otherwise(F.col("county"))})
+
+
+def q_clean_with_derived(spark, sf):
+    """Placeholders and numeric types derived from the records, written and read as dictionaries, and
+    used by the cleaning in place of the fixed ones."""
+    base = scratch_path(spark, "derived")
+    records = _with_gaps(spark, sf)
+
+    def through_file(name: str, derived: DataFrame, value: str) -> dict[str, str]:
+        order = F.array(*(F.lit(c) for c in records.columns))
+        sinks.write_dictionary(derived.select(F.array_position(order, F.col("column_name")).alias("pos"),
+                                              F.col("column_name").alias("key"), F.col(value).alias("value")), f"{base}/{name}.json")
+        return src.as_mapping(src.read_dictionary(spark, f"{base}/{name}.json"))
+
+    placeholders = through_file("placeholders", pf.derive_placeholders(records), "placeholder")
+    types = through_file("types", pf.infer_numeric_types(cl.fill_placeholders(records, placeholders)), "dtype")
+    return cl.clean_sales(records, placeholders, types)
 
 
 # --- schema and constraints -----------------------------------------------------------
@@ -211,6 +254,35 @@ def q_check_not_null_calendar(spark, sf):
     return qa.check_not_null(c, NOT_NULL_CALENDAR)
 
 
+def q_check_not_null_landed(spark, sf):
+    """Nulls per column of a landing that has some."""
+    return qa.check_not_null(_landed(spark, sf), SALES_COLUMNS)
+
+
+LANDED_DEFAULTS = {"date": "1970-01-01T00:00:00.000", "invoice_line_no": "NONE", "category_name": "UNKNOWN"}
+
+
+def q_apply_defaults_landed(spark, sf):
+    return qa.apply_defaults(_landed(spark, sf), LANDED_DEFAULTS)
+
+
+def q_reset_model(spark, sf):
+    """Two dimension tables are written, one is reset; what is left."""
+    base, c = scratch_path(spark, "reset"), clean(spark, sf)
+    dims = {"stores": md.dim_stores(c), "items": md.dim_items(c)}
+    for name, df in dims.items():
+        sinks.refresh_table(df, f"{base}/{name}")
+    dropped = qa.reset_model(spark, [f"{base}/stores", f"{base}/never_built"])
+    parts = [(n, f"{base}/{n}" in dropped, spark.read.parquet(f"{base}/{n}").count() if qa.table_exists(spark, f"{base}/{n}") else None)
+             for n in ("stores", "items", "never_built")]
+    return spark.createDataFrame(parts, "table_name string, dropped boolean, n_rows long")
+
+
+def q_replace_column(spark, sf):
+    replaced = qa.replace_column(sales(spark, sf), "city", F.upper("city"))
+    return qa.replace_column(replaced, "city_length", F.length("city"))
+
+
 def q_update_from_category(spark, sf):
     items = md.dim_items(clean(spark, sf))
     codes = items.select("category_code", "category").distinct() \
@@ -515,6 +587,15 @@ def q_classify_store_format(spark, sf):
         .alias("store_format"))
 
 
+def q_classify_by_dictionary(spark, sf):
+    """Store names classified by a dictionary that is read from a file when the query runs."""
+    path = scratch_path(spark, "formats")
+    sinks.write_dictionary(src.lookup_df(spark, STORE_FORMATS), path)
+    formats = src.as_mapping(src.read_dictionary(spark, path))
+    normalized = q_store_name_normalized(spark, sf).select("normalized").distinct()
+    return normalized.select("normalized", first_match(F.col("normalized"), formats, STORE_FORMAT_DEFAULT).alias("store_format"))
+
+
 def q_store_format(spark, sf):
     return _stores_with_format(spark, sf)
 

@@ -375,6 +375,30 @@ def build() -> dict[str, str]:
         f"SELECT 'placeholders' AS dictionary, {pos} AS pos, column_name AS key, placeholder AS value FROM ({ph}) "
         f"UNION ALL SELECT 'num_col_dtype_map', {pos}, column_name, dtype FROM ({nt})")
 
+    s["dictionary_roundtrip"] = with_("filled") + (
+        "SELECT dictionary, CAST(ROW_NUMBER() OVER (PARTITION BY dictionary ORDER BY pos) - 1 AS INTEGER) AS pos, key, value FROM ("
+        f"SELECT 'placeholders' AS dictionary, {pos} AS pos, column_name AS key, placeholder AS value FROM ({ph}) "
+        f"UNION ALL SELECT 'num_col_dtype_map', {pos}, column_name, dtype FROM ({nt}))")
+    gaps = ("gaps AS (SELECT * REPLACE (CASE WHEN CAST(store AS INTEGER) % 7 = 1 THEN NULL ELSE vendor_no END AS vendor_no, "
+            "CASE WHEN CAST(itemno AS INTEGER) % 11 = 2 THEN NULL ELSE category END AS category, "
+            "CASE WHEN CAST(store AS INTEGER) % 5 = 3 THEN NULL ELSE county END AS county) FROM raw_sales)")
+    refilled = ("refilled AS (SELECT " + ", ".join(
+        f"COALESCE({c}, (SELECT placeholder FROM ph WHERE column_name = {lit(c)})) AS {c}" if c in DIMENSION_COLUMNS else c
+        for c in SALES_COLUMNS) + " FROM gaps)")
+    s["clean_with_derived"] = with_("raw_sales", extra=",\n".join((
+        gaps, f"ph AS ({placeholders_sql('gaps')})", refilled,
+        TYPED.replace("typed AS", "retyped AS").replace("FROM filled)", "FROM refilled)"),
+        CLEAN.replace("clean AS", "recleaned AS").replace("FROM typed ", "FROM retyped ")))) + f"SELECT {cols()} FROM recleaned"
+    s["reset_model"] = with_("clean") + (
+        f"SELECT 'stores' AS table_name, true AS dropped, CAST(NULL AS BIGINT) AS n_rows UNION ALL "
+        f"SELECT 'items', false, (SELECT COUNT(*) FROM ({dim_items()})) UNION ALL SELECT 'never_built', false, NULL")
+    s["replace_column"] = with_("sales") + (
+        "SELECT * REPLACE (upper(city) AS city), CAST(length(upper(city)) AS INTEGER) AS city_length FROM sales")
+    row_text = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in SALES_COLUMNS)
+    s["sample_n"] = with_("sales") + (
+        f"SELECT * FROM sales ORDER BY md5(concat_ws('|', '42', {row_text})), "
+        + ", ".join(f"{c} ASC NULLS FIRST" for c in SALES_COLUMNS) + " LIMIT 100")
+
     # schema and constraints
     conform_cols = []
     for c in SALES_COLUMNS:
@@ -537,6 +561,11 @@ def build() -> dict[str, str]:
     s["classify_store_format"] = with_("sales") + (
         f"SELECT normalized, {classify('normalized')} AS store_format FROM "
         f"(SELECT DISTINCT {normalize_name('name')} AS normalized FROM (SELECT DISTINCT name FROM sales))")
+    by_order = " ".join(f"WHEN contains(lower(normalized), {lit(k.lower())}) THEN {lit(v)}" for k, v in STORE_FORMATS)
+    kept = ", ".join(lit(v.lower()) for v in sorted({v for _, v in STORE_FORMATS}))
+    s["classify_by_dictionary"] = with_("sales") + (
+        f"SELECT normalized, CASE {by_order} WHEN lower(normalized) IN ({kept}) THEN normalized ELSE {lit(STORE_FORMAT_DEFAULT)} END "
+        f"AS store_format FROM (SELECT DISTINCT {normalize_name('name')} AS normalized FROM (SELECT DISTINCT name FROM sales))")
     s["store_format"] = with_("clean") + stores_fmt
     s["liquor_type_lookup"] = with_("sales") + (
         f"SELECT category, {liquor('category')} AS liquor_type FROM (SELECT DISTINCT category FROM sales)")
@@ -667,6 +696,11 @@ def landing_sql(mix_name: str) -> dict[str, str]:
     return {"load_landing": full(f"SELECT {cols()} FROM s1 UNION ALL SELECT {cols()} FROM s2"),
             "load_rejects": full("SELECT CASE r WHEN 'r1' THEN r1 ELSE r2 END AS run, reject_reason, "
                                  "CAST(SUM(n) AS BIGINT) AS n_rows FROM kept, named GROUP BY ALL"),
+            "check_not_null_landed": full(" UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, COUNT(*) FILTER ({c} IS NULL) AS null_rows FROM raw_sales" for c in SALES_COLUMNS)),
+            "apply_defaults_landed": full("SELECT " + ", ".join(
+                f"COALESCE({c}, {lit(q.LANDED_DEFAULTS[c])}) AS {c}" if c in q.LANDED_DEFAULTS else c for c in SALES_COLUMNS)
+                + " FROM raw_sales"),
             "load_account": full(outcomes("r1", "b1", "s1", total["r1"], "0") + " UNION ALL "
                                  + outcomes("r2", "b2", "s2", total["r2"], again)),
             "incremental_stream": full(first_per_key("good")),

@@ -82,3 +82,29 @@ def lookup_df(spark: SparkSession, mapping: Mapping | Sequence[tuple]) -> DataFr
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """A dictionary written by ``write_lookup``, back as (pos, key, value)."""
     return spark.read.schema("pos int, key string, value string").json(path)
+
+
+#: A dictionary is configuration; one that is larger than this is data and has to be joined.
+MAX_DICTIONARY = 10_000
+
+
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON object, on however many lines, as (pos, key, value) in the object's own order. Values
+    come as text (a null stays null, a nested value is its JSON); a key that is repeated keeps both
+    rows. Text that is no object is an error."""
+    whole = spark.read.text(path, wholetext=True)
+    parsed = whole.select("value", F.from_json("value", "map<string,string>").alias("entries"))
+    checked = parsed.select(F.coalesce(F.map_entries("entries"), F.raise_error(
+        F.concat(F.lit("no JSON object: "), F.substring("value", 1, 80))).cast("array<struct<key:string,value:string>>"))
+        .alias("entries"))
+    rows = checked.select(F.posexplode("entries").alias("pos", "entry"))
+    return rows.select("pos", F.col("entry.key").alias("key"), F.col("entry.value").alias("value"))
+
+
+def as_mapping(dictionary: DataFrame) -> dict[str, str]:
+    """A (pos, key, value) frame as a mapping in order, for the operators that take one. At most
+    ``MAX_DICTIONARY`` entries; the last of a repeated key counts, as in a JSON parser."""
+    rows = dictionary.orderBy("pos").limit(MAX_DICTIONARY + 1).collect()
+    if len(rows) > MAX_DICTIONARY:
+        raise ValueError(f"a dictionary has at most {MAX_DICTIONARY} entries; join larger ones")
+    return {r.key: r.value for r in rows}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
@@ -38,6 +39,19 @@ def write_lookup(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_dictionary(df: DataFrame, path: str) -> None:
+    """A derived dictionary (pos, key, value) as one JSON object in the order of ``pos``, for
+    ``read_dictionary`` and any JSON reader. A dictionary has few entries, which meet in one row."""
+    def quoted(c: str):
+        return F.regexp_replace(F.to_json(F.array(F.col(f"e.{c}"))), r"^\[|\]$", "")
+
+    entries = df.select(F.struct("pos", "key", "value").alias("e")).select(
+        "e", F.concat(quoted("key"), F.lit(": "), F.coalesce(quoted("value"), F.lit("null"))).alias("line"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("e.pos", "line"))), lambda x: x["line"])
+    (entries.agg(F.concat(F.lit("{\n    "), F.array_join(lines, ",\n    "), F.lit("\n}")).alias("value"))
+     .coalesce(1).write.mode("overwrite").text(path))
+
+
 def write_raw_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Raw text records as JSON lines; null fields are left out, as an API omits them."""
     df.write.mode(mode).json(path)
