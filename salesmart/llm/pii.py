@@ -4,8 +4,10 @@ Seeds are the identifiers whose form alone tells them (addresses, numbers). Arou
 that holds a digit or an @ sign the word before it is its lexical pattern. Adjacent tokens of one line
 that are digit groups outside seeds (``555 123 4567``, ``(523) 555-1099``) are one, with the word before
 the first. Patterns and instances (the token texts) form a graph with an edge for every pair that occurs. Each round scores a
-pattern by the share of its occurrences whose instance is believed, weighs in how many different
-instances it has met, and believes the instances that well-scored patterns hold. Patterns that end
+pattern by the occurrences whose instance is believed against those that contradict it (an instance
+believed to be of another kind only, or like no identifier of the kind; one that is merely unseen
+does not count against it), weighs in how many different instances it has met, and believes the
+instances that well-scored patterns hold. Rounds go on until no instance is new. Patterns that end
 with a high score mark the remaining identifier-like tokens that follow them, which no form
 recognises, as spans of kind ``<kind>_context``. What is identifier-like depends on the kind: an @ sign
 between two parts for email, ``MIN_DIGITS`` digits for the others, colon-separated groups also for ip.
@@ -16,7 +18,8 @@ accepted patterns, by their nature rare, are joined back.
 
 Defined results: a null or empty text has no spans; repeated rows each get theirs (a repeated
 instance counts as one for a pattern's support); a null ``doc_id`` stays null; ties do not arise
-(scores are sums); an empty table gives no rows; other columns are ignored. Spans count code points.
+(scores are sums); an empty table gives no rows; very long texts and words are read whole; other
+columns are ignored. Spans count code points.
 """
 
 from __future__ import annotations
@@ -44,10 +47,14 @@ _GROUP = r"[0-9]++(?:[()./-]++[0-9]++)*+"
 OPENS, FOLLOWS = rf"\A[^\p{{L}}0-9@]*+{_GROUP}\)?\z", rf"\A[(+\[]*+{_GROUP}[^\p{{L}}0-9@]*+\z"
 # Outer punctuation; a bracketed first group keeps its bracket.
 LEAD, TRAIL = r"^(?:(?!\([0-9]+\)[^A-Za-z0-9]*[0-9])[^A-Za-z0-9+#])+", r"[^A-Za-z0-9]+$"
-#: A pattern is accepted at this share of believed occurrences, met with so many instances.
-MIN_SCORE, MIN_SUPPORT, ROUNDS = 0.8, 3, 2
+#: A pattern is accepted at this share of believed occurrences among believed and contradicting ones,
+#: met with so many believed instances, if at least this share of all its occurrences is believed.
+MIN_SCORE, MIN_SUPPORT, MIN_KNOWN = 0.8, 3, 0.25
 #: A token or run of digit groups is like a number from so many digits.
 MIN_DIGITS = 6
+_SPACES = r"[\x20\x09-\x0D]+"
+#: Characters before a token in which its word is looked for first; a longer word is taken from more.
+WINDOWS = (64, 4096)
 FOUND = "array<struct<rank:int,kind:string,start:int,end:int>>"
 
 
@@ -86,6 +93,21 @@ def _like_any() -> Column:
     return F.greatest(*(_like(F.lit(k), F.col("instance")) for k in KINDS))
 
 
+def _word_before(text: Column, start: Column) -> Column:
+    """The last word of the text's first ``start`` characters, lower-cased; none: empty. Only a word that
+    a window does not hold whole is looked for in a wider one, at last in all that stands before."""
+    def last(size: Column) -> tuple[Column, Column]:
+        ahead = F.regexp_replace(F.substring(text, start - size + 1, size), _SPACES + r"\z", "")
+        word = F.element_at(F.split(ahead, _SPACES), -1)
+        return word, (size == start) | ((F.length(word) < F.length(ahead)) & (word != ""))
+
+    word, _ = last(start)
+    for size in reversed(WINDOWS):
+        near, whole = last(F.least(start, F.lit(size)))
+        word = F.when(whole, near).otherwise(word)
+    return F.lower(word)
+
+
 def _bare(c: Column) -> Column:
     return F.struct(c["rank"].alias("rank"), c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
 
@@ -105,8 +127,7 @@ def seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     tokens = F.filter("found", lambda s: s["kind"] == "token")
     value = lambda r: F.regexp_replace(F.regexp_replace(r["raw"], LEAD, ""), TRAIL, "")
     lead = lambda r: F.length(F.regexp_extract(r["raw"], LEAD, 0))
-    before = lambda s: F.lower(F.substring_index(F.rtrim(F.substring(
-        F.col("text"), F.greatest(F.lit(1), s["start"] - 63), F.least(s["start"], F.lit(64)))), " ", -1))
+    before = lambda s: _word_before(F.col("text"), s["start"])
     # the tokens that go on with a seed which began before them are part of it
     first = F.filter(tokens, lambda s: ~F.exists("base", lambda b: (b["start"] < s["start"]) & (b["end"] > s["start"])))
     inside = lambda s: F.filter("base", lambda b: (b["start"] < s["end"]) & (b["start"] >= s["start"]))
@@ -132,26 +153,34 @@ def seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select("row_no", "doc_id", "base", occurrences.alias("occurrences"))
 
 
-def bootstrap(seeded: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE,
-              min_support: int = MIN_SUPPORT) -> DataFrame:
+def bootstrap(seeded: DataFrame, min_score: float = MIN_SCORE, min_support: int = MIN_SUPPORT,
+              min_known: float = MIN_KNOWN) -> DataFrame:
     """pattern, kind, score of the accepted patterns. ``seeded`` is a stored ``seeds`` table."""
     occurrences = seeded.select(F.explode("occurrences").alias("o")).select("o.*").where("pattern <> ''")
+    kinds = F.array(*(F.when(_like(F.lit(k), F.col("instance")), F.lit(k)) for k in KINDS))
     pairs = stored(occurrences.groupBy("pattern", "instance").agg(
-        F.count("*").alias("n"), F.any_value(F.get("seeds", F.lit(0))["kind"], ignoreNulls=True).alias("seed")),
-        "pii-pairs")
-    believed = pairs.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct()
-    total = pairs.groupBy("pattern").agg(F.sum("n").alias("total"))
+        F.count("*").alias("n"), F.any_value(F.get("seeds", F.lit(0))["kind"], ignoreNulls=True).alias("seed"))
+        .withColumn("like", F.array_compact(kinds)), "pii-pairs")
+    believed = stored(pairs.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct(),
+                      "pii-instances")
+    total = stored(pairs.groupBy("pattern").agg(F.sum("n").alias("total")), "pii-totals")
+    known, before = believed.count(), -1
     accepted = None
-    for _ in range(rounds):
+    while accepted is None or known > before:
         votes = (pairs.join(believed, "instance").groupBy("pattern", "kind")
                  .agg(F.sum("n").alias("good"), F.count_distinct("instance").alias("support")))
-        accepted = stored(votes.join(total, "pattern")
-                          .withColumn("score", F.col("good") / F.col("total"))
-                          .where((F.col("score") >= min_score) & (F.col("support") >= min_support))
+        unseen = (pairs.where(F.size("like") > 0).join(believed.select("instance").distinct(), "instance", "left_anti")
+                  .select("pattern", F.explode("like").alias("kind"), "n")
+                  .groupBy("pattern", "kind").agg(F.sum("n").alias("unseen")))
+        accepted = stored(votes.join(total, "pattern").join(unseen, ["pattern", "kind"], "left")
+                          .withColumn("score", F.col("good") / (F.col("total") - F.coalesce("unseen", F.lit(0))))
+                          .where((F.col("score") >= min_score) & (F.col("support") >= min_support)
+                                 & (F.col("good") >= F.col("total") * min_known))
                           .select("pattern", "kind", "score"), "pii-patterns")
-        found = (pairs.where(_like_any()).join(accepted, "pattern")
-                 .where(_like(F.col("kind"), F.col("instance"))).select("instance", "kind"))
+        found = (pairs.where(F.size("like") > 0).join(accepted, "pattern")
+                 .where(F.array_contains("like", F.col("kind"))).select("instance", "kind"))
         believed = stored(believed.union(found).distinct(), "pii-instances")
+        before, known = known, believed.count()
     return accepted
 
 

@@ -295,6 +295,49 @@ def test_pii_discovers_every_shape(spark):
     assert [got[1000 + i] for i in range(len(new))] == list(new.values())
 
 
+def contexts(spark, rows):
+    found = pii.extract(spark.createDataFrame(rows, "doc_id long, text string"))
+    return {r.doc_id: r[1] for r in found.select("doc_id", spans.as_text(F.col("spans"))).collect()}
+
+
+def test_pii_word_before_any_white_space(spark):
+    rows = [(i, f"reach me {w}tel: +1 (523) 555-10{i:02d} soon") for i in range(24) for w in (" ",)]
+    new = ["the end.\ntel: 5235551099", "col\ttel: 5235551099", "x tel:\t5235551099", "x tel:\n5235551099",
+           "x tel:" + " " * 90 + "5235551099", "tel: 5235551099", "line\r\ntel: 5235551099", "xtel: 5235551099",
+           "y" * 70 + "tel: 5235551099", "\xa0tel: 5235551099"]
+    got = contexts(spark, rows + [(100 + i, t) for i, t in enumerate(new)])
+    at = [t.index("5235551099") for t in new]
+    assert [got[100 + i] for i in range(len(new))] == [f"phone_context:{a}:{a + 10}" for a in at[:7]] + [""] * 3
+
+
+def test_pii_words_longer_than_a_window_are_patterns_of_their_own(spark):
+    a, b = "a" * 5_000 + "tel:", "b" * 5_000 + "tel:"
+    rows = [(i, f"{a} +1 (523) 555-10{i:02d}") for i in range(20)] + [(90, f"{a} 5235551099"), (91, f"{b} 5235551099")]
+    got = contexts(spark, rows)
+    assert got[90] == f"phone_context:{len(a) + 1}:{len(a) + 11}" and got[91] == ""
+
+
+@pytest.mark.parametrize("known, unseen, wrong, found", [(30, 10, 0, True), (10, 25, 0, True), (10, 40, 0, False),
+                                                         (30, 10, 6, True), (30, 10, 12, False), (2, 1, 0, False)])
+def test_pii_unseen_identifiers_do_not_contradict(spark, known, unseen, wrong, found):
+    rows = [(i, f"tel: +1 (523) 555-{1000 + i}") for i in range(known)]
+    rows += [(1000 + i, f"tel: 52355{20000 + i}") for i in range(unseen)] + [(5000 + i, f"tel: {i}th") for i in range(wrong)]
+    got = contexts(spark, rows)
+    assert {bool(got[1000 + i]) for i in range(unseen)} == {found}
+    assert not any(got[5000 + i] for i in range(wrong))
+
+
+def test_pii_follows_chains_to_their_end(spark):
+    """Each word shares numbers with the next one only; the last four are reached in four steps."""
+    rows, words = [], ["tel", "mobil", "cell", "fone", "handy"]
+    for k, w in enumerate(words):
+        numbers = [f"+1 (523) 555-{1000 + i}" for i in range(5)] if k == 0 else [f"523555{k}{100 + i}" for i in range(5)]
+        rows += [(len(rows) + i, f"{w} {x}") for i, x in enumerate(numbers)]
+        rows += [(len(rows) + i, f"{w} 523555{k + 1}{100 + i}") for i in range(5)]
+    got = contexts(spark, rows)
+    assert all("phone" in got[i] for i, _ in rows)
+
+
 def test_licenses(docs, no_docs):
     got = license_scan.scan(docs).collect()
     want = []
