@@ -7,12 +7,15 @@ and the lower orders' counts (in how many contexts a shorter n-gram ends) come f
 longer ones. Discounts, back-off weights and probabilities follow order by order from joins of
 those tables on the n-gram's context and on its suffix.
 
-Scoring joins texts with the finished table. The table is cut into shards by the last two context
-bytes, which every order of a lookup from the third on shares (the lower orders are short and go with
-every shard), so a shard answers its places alone. Each shard has at most ``SHARD_ROWS``
-rows, the proven bound under which it is broadcast; a model with more rows is scored shard by shard, each
-pass adding its part to the rows. Marks go by the same shards, and the toxic model's n-grams, of which
-they are a part, count as rows of the shard. No text and no n-gram of a document is shuffled.
+Scoring joins counts, not texts, with the finished table. Rows are gathered into blocks of about ``BLOCK_BYTES``
+of text, written once (compressed, with all their columns); a block asks for each of its different n-grams
+once. The table is cut into shards by the last two context bytes, which every order of a lookup from the
+third on shares (the lower orders, at most 131,842 rows, are broadcast), so a shard answers its n-grams alone. A
+shard has about ``SHARD_ROWS`` rows, and never more than the 2^24 + 65,792 n-grams after one pair of bytes. Shards are
+packed by tasks, copied once for each ``ANSWERS_AT_ONCE`` n-grams asked (salting, so no shard is one task's work) and
+meet the questions in a shuffle; the answers meet their blocks in another. No shard, mark or n-gram passes
+through the driver, and a task holds one shard or one block. Marks are computed where a shard is packed: the toxic
+model's n-grams go there as further rows.
 
 A document's perplexity is the exponential of its mean negative log-probability per byte. The
 threshold of a language is a high quantile of the trusted documents' perplexities, all of them, with
@@ -32,15 +35,21 @@ is judged by the quantile over all trusted documents; repeated rows are judged e
 a row that the labels name several times is trusted if any label trusts it and none distrusts it;
 without trusted text there is no model and nothing is rejected but empty texts; without toxic text
 there are no marks; an empty table gives
-no rows; other columns are ignored by ``classify`` and kept by ``keep``.
+no rows; a very long text is a block by itself and read whole; a text whose perplexity or evidence equals its limit
+is kept; other columns are ignored by ``classify`` and kept by ``keep``, whatever their names (only names that begin
+with two underscores are taken by the columns that ``judge`` adds).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +57,7 @@ from salesmart.llm.buffers import joined, pieces, texts_in
 from salesmart.llm.common import stored
 
 ORDER = 5
-SHARD_ROWS = 4_000_000
+SHARD_ROWS = 1_000_000
 #: Trusted ids up to this number (8 MB) are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 QUANTILE = 0.99
@@ -57,9 +66,12 @@ MARGIN, SPREAD = 0.03, 1.5
 #: Log-ratio from which an n-gram is a mark; least limit of the evidence, and by the root of the bytes.
 MARK, LEAST_EVIDENCE, LEAST_RATE = 3.0, 8.0, 0.16
 BROADCAST_LANGUAGES = 100_000
-#: Shards that a pass over the rows looks up.
-SHARDS_AT_ONCE = 4
+#: Text of a block, and n-grams that a copy of a shard answers.
+BLOCK_BYTES = 1 << 20
+ANSWERS_AT_ONCE = 4_000_000
 BYTES_AT_ONCE = 1 << 20
+#: Kinds of a shard's rows.
+PROBABILITY, BACKOFF, TOXIC = 0, 1, 2
 MERGE_AT = 1_000_000
 
 
@@ -166,13 +178,15 @@ def fit(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 class Table:
-    """A shard of the model in sorted arrays: probabilities and back-off weights by order."""
+    """A shard of the model in sorted arrays: probabilities and back-off weights by order, and marks."""
 
-    def __init__(self, rows: pa.Table):
-        backoff, k, code, value = (rows.column(c).to_numpy() for c in ("backoff", "k", "code", "value"))
+    def __init__(self, *rows: pa.Table):
+        kind, k, code, value = (np.concatenate([r.column(c).to_numpy() for r in rows])
+                                for c in ("kind", "k", "code", "value"))
         self.probability, self.backoff = ({
-            order: self._sorted(code, value, (k == order) & (backoff == kind))
-            for order in np.unique(k).tolist()} for kind in (False, True))
+            order: self._sorted(code, value, (k == order) & (kind == which))
+            for order in np.unique(k).tolist()} for which in (PROBABILITY, BACKOFF))
+        self.marks = self._sorted(code, value, kind == TOXIC)
 
     @staticmethod
     def _sorted(code: np.ndarray, value: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,6 +194,14 @@ class Table:
         at = at[np.argsort(code[at])]
         return code[at], value[at]
 
+    def evidence(self, code: np.ndarray) -> np.ndarray:
+        """The marks' weights of n-grams; zero of others."""
+        keys, weights = self.marks
+        if not len(keys):
+            return np.zeros(len(code))
+        at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+        return np.where(keys[at] == code, weights[at], 0.0)
+
     @staticmethod
     def _find(table: dict, order: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which codes the table has, and the values of those."""
@@ -209,120 +231,209 @@ def _shard(context: np.ndarray, shards: int) -> np.ndarray:
     return (context & 0xFFFF) % shards
 
 
-def shards_of(model: DataFrame, shard_rows: int = SHARD_ROWS, more: DataFrame | None = None) -> list:
-    """The model as broadcast shards (``Table``) of at most ``shard_rows`` rows, unless one pair of
-    context bytes alone has more. ``more``: n-grams (``code``) that will go with the shards and count."""
-    spark = model.sparkSession
-    kind = F.lit(False).alias("backoff"), F.lit(True).alias("backoff")
+@dataclass
+class Lookup:
+    """A model ready for questions: ``rows`` holds one row per shard (its rows packed in ``body``), ``low`` the rows that
+    every shard needs."""
+    rows: DataFrame
+    low: Broadcast
+    shards: int
+    order: int
+
+    def close(self) -> None:
+        """To be called when nothing will ask any more."""
+        self.low.destroy()
+
+
+def _pack(table: pa.Table | pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(body: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(body.as_buffer()).read_all()
+
+
+def lookup_of(model: DataFrame, toxic: DataFrame | None = None, shard_rows: int = SHARD_ROWS,
+              order: int = ORDER) -> Lookup:
+    """The model in shards, with marks where ``toxic`` (a model of toxic text) is given."""
     probability = model.where("log_p is not null")
     backoff = model.where("log_backoff is not null")
 
-    def rows(df, which, value, context):
-        return df.select(which, F.col("k").cast("byte").alias("k"), "code", F.col(value).cast("float").alias("value"),
-                         context.bitwiseAND(0xFFFF).alias("pair"))
+    def rows(df, kind, value, context):
+        return df.select(F.lit(kind).cast("byte").alias("kind"), F.col("k").cast("byte").alias("k"), "code",
+                         F.col(value).cast("float").alias("value"), context.bitwiseAND(0xFFFF).alias("pair"))
 
     # an n-gram's own row goes by its context, its row as a context of the next order by itself
-    both = rows(probability, kind[0], "log_p", F.shiftright("code", 8)).union(
-        rows(backoff, kind[1], "log_backoff", F.col("code")))
-    # contexts of no and of one byte know no pair; these are at most 66,050 rows
-    short = (F.col("k") <= 1) | ((F.col("k") == 2) & ~F.col("backoff"))
-    low = both.where(short).drop("pair").toArrow()
-    roles = stored(both.where(~short), "kn-roles")
-    held = roles.select("pair")
-    if more is not None:
-        held = held.union(more.select(F.shiftright("code", 8).bitwiseAND(0xFFFF)))
-    pairs = np.array([tuple(r) for r in held.groupBy("pair").count().collect()],        # at most 65,536 rows
+    roles = rows(probability, PROBABILITY, "log_p", F.shiftright("code", 8)).union(
+        rows(backoff, BACKOFF, "log_backoff", F.col("code")))
+    # contexts of no and of one byte know no pair; these rows are at most 131,842
+    short = (F.col("k") <= 1) | ((F.col("k") == 2) & (F.col("kind") == PROBABILITY))
+    low = model.sparkSession.sparkContext.broadcast(roles.where(short).drop("pair").toArrow())
+    roles = roles.where(~short)
+    if toxic is not None:
+        roles = roles.union(rows(toxic.where((F.col("k") == order) & F.col("log_p").isNotNull()), TOXIC, "log_p",
+                                 F.shiftright("code", 8)))
+    roles = stored(roles, "kn-roles")
+    pairs = np.array([tuple(r) for r in roles.groupBy("pair").count().collect()],        # at most 65,536 rows
                      dtype=np.int64).reshape(-1, 2)
     shards = max(1, -(-int(pairs[:, 1].sum()) // shard_rows))
-    while shards < 1 << 16 and np.bincount(pairs[:, 0] % shards, pairs[:, 1], shards).max(initial=0) > shard_rows:
-        shards += 1
-    out = []
-    for s in range(shards):
-        mine = roles.where(F.col("pair") % shards == s).drop("pair").toArrow()
-        out.append(spark.sparkContext.broadcast(Table(pa.concat_tables([low, mine.cast(low.schema)]))))
-        del mine
-    return out
+    packed = (roles.select((F.col("pair") % shards).cast("int").alias("shard"), "kind", "k", "code", "value")
+              .repartition("shard").sortWithinPartitions("shard")
+              .mapInArrow(_packing(low, order), "shard int, body binary"))
+    return Lookup(stored(packed, "kn-shards"), low, shards, order)
 
 
-def marks_of(model: DataFrame, shards: list, order: int = ORDER) -> list:
-    """For every shard the marks of ``model`` (of toxic text) against the one in ``shards``: their codes,
-    sorted, and weights, as a broadcast."""
-    rows = model.where((F.col("k") == order) & F.col("log_p").isNotNull()).select("code", F.col("log_p").alias("ratio"))
-    for i in range(0, len(shards), SHARDS_AT_ONCE):
-        rows = stored(rows.mapInArrow(_rating(dict(enumerate(shards[i:i + SHARDS_AT_ONCE], i)), len(shards), order),
-                                      "code long, ratio double"), "kn-ratios")
-    marks = rows.where(F.col("ratio") > MARK)
-    out = []
-    for s in range(len(shards)):
-        mine = (marks.where(F.shiftright("code", 8).bitwiseAND(0xFFFF) % len(shards) == s)
-                .select("code", (F.col("ratio") - MARK).cast("float").alias("weight")).sort("code").toArrow())
-        out.append(model.sparkSession.sparkContext.broadcast(
-            (mine.column("code").to_numpy(), mine.column("weight").to_numpy())))
-    return out
+def _shard(context: np.ndarray, shards: int) -> np.ndarray:
+    return (context & 0xFFFF) % shards
 
 
-def _rating(tables: dict, shards: int, order: int):
+def _packing(low: Broadcast, order: int):
+    def packed(shard: int, held: list) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).drop_columns("shard")
+        is_toxic = pc.equal(rows.column("kind"), TOXIC)
+        known, toxic = rows.filter(pc.invert(is_toxic)), rows.filter(is_toxic)
+        ratio = toxic.column("value").to_numpy() - Table(low.value, known).log_p(toxic.column("code").to_numpy(), order)
+        marks = toxic.set_column(3, "value", pa.array((ratio - MARK).astype(np.float32))).filter(pa.array(ratio > MARK))
+        body = _pack(pa.concat_tables([known, marks.cast(known.schema)]).combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([body], pa.binary())],
+                                          names=["shard", "body"])
+
     def run(batches):
+        now, held = None, []
         for batch in batches:
-            code = batch.column("code").to_numpy()
-            ratio = batch.column("ratio").to_numpy().copy()
-            for number, table in tables.items():
-                mine = _shard(code >> 8, shards) == number
-                ratio[mine] -= table.value.log_p(code[mine], order)
-            yield pa.RecordBatch.from_arrays([batch.column("code"), pa.array(ratio)], names=["code", "ratio"])
+            shard = batch.column("shard").to_numpy()
+            edge = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(shard)].tolist()
+            for a, b in zip(edge[:-1], edge[1:]):
+                if b > a:
+                    if held and shard[a] != now:
+                        yield packed(now, held)
+                        held = []
+                    now = int(shard[a])
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield packed(now, held)
     return run
 
 
-def score(docs: DataFrame, shards: list, text_col: str = "text", order: int = ORDER,
-          marks: list | None = None) -> DataFrame:
-    """``docs``, all rows and columns, with ``__n_bytes``, ``__log_prob`` and ``__evidence`` (by ``marks``,
-    one for each shard) of the text. Each pass over the rows adds the parts of ``SHARDS_AT_ONCE`` shards."""
-    df = docs.withColumns({"__n_bytes": F.lit(0).cast("long"), "__log_prob": F.lit(0.0), "__evidence": F.lit(0.0)})
-    for i in range(0, len(shards), SHARDS_AT_ONCE):
-        if i:
-            df = stored(df, "kn-partial")
-        part = slice(i, i + SHARDS_AT_ONCE)
-        df = df.mapInArrow(_adding(dict(enumerate(shards[part], i)), dict(enumerate((marks or [])[part], i)),
-                                   len(shards), order, text_col), df.schema)
-    return df
+def _grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block's texts: the different n-grams, which of them every byte ends, which places of the joined
+    texts are bytes of them, and where each text begins and ends there."""
+    data, begin = joined(texts, order - 1)
+    real = _places(begin, order - 1, len(data))
+    unique, which = np.unique(codes(data, order)[real], return_inverse=True)
+    end = np.r_[begin[1:-1] - (order - 1), len(data)] if len(texts) else begin[:0]
+    return unique, which, real, begin[:-1], end
 
 
-def _weights(marks: tuple[np.ndarray, np.ndarray], code: np.ndarray) -> np.ndarray:
-    keys, weights = marks
-    if not len(keys):
-        return np.zeros(len(code))
-    at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
-    return np.where(keys[at] == code, weights[at], 0.0)
+#: shard is -1 in the row that carries a block's rows; ``n`` n-grams are asked from any other.
+BLOCKS = "block long, shard int, n long, codes binary, body binary"
+ANSWERS = "block long, shard int, value binary, evidence binary, body binary"
+LAST = (1 << 31) - 1
+
+
+def _blocks(batches, text_col: str) -> Iterator[pa.RecordBatch]:
+    """Rows in lots of about ``BLOCK_BYTES`` of text; a longer text is alone."""
+    held, size = [], 0
+    for batch in batches:
+        for first, part in pieces(texts_in(batch, text_col), BLOCK_BYTES):
+            if held and size + part.nbytes > BLOCK_BYTES:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+            held.append(batch.slice(first, len(part)))
+            size += part.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _asking(text_col: str, shards: int, order: int):
+    def run(batches):
+        task = TaskContext.get().partitionId() << 32
+        for number, rows in enumerate(_blocks(batches, text_col)):
+            unique = _grams(texts_in(rows, text_col), order)[0]
+            shard = _shard(unique >> 8, shards)
+            asked = {int(s): unique[shard == s] for s in np.unique(shard)}
+            delta = [pa.compress(np.diff(c, prepend=0).tobytes(), "zstd", asbytes=True) for c in asked.values()]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([task + number] * (len(asked) + 1), pa.int64()), pa.array([-1, *asked], pa.int32()),
+                pa.array([0, *map(len, asked.values())], pa.int64()), pa.array([None, *delta], pa.binary()),
+                pa.array([_pack(rows)] + [None] * len(asked), pa.binary())], names=["block", "shard", "n", "codes", "body"])
+    return run
+
+
+def _answering(low: Broadcast, order: int):
+    def run(batches):
+        now = known = None
+        for batch in batches:
+            block, shard, salt, n = (batch.column(c).to_pylist() for c in ("block", "shard", "salt", "n"))
+            for i in range(batch.num_rows):
+                if (shard[i], salt[i]) != now:
+                    now, known = (shard[i], salt[i]), None
+                if block[i] < 0:
+                    known = Table(low.value, _unpack(batch.column("data")[i]))
+                    continue
+                known = known or Table(low.value)                     # a shard without rows
+                code = np.cumsum(np.frombuffer(pa.decompress(batch.column("data")[i].as_buffer(), 8 * n[i], "zstd"), np.int64))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block[i]], pa.int64()), pa.array([shard[i]], pa.int32()),
+                    *(pa.array([v.astype(np.float32).tobytes()], pa.binary())
+                      for v in (known.log_p(code, order), known.evidence(code))), pa.array([None], pa.binary())],
+                    names=["block", "shard", "value", "evidence", "body"])
+    return run
+
+
+def score(docs: DataFrame, lookup: Lookup, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """``docs``, all rows and ``columns`` (all), with ``__n_bytes``, ``__log_prob`` and ``__evidence`` of the text."""
+    blocks = stored(docs.mapInArrow(_asking(text_col, lookup.shards, lookup.order), BLOCKS), "kn-blocks")
+    asked = blocks.where("shard >= 0")
+    copies = max(1, -(-(asked.agg(F.sum("n")).first()[0] or 0) // (lookup.shards * ANSWERS_AT_ONCE)))
+    salt = F.pmod(F.xxhash64("block"), F.lit(copies)).cast("int").alias("salt")
+    # a shard's copies come before the questions to them
+    tables = lookup.rows.select(F.lit(-1).cast("long").alias("block"), "shard", F.explode(
+        F.sequence(F.lit(0), F.lit(copies - 1))).alias("salt"), F.lit(0).cast("long").alias("n"), F.col("body").alias("data"))
+    answers = (tables.union(asked.select("block", "shard", salt, "n", F.col("codes").alias("data")))
+               .repartition("shard", "salt").sortWithinPartitions("shard", "salt", "block")
+               .mapInArrow(_answering(lookup.low, lookup.order), ANSWERS))
+    nothing = F.lit(None).cast("binary")
+    bodies = blocks.where("shard < 0").select("block", F.lit(LAST).alias("shard"), nothing, nothing, "body")
+    kept = docs.select(*(docs.columns if columns is None else columns))
+    out = kept.withColumns({"__n_bytes": F.lit(0).cast("long"), "__log_prob": F.lit(0.0), "__evidence": F.lit(0.0)})
+    return (answers.union(bodies).repartition("block").sortWithinPartitions("block", "shard")
+            .mapInArrow(_gathering(text_col, kept.columns, lookup.shards, lookup.order), out.schema))
 
 
 def _sums(value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.array([value[a:b].sum() for a, b in zip(begin.tolist(), end.tolist())])
 
 
-def _adding(tables: dict, marks: dict, shards: int, order: int, text_col: str):
+def _gathering(text_col: str, columns: list[str], shards: int, order: int):
+    def scored(rows: pa.RecordBatch, answers: dict) -> pa.RecordBatch:
+        unique, which, real, begin, end = _grams(texts_in(rows, text_col), order)
+        shard = _shard(unique >> 8, shards)
+        added = {"__n_bytes": end - begin}
+        for number, name in enumerate(("__log_prob", "__evidence")):
+            of = np.zeros(len(unique))
+            for s, parts in answers.items():
+                of[shard == s] = np.frombuffer(parts[number].as_buffer(), np.float32)
+            places = np.zeros(len(real))
+            places[real] = of[which]
+            added[name] = _sums(places, begin, end)
+        return pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), *map(pa.array, added.values())],
+                                          names=[*columns, *added])
+
     def run(batches):
+        now, answers = None, {}
         for batch in batches:
-            for first, part in pieces(texts_in(batch, text_col), BYTES_AT_ONCE):
-                data, begin = joined(part, order - 1)
-                code = codes(data, order)
-                real = _places(begin, order - 1, len(data))
-                value = np.zeros(len(data))
-                evidence = np.zeros(len(data))
-                for number, table in tables.items():
-                    mine = real & (_shard(code >> 8, shards) == number) if shards > 1 else real
-                    unique, where = np.unique(code[mine], return_inverse=True)
-                    value[mine] = table.value.log_p(unique, order)[where]
-                    if number in marks:
-                        evidence[mine] = _weights(marks[number].value, unique)[where]
-                end = np.r_[begin[1:-1] - (order - 1), len(data)]
-                out = batch.slice(first, len(part))
-                columns = {"__n_bytes": end - begin[:-1]}
-                for name, parts in (("__log_prob", value), ("__evidence", evidence)):
-                    columns[name] = (out.column(name).to_numpy(zero_copy_only=False)
-                                     + _sums(parts, begin[:-1], end))
-                for name, column in columns.items():
-                    out = out.set_column(out.schema.get_field_index(name), name, pa.array(column))
-                yield out
+            for i, (block, shard) in enumerate(zip(batch.column("block").to_pylist(), batch.column("shard").to_pylist())):
+                if block != now:
+                    now, answers = block, {}
+                if shard < LAST:
+                    answers[shard] = [batch.column(c)[i] for c in ("value", "evidence")]
+                else:
+                    for rows in _unpack(batch.column("body")[i]).to_batches():
+                        yield scored(rows, answers)
     return run
 
 
@@ -360,31 +471,28 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, column
     with ThreadPoolExecutor(len(counts)) as pool:
         *half_models, model, toxic_model = pool.map(fit, counts)
 
-    def lookups(of: DataFrame) -> tuple[list, list]:
-        shards = shards_of(of, more=toxic_model.where(F.col("k") == ORDER))
-        return shards, marks_of(toxic_model, shards)
-
     spread = SPREAD / F.sqrt(F.greatest(F.col("__n_bytes"), F.lit(1)))
     root = F.sqrt(F.col("__n_bytes"))
     scores = []
     for half, other in zip(halves, reversed(half_models)):
-        shards, marks = lookups(other)
-        scores.append(stored(score(half, shards, marks=marks).where("__n_bytes > 0").select(
+        lookup = lookup_of(other, toxic_model)
+        scores.append(stored(score(half, lookup, columns=["lang"]).where("__n_bytes > 0").select(
             "lang", (_log_perplexity() - spread).alias("x"), (F.col("__evidence") / root).alias("e")),
             "kn-trusted-scores"))
-        for b in (*shards, *marks):             # the scores are written, nothing looks them up again
-            b.destroy()
+        lookup.close()                          # the scores are written, nothing asks any more
     levels = scores[0].union(scores[1])
-    shards, marks = lookups(model)
+    lookup = lookup_of(model, toxic_model)
     level, rate = (F.percentile_approx(c, F.lit(quantile), F.lit(10_000)) for c in ("x", "e"))
     # no longer than the languages, and one row
     by_lang = stored(levels.where("lang is not null").groupBy(F.col("lang").cast("string").alias("__lang"))
                      .agg(level.alias("__level"), rate.alias("__rate")), "kn-levels")
     by_lang = F.broadcast(by_lang) if by_lang.count() <= BROADCAST_LANGUAGES else by_lang
     overall, overall_rate = levels.agg(level, rate).first()
-    scored = score(docs if columns is None else docs.select(*{*columns, "lang", "text"}), shards, marks=marks)
-    if columns is not None:
-        scored = scored.select(*columns, "lang", "__n_bytes", "__log_prob", "__evidence")
+    if columns is None:
+        scored = score(docs, lookup)
+    else:
+        scored = score(docs.select(*dict.fromkeys([*columns, "lang", "text"])), lookup,
+                       columns=list(dict.fromkeys([*columns, "lang"])))
     limit = F.coalesce("__level", F.lit(overall).cast("double")) + MARGIN + spread
     evidence = F.greatest(F.lit(LEAST_EVIDENCE), root * F.greatest(
         F.lit(LEAST_RATE), F.coalesce("__rate", F.lit(overall_rate).cast("double"))))

@@ -488,11 +488,12 @@ def brute_log_p(train, text, order):
 def test_kneser_ney_is_exact(spark, docs, shard_rows):
     train = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "été là"]
     df = spark.createDataFrame([(t,) for t in train], "text string")
-    shards = kneser_ney.shards_of(kneser_ney.train(df, 3), shard_rows)
-    assert (len(shards) > 1) == (shard_rows < 1000)
+    lookup = kneser_ney.lookup_of(kneser_ney.train(df, 3), shard_rows=shard_rows, order=3)
+    assert (lookup.shards > 1) == (shard_rows < 1000)
     seen = ["the cat", "a log on the dog", "zebra", "", None, "là été", "t"]
-    got = kneser_ney.score(spark.createDataFrame([(i, t) for i, t in enumerate(seen)], "i int, text string"), shards,
-                           order=3).orderBy("i").collect()
+    got = kneser_ney.score(spark.createDataFrame([(i, t) for i, t in enumerate(seen)], "i int, text string"), lookup)
+    got = got.orderBy("i").collect()
+    assert len(got) == len(seen)
     for r, t in zip(got, seen):
         assert r["__n_bytes"] == len((t or "").encode())
         assert abs(r["__log_prob"] - brute_log_p([x.encode() for x in train], (t or "").encode(), 3)) < 1e-4
@@ -522,9 +523,9 @@ def test_marks_are_log_ratios(spark):
     to_df = lambda ts: spark.createDataFrame([(t,) for t in ts], "text string")
     model, against = kneser_ney.train(to_df(clean), 3), kneser_ney.train(to_df(toxic), 3)
     for shard_rows in (10 ** 6, 40):
-        shards = kneser_ney.shards_of(model, shard_rows, against.where("k = 3"))
-        marks = kneser_ney.marks_of(against, shards, 3)
-        weights = {int(c): float(w) for b in marks for c, w in zip(*b.value)}
+        lookup = kneser_ney.lookup_of(model, against, shard_rows, 3)
+        tables = [kneser_ney.Table(pa.ipc.open_stream(r.body).read_all()) for r in lookup.rows.collect()]
+        weights = {int(c): float(w) for t in tables for c, w in zip(*t.marks)}
         grams = {t[i:i + 3] for t in (b"\0\0" + x.encode() for x in toxic) for i in range(len(t) - 2)}
         for g in grams:
             # the log-ratio of the last byte, each by the texts' sums of one byte more and less
@@ -532,7 +533,7 @@ def test_marks_are_log_ratios(spark):
             got = weights.get(int.from_bytes(g, "big"), 0.0)
             assert abs(got - max(0.0, ratio - kneser_ney.MARK)) < 1e-3
         text = "an idiot sat"
-        seen = kneser_ney.score(spark.createDataFrame([(text,), (None,)], "text string"), shards, order=3, marks=marks).collect()
+        seen = kneser_ney.score(spark.createDataFrame([(text,), (None,)], "text string"), lookup).collect()
         padded = b"\0\0" + text.encode()
         want = sum(weights.get(int.from_bytes(padded[i:i + 3], "big"), 0.0) for i in range(len(text)))
         assert want > 0 and sorted(round(r["__evidence"], 3) for r in seen) == [0.0, round(want, 3)]
