@@ -1,14 +1,20 @@
-"""Benchmark decontamination: exact pieces, run filter and exact edit verification.
+"""Benchmark decontamination: CGK walks, bit sampling and exact edit verification.
 
 A passage is a benchmark leak when some window of a document lies within ``MAX_EDITS`` (a share of
 the item's length) of the item in edit distance, after lower-casing ASCII letters and reducing all
 other ASCII characters to single spaces.
 
-An item that may have k edits is cut into k + 1 pieces. One edit spoils one piece at most, so every
-window within k edits holds one of them unchanged, wherever the edits are and however long the item
-is: no leak is lost (tested against brute force at ``MAX_EDITS`` and by length). A piece is looked up
-by its first bytes, at most ``WIDEST``, at every byte of a document, not only at words, so scripts
-without spaces are met too.
+The CGK embedding walks over a text: step j copies the current byte and goes on to the next byte or stays, as a
+random bit for (j, byte) says. Texts that differ by few edits fall into step again, so edit distance becomes
+Hamming distance, for which sampled places of the walk are a locality-sensitive hash. Only the part of a walk after an
+edit is at risk, so walks are short and begin afresh at every word; their length goes by the item's (``WALKS``):
+a window is met if the walk from any one of the item's words agrees in all sampled places, in any of ``REPEATS``
+independent walks. Target: nine in ten of the windows at the limit of edits (tested by length, walks alone).
+
+Walks miss some leaks whatever their number, so exact pieces are added for the rest. An item that may have k edits
+is cut into k + 1 pieces. One edit spoils one piece at most, so every window within k edits holds one of them
+unchanged: no leak is lost (tested against brute force by length). A piece is looked up by its first bytes, at most
+``WIDEST``, at every byte of a document, so scripts without spaces are met too.
 
 Every candidate (window, item) is verified exactly: equal windows at once, the others by Myers' bit
 vector algorithm over the window with the slack that the edits allow, unless the window holds fewer
@@ -41,6 +47,11 @@ MAX_EDITS = 0.10
 WIDEST, MIN_ITEM = 16, 20
 RUN = 6
 BLOCK_ITEMS = 10_000
+#: Independent walks of a length; (least bytes of an item, steps, sampled places) of walks.
+REPEATS = 2
+WALKS = ((MIN_ITEM, 12, 10), (64, 24, 12), (128, 48, 16))
+SEED = 20_240
+STARTS_AT_ONCE = 1 << 15
 BYTES_AT_ONCE = 1 << 20
 #: Places that are hashed, candidates that are held and bytes of windows whose runs are counted together.
 PLACES_AT_ONCE, CANDIDATES_AT_ONCE, WINDOWS_AT_ONCE = 1 << 18, 1 << 18, 1 << 20
@@ -87,10 +98,46 @@ def _run_hash(run: np.ndarray) -> np.ndarray:
     return out
 
 
+class Walk:
+    """One random walk and the hash of its sampled places."""
+
+    def __init__(self, steps: int, samples: int, seed: int):
+        rng = np.random.default_rng(seed)
+        self.steps = steps
+        self.moves = rng.integers(0, 2, (steps, 256), dtype=np.int64)
+        self.sampled = set(rng.choice(steps, samples, replace=False).tolist())
+        self.factor = np.uint64(int(rng.integers(1, 1 << 62)) * 2 + 1)
+
+    def keys(self, form: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The hash from every start in ``form``, which goes on for at least ``steps`` bytes after the last."""
+        at = starts.copy()
+        key = np.zeros(len(at), dtype=np.uint64)
+        for step in range(self.steps):
+            byte = form.take(at)
+            if step in self.sampled:
+                key += byte
+                key += np.uint64(1)
+                key *= self.factor
+            at += self.moves[step].take(byte)
+        return key ^ key >> np.uint64(32)
+
+
+def word_starts(form: np.ndarray) -> np.ndarray:
+    return np.flatnonzero((form != 32) & np.r_[True, form[:-1] == 32]) if len(form) else np.zeros(0, np.int64)
+
+
+def _sorted(key: np.ndarray, item: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A lookup table: keys in order with their items and offsets, and which low key bits occur."""
+    order = np.argsort(key, kind="stable")
+    marks = np.zeros(1 << 20, dtype=bool)
+    marks[(key & np.uint64(0xFFFFF)).astype(np.int64)] = True
+    return key[order], item[order], offset[order], marks
+
+
 class Index:
-    """Keys of the pieces of a block of items."""
+    """Keys of the walks and of the pieces of a block of items; without ``exact``, of the walks alone."""
 
-    def __init__(self, items: list[tuple[int | None, str]], max_edits: float):
+    def __init__(self, items: list[tuple[int | None, str]], max_edits: float, exact: bool = True):
         self.max_edits = max_edits
         self.ids, self.forms = [], []
         for item_id, text in items:
@@ -102,11 +149,30 @@ class Index:
                 self.ids.append(item_id)
                 self.forms.append(form)
         self.most = np.array([int(max_edits * len(f)) * (len(f) >= MIN_ITEM) for f in self.forms], np.int64)
+        self.walks = []
+        kind = np.searchsorted([least for least, *_ in WALKS], [len(f) for f in self.forms], side="right") - 1
+        for k, (_, steps, samples) in enumerate(WALKS):
+            mine = np.flatnonzero(kind == k).tolist()
+            for r in range(REPEATS if mine else 0):
+                walk = Walk(steps, samples, SEED + 10 * k + r)
+                self.walks.append((walk, *self._walked(walk, mine)))
         widths: dict[int, list[int]] = {}
-        for i, form in enumerate(self.forms):
+        for i, form in enumerate(self.forms if exact else []):
             widths.setdefault(max(1, min(WIDEST, len(form) // (int(self.most[i]) + 1))), []).append(i)
         self.pieces = [(width, *self._entries(width, mine)) for width, mine in sorted(widths.items())]
 
+    def _walked(self, walk: Walk, items: list[int]) -> tuple[np.ndarray, ...]:
+        keys, item, offset = [], [], []
+        for i in items:
+            form = self.forms[i]
+            # a walk that left the item would read what follows in the document
+            starts = word_starts(form)
+            starts = starts[starts <= max(0, len(form) - walk.steps)]
+            keys.append(walk.keys(np.r_[form, np.full(walk.steps + 1, 32, np.uint8)], starts))
+            item.append(np.full(len(starts), i, np.int64))
+            offset.append(starts)
+        return _sorted(np.concatenate(keys), np.concatenate(item), np.concatenate(offset))
+
     def _entries(self, width: int, items: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         keys, item, offset = [], [], []
         for i in items:
@@ -116,28 +182,37 @@ class Index:
             keys.append(_keys(self.forms[i], width)[starts])
             item.append(np.full(n, i, np.int64))
             offset.append(starts)
-        key = np.concatenate(keys)
-        order = np.argsort(key, kind="stable")
-        marks = np.zeros(1 << 20, dtype=bool)
-        marks[(key & np.uint64(0xFFFFF)).astype(np.int64)] = True
-        return key[order], np.concatenate(item)[order], np.concatenate(offset)[order], marks
+        return _sorted(np.concatenate(keys), np.concatenate(item), np.concatenate(offset))
 
     def candidates(self, form: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Lots of (item, place where it would begin, place of the piece that met). The item may begin
-        before the text of the piece: then its first bytes are missing."""
-        for width, keys, items, offsets, marks in self.pieces:
+        """Lots of (item, place where it would begin, place of the word or piece that met). The item may begin
+        before the text of that place: then its first bytes are missing."""
+        longest = max((walk.steps for walk, *_ in self.walks), default=0)
+        padded = np.r_[form, np.full(longest + 1, 32, np.uint8)]
+        starts = word_starts(form) if self.walks else np.zeros(0, np.int64)
+        for walk, *table in self.walks:
+            for k in range(0, len(starts), STARTS_AT_ONCE):
+                some = starts[k:k + STARTS_AT_ONCE]
+                for which, met in self._met(walk.keys(padded, some), table):
+                    yield table[1][which], some[met] - table[2][which], some[met]
+        for width, *table in self.pieces:
             for k in range(0, len(form) - width + 1, PLACES_AT_ONCE):
-                key = _keys(form[k:k + PLACES_AT_ONCE + width - 1], width)
-                maybe = np.flatnonzero(marks[(key & np.uint64(0xFFFFF)).astype(np.int64)])
-                first = np.searchsorted(keys, key[maybe])
-                n = np.searchsorted(keys, key[maybe], side="right") - first
-                lot = np.cumsum(n) // CANDIDATES_AT_ONCE
-                for some in np.split(np.arange(len(n)), np.flatnonzero(np.diff(lot)) + 1):
-                    m, total = n[some], int(n[some].sum())
-                    if total:
-                        which = np.repeat(first[some], m) + np.arange(total) - np.repeat(np.cumsum(m) - m, m)
-                        place = k + np.repeat(maybe[some], m)
-                        yield items[which], place - offsets[which], place
+                for which, met in self._met(_keys(form[k:k + PLACES_AT_ONCE + width - 1], width), table):
+                    yield table[1][which], k + met - table[2][which], k + met
+
+    @staticmethod
+    def _met(key: np.ndarray, table: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Lots of (entry of the table, place of the key that equals its)."""
+        keys, _, _, marks = table
+        maybe = np.flatnonzero(marks[(key & np.uint64(0xFFFFF)).astype(np.int64)])
+        first = np.searchsorted(keys, key[maybe])
+        n = np.searchsorted(keys, key[maybe], side="right") - first
+        lot = np.cumsum(n) // CANDIDATES_AT_ONCE
+        for some in np.split(np.arange(len(n)), np.flatnonzero(np.diff(lot)) + 1):
+            m, total = n[some], int(n[some].sum())
+            if total:
+                yield (np.repeat(first[some], m) + np.arange(total) - np.repeat(np.cumsum(m) - m, m),
+                       np.repeat(maybe[some], m))
 
 
 def nearest(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:

@@ -429,6 +429,26 @@ def test_no_leak_is_lost_at_the_limit_of_edits():
     assert found == want and sum((i, i) in want for i in range(len(items))) > 100
 
 
+@pytest.mark.parametrize("n", [30, 64, 80, 95, 120, 150, 200, 300])
+def test_walks_alone_find_nine_in_ten(n):
+    """Random edits of one byte in ten, found of those that verification of the whole text accepts."""
+    rng = random.Random(n)
+    vowels, others = "aeiou", "bcdfghklmnprst"
+    word = lambda: "".join(rng.choice(others) + rng.choice(vowels) for _ in range(rng.randint(1, 4)))
+    prose = lambda n: " ".join(word() for _ in range(n // 2))[:n - 1] + "z"
+    items = [(i, prose(n)) for i in range(150)]
+    changed = []
+    for _, t in items:
+        at = set(rng.sample(range(n), int(0.1 * n)))
+        changed.append(prose(60) + " " + "".join(
+            rng.choice(["", rng.choice("qwxy"), c + "q"]) if j in at else c for j, c in enumerate(t)) + " " + prose(60))
+    m = decontaminate.Matcher(decontaminate.Index(items, 0.1, exact=False))
+    found = {(r, i) for r, i, *_ in m.texts_of(pa.array(changed))}
+    near = [i for i, t in enumerate(m.texts) if decontaminate.nearest(t, decontaminate.normal_form(
+        np.frombuffer(changed[i].encode(), np.uint8))[0].tobytes(), int(0.1 * len(t)))]
+    assert len(near) > 75 and sum((i, i) in found for i in near) >= 0.9 * len(near)
+
+
 def edit(a, b):
     """Least edit distance of a to a window of b."""
     row = [0] * (len(b) + 1)
