@@ -7,7 +7,7 @@ other ASCII characters to single spaces.
 The CGK embedding walks over a text: step j copies the current byte and goes on to the next byte or stays, as a
 random bit for (j, byte) says. Texts that differ by few edits fall into step again, so edit distance becomes
 Hamming distance, for which sampled places of the walk are a locality-sensitive hash. Only the part of a walk after an
-edit is at risk, so walks are short and begin afresh at every word; their length goes by the item's (``WALKS``):
+edit is at risk, so walks are short and begin afresh at every word; how much of one is read goes by the item's length (``WALKS``):
 a window is met if the walk from any one of the item's words agrees in all sampled places, in any of ``REPEATS``
 independent walks. Target: nine in ten of the windows at the limit of edits (tested by length, walks alone).
 
@@ -47,9 +47,10 @@ MAX_EDITS = 0.10
 WIDEST, MIN_ITEM = 16, 20
 RUN = 6
 BLOCK_ITEMS = 10_000
-#: Independent walks of a length; (least bytes of an item, steps, sampled places) of walks.
+#: Independent walks; least bytes of an item and the steps that it is asked by, and how many of the steps up to
+#: there are sampled. The kinds of items read one walk, a long item more of it.
 REPEATS = 2
-WALKS = ((MIN_ITEM, 12, 10), (64, 24, 12), (128, 48, 16))
+WALKS = ((MIN_ITEM, 12, 10), (64, 20, 14), (128, 28, 18))
 SEED = 20_240
 STARTS_AT_ONCE = 1 << 15
 BYTES_AT_ONCE = 1 << 20
@@ -101,25 +102,30 @@ def _run_hash(run: np.ndarray) -> np.ndarray:
 class Walk:
     """One random walk and the hash of its sampled places."""
 
-    def __init__(self, steps: int, samples: int, seed: int):
+    def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
-        self.steps = steps
-        self.moves = rng.integers(0, 2, (steps, 256), dtype=np.int64)
-        self.sampled = set(rng.choice(steps, samples, replace=False).tolist())
+        self.moves = rng.integers(0, 2, (WALKS[-1][1], 256), dtype=np.int64)
+        self.sampled, before = set(), (0, 0)
+        for _, steps, samples in WALKS:
+            self.sampled |= set((before[0] + rng.choice(steps - before[0], samples - before[1], replace=False)).tolist())
+            before = steps, samples
         self.factor = np.uint64(int(rng.integers(1, 1 << 62)) * 2 + 1)
 
-    def keys(self, form: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """The hash from every start in ``form``, which goes on for at least ``steps`` bytes after the last."""
+    def keys(self, form: np.ndarray, starts: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+        """For each of ``lengths`` (steps, ascending) the hash from every start in ``form``, which goes on for
+        at least so many bytes after the last."""
         at = starts.copy()
         key = np.zeros(len(at), dtype=np.uint64)
-        for step in range(self.steps):
+        out = []
+        for step in range(lengths[-1]):
             byte = form.take(at)
             if step in self.sampled:
                 key += byte
-                key += np.uint64(1)
                 key *= self.factor
+            if step + 1 in lengths:
+                out.append(key ^ key >> np.uint64(32))
             at += self.moves[step].take(byte)
-        return key ^ key >> np.uint64(32)
+        return out
 
 
 def word_starts(form: np.ndarray) -> np.ndarray:
@@ -151,24 +157,24 @@ class Index:
         self.most = np.array([int(max_edits * len(f)) * (len(f) >= MIN_ITEM) for f in self.forms], np.int64)
         self.walks = []
         kind = np.searchsorted([least for least, *_ in WALKS], [len(f) for f in self.forms], side="right") - 1
-        for k, (_, steps, samples) in enumerate(WALKS):
-            mine = np.flatnonzero(kind == k).tolist()
-            for r in range(REPEATS if mine else 0):
-                walk = Walk(steps, samples, SEED + 10 * k + r)
-                self.walks.append((walk, *self._walked(walk, mine)))
+        self.steps = [steps for k, (_, steps, _) in enumerate(WALKS) if (kind == k).any()]
+        for r in range(REPEATS if self.steps else 0):
+            walk = Walk(SEED + r)
+            self.walks.append((walk, [self._walked(walk, np.flatnonzero(kind == k).tolist(), steps)
+                                      for k, (_, steps, _) in enumerate(WALKS) if steps in self.steps]))
         widths: dict[int, list[int]] = {}
         for i, form in enumerate(self.forms if exact else []):
             widths.setdefault(max(1, min(WIDEST, len(form) // (int(self.most[i]) + 1))), []).append(i)
         self.pieces = [(width, *self._entries(width, mine)) for width, mine in sorted(widths.items())]
 
-    def _walked(self, walk: Walk, items: list[int]) -> tuple[np.ndarray, ...]:
+    def _walked(self, walk: Walk, items: list[int], steps: int) -> tuple[np.ndarray, ...]:
         keys, item, offset = [], [], []
         for i in items:
             form = self.forms[i]
             # a walk that left the item would read what follows in the document
             starts = word_starts(form)
-            starts = starts[starts <= max(0, len(form) - walk.steps)]
-            keys.append(walk.keys(np.r_[form, np.full(walk.steps + 1, 32, np.uint8)], starts))
+            starts = starts[starts <= max(0, len(form) - steps)]
+            keys += walk.keys(np.r_[form, np.full(steps + 1, 32, np.uint8)], starts, [steps])
             item.append(np.full(len(starts), i, np.int64))
             offset.append(starts)
         return _sorted(np.concatenate(keys), np.concatenate(item), np.concatenate(offset))
@@ -187,21 +193,21 @@ class Index:
     def candidates(self, form: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Lots of (item, place where it would begin, place of the word or piece that met). The item may begin
         before the text of that place: then its first bytes are missing."""
-        longest = max((walk.steps for walk, *_ in self.walks), default=0)
-        padded = np.r_[form, np.full(longest + 1, 32, np.uint8)]
+        padded = np.r_[form, np.full(max(self.steps, default=0) + 1, 32, np.uint8)]
         starts = word_starts(form) if self.walks else np.zeros(0, np.int64)
-        for walk, *table in self.walks:
-            for k in range(0, len(starts), STARTS_AT_ONCE):
-                some = starts[k:k + STARTS_AT_ONCE]
-                for which, met in self._met(walk.keys(padded, some), table):
-                    yield table[1][which], some[met] - table[2][which], some[met]
+        for k in range(0, len(starts), STARTS_AT_ONCE):
+            some = starts[k:k + STARTS_AT_ONCE]
+            for walk, tables in self.walks:
+                for key, table in zip(walk.keys(padded, some, self.steps), tables):
+                    for which, met in self._met(key, table):
+                        yield table[1][which], some[met] - table[2][which], some[met]
         for width, *table in self.pieces:
             for k in range(0, len(form) - width + 1, PLACES_AT_ONCE):
                 for which, met in self._met(_keys(form[k:k + PLACES_AT_ONCE + width - 1], width), table):
                     yield table[1][which], k + met - table[2][which], k + met
 
     @staticmethod
-    def _met(key: np.ndarray, table: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _met(key: np.ndarray, table: list | tuple) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Lots of (entry of the table, place of the key that equals its)."""
         keys, _, _, marks = table
         maybe = np.flatnonzero(marks[(key & np.uint64(0xFFFFF)).astype(np.int64)])
