@@ -52,7 +52,7 @@ BLOCK_ITEMS = 10_000
 REPEATS = 2
 WALKS = ((MIN_ITEM, 12, 10), (64, 20, 14), (128, 28, 18))
 SEED = 20_240
-STARTS_AT_ONCE = 1 << 15
+STARTS_AT_ONCE = 1 << 16
 BYTES_AT_ONCE = 1 << 20
 #: Places that are hashed, candidates that are held and bytes of windows whose runs are counted together.
 PLACES_AT_ONCE, CANDIDATES_AT_ONCE, WINDOWS_AT_ONCE = 1 << 18, 1 << 18, 1 << 20
@@ -112,19 +112,19 @@ class Walk:
         self.factor = np.uint64(int(rng.integers(1, 1 << 62)) * 2 + 1)
 
     def keys(self, form: np.ndarray, starts: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
-        """For each of ``lengths`` (steps, ascending) the hash from every start in ``form``, which goes on for
-        at least so many bytes after the last."""
+        """For each of ``lengths`` (steps, ascending) the hash from every start in ``form`` (bytes as machine
+        words, which numpy looks up without a copy), which goes on for at least so many bytes after the last."""
         at = starts.copy()
         key = np.zeros(len(at), dtype=np.uint64)
         out = []
         for step in range(lengths[-1]):
-            byte = form.take(at)
+            byte = form.take(at, mode="clip")
             if step in self.sampled:
-                key += byte
+                key += byte.view(np.uint64)
                 key *= self.factor
             if step + 1 in lengths:
                 out.append(key ^ key >> np.uint64(32))
-            at += self.moves[step].take(byte)
+            at += self.moves[step].take(byte, mode="clip")
         return out
 
 
@@ -174,7 +174,7 @@ class Index:
             # a walk that left the item would read what follows in the document
             starts = word_starts(form)
             starts = starts[starts <= max(0, len(form) - steps)]
-            keys += walk.keys(np.r_[form, np.full(steps + 1, 32, np.uint8)], starts, [steps])
+            keys += walk.keys(np.r_[form, np.full(steps + 1, 32)].astype(np.int64), starts, [steps])
             item.append(np.full(len(starts), i, np.int64))
             offset.append(starts)
         return _sorted(np.concatenate(keys), np.concatenate(item), np.concatenate(offset))
@@ -193,14 +193,21 @@ class Index:
     def candidates(self, form: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Lots of (item, place where it would begin, place of the word or piece that met). The item may begin
         before the text of that place: then its first bytes are missing."""
-        padded = np.r_[form, np.full(max(self.steps, default=0) + 1, 32, np.uint8)]
+        padded = np.r_[form, np.full(max(self.steps, default=0) + 1, 32)].astype(np.int64)
         starts = word_starts(form) if self.walks else np.zeros(0, np.int64)
+        held, size = [], 0
         for k in range(0, len(starts), STARTS_AT_ONCE):
             some = starts[k:k + STARTS_AT_ONCE]
             for walk, tables in self.walks:
                 for key, table in zip(walk.keys(padded, some, self.steps), tables):
                     for which, met in self._met(key, table):
-                        yield table[1][which], some[met] - table[2][which], some[met]
+                        held.append((table[1][which], some[met] - table[2][which], some[met]))
+                        size += len(met)
+                        if size >= CANDIDATES_AT_ONCE:
+                            yield tuple(map(np.concatenate, zip(*held)))
+                            held, size = [], 0
+        if held:
+            yield tuple(map(np.concatenate, zip(*held)))
         for width, *table in self.pieces:
             for k in range(0, len(form) - width + 1, PLACES_AT_ONCE):
                 for which, met in self._met(_keys(form[k:k + PLACES_AT_ONCE + width - 1], width), table):
