@@ -17,6 +17,9 @@ meet the questions in a shuffle; the answers meet their blocks in another. No sh
 through the driver, and a task holds one shard or one block. Marks are computed where a shard is packed: the toxic
 model's n-grams go there as further rows.
 
+A model of at most ``BROADCAST_ROWS`` rows in all (counted, 52 MB) is broadcast instead, and every task answers its own
+questions with the same packed shards: the same sums without writing or moving a text. The shuffle is the way beyond it.
+
 A document's perplexity is the exponential of its mean negative log-probability per byte. The
 threshold of a language is a high quantile of the trusted documents' perplexities, all of them, with
 a margin that allows for the spread of short texts. A model knows the texts it was trained on too
@@ -69,6 +72,8 @@ BROADCAST_LANGUAGES = 100_000
 #: Text of a block, and n-grams that a copy of a shard answers.
 BLOCK_BYTES = 1 << 20
 ANSWERS_AT_ONCE = 4_000_000
+#: Rows of a whole model that are broadcast.
+BROADCAST_ROWS = 4_000_000
 BYTES_AT_ONCE = 1 << 20
 #: Kinds of a shard's rows.
 PROBABILITY, BACKOFF, TOXIC = 0, 1, 2
@@ -239,6 +244,7 @@ class Lookup:
     low: Broadcast
     shards: int
     order: int
+    size: int
 
     def close(self) -> None:
         """To be called when nothing will ask any more."""
@@ -283,7 +289,7 @@ def lookup_of(model: DataFrame, toxic: DataFrame | None = None, shard_rows: int
     packed = (roles.select((F.col("pair") % shards).cast("int").alias("shard"), "kind", "k", "code", "value")
               .repartition("shard").sortWithinPartitions("shard")
               .mapInArrow(_packing(low, order), "shard int, body binary"))
-    return Lookup(stored(packed, "kn-shards"), low, shards, order)
+    return Lookup(stored(packed, "kn-shards"), low, shards, order, int(pairs[:, 1].sum()))
 
 
 def _shard(context: np.ndarray, shards: int) -> np.ndarray:
@@ -384,8 +390,16 @@ def _answering(low: Broadcast, order: int):
     return run
 
 
-def score(docs: DataFrame, lookup: Lookup, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, lookup: Lookup, text_col: str = "text", columns: list[str] | None = None,
+          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs``, all rows and ``columns`` (all), with ``__n_bytes``, ``__log_prob`` and ``__evidence`` of the text."""
+    kept = docs.select(*(docs.columns if columns is None else columns))
+    schema = kept.withColumns({"__n_bytes": F.lit(0).cast("long"), "__log_prob": F.lit(0.0), "__evidence": F.lit(0.0)}).schema
+    if lookup.size <= broadcast_rows:
+        packed = lookup.rows.toArrow()          # at most ``broadcast_rows`` rows of 13 bytes
+        shared = docs.sparkSession.sparkContext.broadcast(dict(zip(packed.column("shard").to_pylist(),
+                                                                   packed.column("body").to_pylist())))
+        return docs.mapInArrow(_answered(shared, lookup.low, text_col, kept.columns, lookup.shards, lookup.order), schema)
     blocks = stored(docs.mapInArrow(_asking(text_col, lookup.shards, lookup.order), BLOCKS), "kn-blocks")
     asked = blocks.where("shard >= 0")
     copies = max(1, -(-(asked.agg(F.sum("n")).first()[0] or 0) // (lookup.shards * ANSWERS_AT_ONCE)))
@@ -398,31 +412,45 @@ def score(docs: DataFrame, lookup: Lookup, text_col: str = "text", columns: list
                .mapInArrow(_answering(lookup.low, lookup.order), ANSWERS))
     nothing = F.lit(None).cast("binary")
     bodies = blocks.where("shard < 0").select("block", F.lit(LAST).alias("shard"), nothing, nothing, "body")
-    kept = docs.select(*(docs.columns if columns is None else columns))
-    out = kept.withColumns({"__n_bytes": F.lit(0).cast("long"), "__log_prob": F.lit(0.0), "__evidence": F.lit(0.0)})
     return (answers.union(bodies).repartition("block").sortWithinPartitions("block", "shard")
-            .mapInArrow(_gathering(text_col, kept.columns, lookup.shards, lookup.order), out.schema))
+            .mapInArrow(_gathering(text_col, kept.columns, lookup.shards, lookup.order), schema))
 
 
 def _sums(value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.array([value[a:b].sum() for a, b in zip(begin.tolist(), end.tolist())])
 
 
-def _gathering(text_col: str, columns: list[str], shards: int, order: int):
-    def scored(rows: pa.RecordBatch, answers: dict) -> pa.RecordBatch:
-        unique, which, real, begin, end = _grams(texts_in(rows, text_col), order)
-        shard = _shard(unique >> 8, shards)
-        added = {"__n_bytes": end - begin}
-        for number, name in enumerate(("__log_prob", "__evidence")):
-            of = np.zeros(len(unique))
-            for s, parts in answers.items():
-                of[shard == s] = np.frombuffer(parts[number].as_buffer(), np.float32)
-            places = np.zeros(len(real))
-            places[real] = of[which]
-            added[name] = _sums(places, begin, end)
-        return pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), *map(pa.array, added.values())],
-                                          names=[*columns, *added])
+def _scored(rows: pa.RecordBatch, answer, text_col: str, columns: list[str], shards: int, order: int) -> pa.RecordBatch:
+    """A block's rows with their sums; ``answer`` gives a shard's values and evidence for its n-grams, or None."""
+    unique, which, real, begin, end = _grams(texts_in(rows, text_col), order)
+    shard = _shard(unique >> 8, shards)
+    of = np.zeros((2, len(unique)))
+    for s in np.unique(shard).tolist():
+        mine = shard == s
+        of[:, mine] = answer(s, unique[mine])
+    added = {"__n_bytes": end - begin}
+    for name, values in zip(("__log_prob", "__evidence"), of):
+        places = np.zeros(len(real))
+        places[real] = values[which]
+        added[name] = _sums(places, begin, end)
+    return pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), *map(pa.array, added.values())],
+                                      names=[*columns, *added])
+
+
+def _answered(shared: Broadcast, low: Broadcast, text_col: str, columns: list[str], shards: int, order: int):
+    def run(batches):
+        tables = {s: Table(low.value, _unpack(pa.scalar(body))) for s, body in shared.value.items()}
+        none = Table(low.value)                                       # a shard without rows
+
+        def answer(s, code):
+            table = tables.get(s, none)
+            return [table.log_p(code, order), table.evidence(code)]
+        for rows in _blocks(batches, text_col):
+            yield _scored(rows, answer, text_col, columns, shards, order)
+    return run
 
+
+def _gathering(text_col: str, columns: list[str], shards: int, order: int):
     def run(batches):
         now, answers = None, {}
         for batch in batches:
@@ -430,10 +458,10 @@ def _gathering(text_col: str, columns: list[str], shards: int, order: int):
                 if block != now:
                     now, answers = block, {}
                 if shard < LAST:
-                    answers[shard] = [batch.column(c)[i] for c in ("value", "evidence")]
+                    answers[shard] = [np.frombuffer(batch.column(c)[i].as_buffer(), np.float32) for c in ("value", "evidence")]
                 else:
                     for rows in _unpack(batch.column("body")[i]).to_batches():
-                        yield scored(rows, answers)
+                        yield _scored(rows, lambda s, _: answers[s], text_col, columns, shards, order)
     return run
 
 

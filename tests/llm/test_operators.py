@@ -511,9 +511,10 @@ def test_kneser_ney_is_exact(spark, docs, shard_rows):
     lookup = kneser_ney.lookup_of(kneser_ney.train(df, 3), shard_rows=shard_rows, order=3)
     assert (lookup.shards > 1) == (shard_rows < 1000)
     seen = ["the cat", "a log on the dog", "zebra", "", None, "là été", "t"]
-    got = kneser_ney.score(spark.createDataFrame([(i, t) for i, t in enumerate(seen)], "i int, text string"), lookup)
-    got = got.orderBy("i").collect()
-    assert len(got) == len(seen)
+    seen_df = spark.createDataFrame([(i, t) for i, t in enumerate(seen)], "i int, text string")
+    got, again = (kneser_ney.score(seen_df, lookup, broadcast_rows=n).orderBy("i").collect() for n in (0, 10 ** 6))
+    assert len(got) == len(again) == len(seen)
+    assert all(abs(a["__log_prob"] - b["__log_prob"]) < 1e-4 for a, b in zip(got, again))
     for r, t in zip(got, seen):
         assert r["__n_bytes"] == len((t or "").encode())
         assert abs(r["__log_prob"] - brute_log_p([x.encode() for x in train], (t or "").encode(), 3)) < 1e-4
