@@ -18,8 +18,9 @@ unchanged: no leak is lost (tested against brute force by length). A piece is lo
 
 Every candidate (window, item) is verified exactly: equal windows at once, the others by Myers' bit
 vector algorithm over the window with the slack that the edits allow, unless the window holds fewer
-of the item's runs of ``RUN`` bytes than must be left whole by the allowed edits. The runs of many
-windows are first counted together by hashes, which can only count too many. Whole texts of all documents
+of the item's runs of ``RUN`` bytes than must be left whole by the allowed edits (a run counts as often as the
+item has it, so a word repeated all over does not pass). The runs of many windows are first counted together by
+hashes, which can only count too many. Whole texts of all documents
 are read in one pass over the bytes of Arrow batches; nothing is shuffled, and a passage in a third
 of the documents costs each its own verification. Items are handed to the tasks in blocks of
 ``BLOCK_ITEMS``, whose size bounds what is broadcast; more items take more passes.
@@ -81,14 +82,17 @@ def runs(form: np.ndarray) -> np.ndarray:
     return out
 
 
-def _keys(form: np.ndarray, width: int) -> np.ndarray:
-    """A hash of the ``width`` bytes from every place (fewer places than bytes)."""
-    n = max(0, len(form) - width + 1)
-    key = np.zeros(n, dtype=np.uint64)
-    for k in range(width):
-        key += form[k:k + n]
+def _keys(form: np.ndarray, widths: list[int]) -> Iterator[np.ndarray]:
+    """For each of ``widths`` (ascending) a hash of so many bytes from every place (fewer places than bytes). A
+    wider hash goes on from the one before."""
+    data = form.astype(np.uint64)
+    key = np.zeros(len(form) + 1, dtype=np.uint64)
+    for k in range(widths[-1] if widths else 0):
+        key = key[:max(0, len(form) - k)]
+        key += data[k:]
         key *= np.uint64(_ODD)
-    return key ^ key >> np.uint64(32)
+        if k + 1 in widths:
+            yield key ^ key >> np.uint64(32)
 
 
 def _run_hash(run: np.ndarray) -> np.ndarray:
@@ -185,7 +189,7 @@ class Index:
             # where the pieces begin: the shortest has ``width`` bytes at least
             n = int(self.most[i]) + 1
             starts = np.minimum(np.arange(n) * len(self.forms[i]) // n, len(self.forms[i]) - width)
-            keys.append(_keys(self.forms[i], width)[starts])
+            keys.append(next(_keys(self.forms[i], [width]))[starts])
             item.append(np.full(n, i, np.int64))
             offset.append(starts)
         return _sorted(np.concatenate(keys), np.concatenate(item), np.concatenate(offset))
@@ -208,9 +212,11 @@ class Index:
                             held, size = [], 0
         if held:
             yield tuple(map(np.concatenate, zip(*held)))
-        for width, *table in self.pieces:
-            for k in range(0, len(form) - width + 1, PLACES_AT_ONCE):
-                for which, met in self._met(_keys(form[k:k + PLACES_AT_ONCE + width - 1], width), table):
+        widths = [width for width, *_ in self.pieces]
+        for k in range(0, len(form), PLACES_AT_ONCE):
+            for key, (_, *table) in zip(_keys(form[k:k + PLACES_AT_ONCE + widths[-1] - 1] if widths else form, widths),
+                                        self.pieces):
+                for which, met in self._met(key[:PLACES_AT_ONCE], table):
                     yield table[1][which], k + met - table[2][which], k + met
 
     @staticmethod
@@ -272,7 +278,7 @@ class Matcher:
     def __init__(self, index: Index):
         self.index = index
         self.texts = [f.tobytes() for f in index.forms]
-        self.runs = [np.unique(runs(f)) for f in index.forms]
+        self.runs, self.often = zip(*(np.unique(runs(f), return_counts=True) for f in index.forms)) if self.texts else ((), ())
         # the last entry stands for places without a run
         self.known = np.zeros((len(self.texts), (1 << RUN_BITS) + 1), dtype=bool)
         for i, run in enumerate(self.runs):
@@ -291,7 +297,8 @@ class Matcher:
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             i = int(items[a])
             n, most = len(self.texts[i]), int(self.index.most[i])
-            windows = np.lib.stride_tricks.sliding_window_view(hashed, max(1, n + 4 * most - RUN + 1))
+            wide = max(1, n + 4 * most - RUN + 1)
+            windows = np.ndarray((len(hashed) - wide + 1, wide), hashed.dtype, hashed, 0, 2 * hashed.strides)
             step = max(1, WINDOWS_AT_ONCE // n)
             for k in range(a, b, step):
                 some = windows[begins[k:min(b, k + step)] - 2 * most + self.pad]
@@ -301,8 +308,9 @@ class Matcher:
 
     def _too_far(self, i: int, window: np.ndarray, most: int) -> bool:
         known = self.runs[i]
-        at = known[np.minimum(np.searchsorted(known, window), len(known) - 1)]
-        return np.count_nonzero(at == window) < len(self.texts[i]) - RUN + 1 - RUN * most
+        at = np.minimum(np.searchsorted(known, window), len(known) - 1)
+        met = np.bincount(at[known[at] == window], minlength=len(known))
+        return np.minimum(met, self.often[i]).sum() < len(self.texts[i]) - RUN + 1 - RUN * most
 
     def best(self, form: bytes, run: np.ndarray, items: np.ndarray,
              begins: np.ndarray) -> dict[int, tuple[int, int, int]]:
