@@ -1,7 +1,8 @@
 """Cleaning: placeholders, date parsing, typed casts, validity filter, conformance.
 
 Each step is one projection or filter, so the whole cleaning chain fuses into the scan's
-whole-stage-codegen stage; nothing here shuffles.
+whole-stage-codegen stage; nothing here shuffles. The cleaning and the load parse every text
+column once (``parsed_once``): filters and reject reasons read the parsed values.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from salesmart.schema import (MEASURE_COLUMNS, MONEY, NUMERIC_TYPES, PLACEHOLDER
 from salesmart.sources.raw import CORRUPT
 
 POSITIVE = "positive_money"
+#: Measures that a valid sale has above zero.
+POSITIVE_MEASURES = ("state_bottle_cost", "state_bottle_retail", "sale_bottles")
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -64,8 +67,7 @@ def cast_by_map(df: DataFrame, type_map: Mapping[str, str] = NUMERIC_TYPES,
 
 
 def filter_positive(df: DataFrame,
-                    cols: Sequence[str] = ("state_bottle_cost", "state_bottle_retail",
-                                           "sale_bottles")) -> DataFrame:
+                    cols: Sequence[str] = POSITIVE_MEASURES) -> DataFrame:
     """Keep rows where every listed measure is > 0 (a null measure drops the row)."""
     cond = F.lit(True)
     for c in cols:
@@ -74,8 +76,7 @@ def filter_positive(df: DataFrame,
 
 
 def money_positive(type_map: Mapping[str, str] = NUMERIC_TYPES,
-                   cols: Sequence[str] = ("state_bottle_cost", "state_bottle_retail",
-                                          "sale_bottles")) -> Column:
+                   cols: Sequence[str] = POSITIVE_MEASURES) -> Column:
     """Over text columns: every listed 'float' measure is > 0 before it is rounded to cents (a
     cost of 0.004 is valid and stored as 0.00). 'int' measures are tested once typed."""
     cond = F.lit(True)
@@ -117,22 +118,55 @@ def conform(df: DataFrame, schema: T.StructType = SALES_SCHEMA,
     return df.select(*out)
 
 
+def _parse_number(text: Column, kind: str) -> Column:
+    """(value, positive) of a number's text, null for other text, with one test of the text. A
+    'float' is tested before it is rounded to cents (see ``money_positive``), an 'int' once typed."""
+    number = text.try_cast("double")
+    whole = number.try_cast("int")
+    value, positive = (whole, whole > 0) if kind == "int" else (text.try_cast(MONEY), number > 0)
+    return F.when(is_number_text(text), F.struct(value.alias("value"), positive.alias("positive")))
+
+
+def parsed_once(df: DataFrame, type_map: Mapping[str, str] = NUMERIC_TYPES) -> DataFrame:
+    """Add ``_parsed``: the date and, by column of ``type_map``, value and sign of the number.
+
+    The optimiser copies the expression of a projected column into each filter and expression
+    above it, so a row would be parsed once for each of them. It does not merge a generator with
+    what follows: ``inline`` of one struct gives each row back once, with the values computed.
+    """
+    fields = [parse_api_date(F.col("date")).alias("date")]
+    fields += [_parse_number(F.col(c), kind).alias(c) for c, kind in type_map.items() if c in df.columns]
+    return df.select("*", F.inline(F.array(F.struct(F.struct(*fields).alias("_parsed")))))
+
+
+def _positive(col: str) -> Column:
+    return F.coalesce(F.col(f"_parsed.{col}.positive"), F.lit(False))
+
+
+def _money_parsed_positive(type_map: Mapping[str, str], cols: Sequence[str] = POSITIVE_MEASURES) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        if type_map.get(c) == "float":
+            cond = cond & _positive(c)
+    return cond
+
+
 def clean_sales(raw: DataFrame, placeholders: Mapping[str, object] = PLACEHOLDERS,
                 type_map: Mapping[str, str] = NUMERIC_TYPES) -> DataFrame:
     """Raw text records to typed, valid sales: placeholders, date, numeric casts, then the
     positive-measure filter, which tests money before it is rounded to cents. Records that
     cannot be typed (see ``typed_with_rejects``) are left out. Full-row duplicates are kept;
     the load step resolves keys."""
-    typed = (raw.transform(lambda d: fill_placeholders(d, placeholders))
-                .withColumn(POSITIVE, money_positive(type_map))
-                .transform(normalize_date)
-                .transform(lambda d: cast_by_map(d, type_map)))
-    typable = F.col("date").isNotNull() & F.col(POSITIVE) & (F.col("sale_bottles") > 0)
-    for c in type_map:
-        if c in raw.columns:
-            typable = typable & F.col(c).isNotNull()
-    return typed.filter(typable).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields
+    parsed = parsed_once(fill_placeholders(raw, placeholders), type_map)
+    numbers = [c for c in type_map if c in raw.columns]
+    typable = F.col("_parsed.date").isNotNull()
+    for c in numbers:
+        typable = typable & F.col(f"_parsed.{c}.value").isNotNull()
+    for c in POSITIVE_MEASURES:
+        typable = typable & (_positive(c) if c in numbers else F.coalesce(F.col(c) > 0, F.lit(False)))
+    values = {"date": F.col("_parsed.date")} | {c: F.col(f"_parsed.{c}.value") for c in numbers}
+    return parsed.filter(typable).select(
+        *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields
           if f.name in SALES_COLUMNS])
 
 
@@ -150,19 +184,18 @@ def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLAC
     line that is no proper record is rejected as ``malformed record``, whatever fields could be read.
     Columns beyond the sales columns are carried through.
     """
-    filled = fill_placeholders(raw, placeholders)
+    filled = parsed_once(fill_placeholders(raw, placeholders), type_map)
     more = [c for c in raw.columns if c not in SALES_COLUMNS and c != CORRUPT]
     typed = {f.name: F.col(f.name) for f in SALES_SCHEMA.fields}
-    typed["date"] = parse_api_date(F.col("date"))
+    typed["date"] = F.col("_parsed.date")
     checks = [(F.col(CORRUPT).isNotNull(), "malformed record")] if CORRUPT in raw.columns else []
     checks += [(F.col(SALES_KEY).isNull(), f"missing {SALES_KEY}"),
                (F.col("date").isNull(), "missing date"), (typed["date"].isNull(), "unparseable date")]
-    for c, kind in type_map.items():
+    for c in type_map:
         if c not in raw.columns:
             continue
         text = F.col(c)
-        typed[c] = int_via_float(text, "int") if kind == "int" else \
-            F.when(is_number_text(text), text.try_cast(MONEY))
+        typed[c] = F.col(f"_parsed.{c}.value")
         checks += [(text.isNull(), f"missing {c}"), (typed[c].isNull(), f"bad {c}")]
     reason = None
     for cond, label in checks:
@@ -171,7 +204,7 @@ def typed_with_rejects(raw: DataFrame, placeholders: Mapping[str, object] = PLAC
     if CORRUPT in raw.columns:
         record = F.coalesce(F.col(CORRUPT), record)
     return filled.select(*[typed[f.name].cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields],
-                         money_positive(type_map).alias(POSITIVE),
+                         _money_parsed_positive(type_map).alias(POSITIVE),
                          reason.alias("reject_reason"),
                          F.when(reason.isNotNull(), record).alias("raw_record"), *more)
 

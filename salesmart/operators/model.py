@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.calendar import calendar, calendar_for
-from salesmart.operators.quality import check_fk
+from salesmart.operators.quality import check_fk, table_exists
 from salesmart.schema import CALENDAR_END, CALENDAR_START, FACT_COLUMNS
+from salesmart.sources.sinks import refresh_table, restore_table
 
 LATEST_ORDER = ("date", "invoice_line_no", "itemno")
 
@@ -23,15 +24,54 @@ def latest_per_key(df: DataFrame, key: str, order_cols: Sequence[str],
                    payload: Sequence[str]) -> DataFrame:
     """One row per key: the payload of the greatest row by ``order_cols`` (descending,
     nulls last), ties broken by the payload itself."""
+    return _latest_rows(latest_state(df, key, order_cols, payload), key, payload)
+
+
+def latest_state(df: DataFrame, key: str, order_cols: Sequence[str],
+                 payload: Sequence[str]) -> DataFrame:
+    """Per key the greatest (order, payload) struct, ``latest``. States of parts of a table merge
+    (``merge_latest``) to the state of the whole, since a maximum of maxima is the maximum."""
     rank = F.struct(*[F.col(c) for c in list(order_cols) + [p for p in payload if p not in order_cols]])
-    best = df.groupBy(key).agg(F.max(rank).alias("_r"))
-    return best.select(key, *[F.col(f"_r.{p}").alias(p) for p in payload])
+    return df.groupBy(key).agg(F.max(rank).alias("latest"))
+
+
+def merge_latest(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    return a.unionByName(b).groupBy(key).agg(F.max("latest").alias("latest"))
+
+
+def _latest_rows(state: DataFrame, key: str, payload: Sequence[str]) -> DataFrame:
+    return state.select(key, *[F.col(f"latest.{p}").alias(p) for p in payload])
+
+
+STORE_PAYLOAD = ("name", "address", "zipcode", "city", "county")
+ITEM_PAYLOAD = ("im_desc", "category", "category_name", "vendor_name")
+
+
+def update_dimensions(batch: DataFrame, base: str,
+                      order_cols: Sequence[str] = LATEST_ORDER) -> dict[str, DataFrame]:
+    """Stores and items brought up to date with newly loaded sales: only the batch and the stored
+    state (a row per key, under ``base``) are read, never the layer. Late and repeated batches give
+    the same dimensions as a rebuild from all sales, in whatever order they come."""
+    spark = batch.sparkSession
+    out = {}
+    for name, key, payload, rows in (("stores", "store", STORE_PAYLOAD, store_rows),
+                                     ("items", "itemno", ITEM_PAYLOAD, item_rows)):
+        path = f"{base.rstrip('/')}/{name}_state"
+        state = latest_state(batch, key, order_cols, payload)
+        restore_table(spark, path)
+        if table_exists(spark, path):
+            state = merge_latest(spark.read.schema(state.schema).parquet(path), state, key)
+        refresh_table(state, path)
+        out[name] = rows(_latest_rows(spark.read.schema(state.schema).parquet(path), key, payload))
+    return out
 
 
 def dim_stores(sales: DataFrame, order_cols: Sequence[str] = LATEST_ORDER) -> DataFrame:
     """Stores: latest name and address per store (SCD type 1)."""
-    latest = latest_per_key(sales, "store", order_cols,
-                            ["name", "address", "zipcode", "city", "county"])
+    return store_rows(latest_per_key(sales, "store", order_cols, STORE_PAYLOAD))
+
+
+def store_rows(latest: DataFrame) -> DataFrame:
     return latest.select(F.col("store").alias("store_id"), F.col("name").alias("store_name"),
                          "address", F.col("zipcode").cast("string").alias("zipcode"),
                          "city", "county")
@@ -39,8 +79,10 @@ def dim_stores(sales: DataFrame, order_cols: Sequence[str] = LATEST_ORDER) -> Da
 
 def dim_items(sales: DataFrame, order_cols: Sequence[str] = LATEST_ORDER) -> DataFrame:
     """Items: latest description, category and vendor per item."""
-    latest = latest_per_key(sales, "itemno", order_cols,
-                            ["im_desc", "category", "category_name", "vendor_name"])
+    return item_rows(latest_per_key(sales, "itemno", order_cols, ITEM_PAYLOAD))
+
+
+def item_rows(latest: DataFrame) -> DataFrame:
     return latest.select(F.col("itemno").alias("item_id"), F.col("im_desc").alias("item_name"),
                          F.col("category").alias("category_code"),
                          F.col("category_name").alias("category"),
@@ -122,5 +164,5 @@ def model_counts(model: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-__all__ = ["latest_per_key", "dim_stores", "dim_items", "distinct_items", "fact_transactions",
+__all__ = ["latest_per_key", "latest_state", "merge_latest", "update_dimensions", "dim_stores", "dim_items", "distinct_items", "fact_transactions",
            "write_fact", "build_model", "model_counts", "FACT_COLUMNS"]

@@ -29,6 +29,18 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def rename_table(spark: SparkSession, path: str, to: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    if not fs.rename(p, _hadoop_path(spark, to)[0]):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def delete_table(spark: SparkSession, path: str) -> bool:
+    """Delete a table folder if it is there."""
+    p, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
 def create_empty_table(spark: SparkSession, path: str, schema: T.StructType,
                        fmt: str = "parquet") -> None:
     """Create an empty table with ``schema`` at ``path`` unless it exists."""
@@ -62,9 +74,7 @@ def reset_model(spark: SparkSession, paths: Sequence[str]) -> list[str]:
             spark.sql(f"DROP TABLE IF EXISTS {path}")
             dropped.append(path)
             continue
-        p, fs = _hadoop_path(spark, path)
-        if fs.exists(p):
-            fs.delete(p, True)
+        if delete_table(spark, path):
             dropped.append(path)
     return dropped
 

@@ -34,7 +34,7 @@ from salesmart.schema import (DIMENSION_COLUMNS, DIRECTIONS, MEASURE_COLUMNS, RE
                               REFERENCE_RUN_SECONDS, SALES_COLUMNS, STORE_FORMAT_DEFAULT,
                               STORE_FORMAT_EXACT, STORE_FORMATS, STORE_NAME_REWRITES)
 from salesmart.session import scratch_path
-from salesmart.sources.layers import read_layer
+from salesmart.sources.layers import append_to_layer, layer_windows, read_layer
 from salesmart.sources import raw as src
 from salesmart.sources import sinks
 from salesmart.sources import slices as sl
@@ -414,6 +414,16 @@ def q_high_water_mark(spark, sf):
     return wn.high_water_mark(stored(spark, sf))
 
 
+def q_extract_due_months(spark, sf):
+    """Rows of a stored layer in the months after the mark, which stay a table (no list on the driver)."""
+    path = scratch_path(spark, "layer")
+    append_to_layer(clean(spark, sf), path)
+    marks = scratch_path(spark, "marks")
+    _marks(spark, sf, True).write.parquet(marks)
+    windows = wn.month_windows(spark.read.parquet(marks), F.col("run_date"))
+    return layer_windows(read_layer(spark, path), windows).drop("sale_month")
+
+
 def q_windows_resume(spark, sf):
     return wn.month_windows(_marks(spark, sf, True), F.col("run_date"))
 
@@ -533,6 +543,23 @@ def q_dim_items(spark, sf):
     return md.dim_items(clean(spark, sf))
 
 
+def _merged(spark, sf, name):
+    """A dimension brought up to date by three batches: the stored rows, a late one, an overlapping reload."""
+    base = scratch_path(spark, "dimensions")
+    sales = clean(spark, sf)
+    for batch in (stored(spark, sf), sales.filter(F.col("date") >= F.lit(_d(STORED_BEFORE))), sales):
+        dims = md.update_dimensions(batch, base)
+    return dims[name]
+
+
+def q_dim_stores_merged(spark, sf):
+    return _merged(spark, sf, "stores")
+
+
+def q_dim_items_merged(spark, sf):
+    return _merged(spark, sf, "items")
+
+
 def q_distinct_items(spark, sf):
     return md.distinct_items(clean(spark, sf))
 

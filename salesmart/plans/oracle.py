@@ -520,6 +520,8 @@ def build() -> dict[str, str]:
     win_select = ("SELECT CAST(year(window_start) AS INTEGER) AS year, CAST(month(window_start) AS INTEGER) AS month, "
                   "window_start, CAST(window_start + INTERVAL 1 MONTH AS DATE) AS window_end FROM months")
     s["windows_resume"] = with_("clean", extra=marks_resume + ", " + win) + win_select
+    s["extract_due_months"] = with_("clean", extra=marks_resume + ", " + win) + (
+        "SELECT c.* FROM clean c WHERE date_trunc('month', c.date) IN (SELECT window_start FROM months)")
     s["windows_initial"] = with_("clean", extra=marks_initial + ", " + win) + win_select
     s["incremental_load"] = with_("stored", extra=(
         "b AS (SELECT CAST(date_trunc('month', (SELECT MAX(date) FROM stored)) + INTERVAL 1 MONTH AS DATE) AS lo, "
@@ -543,6 +545,7 @@ def build() -> dict[str, str]:
     # model
     s["dim_stores"] = with_("clean") + dim_stores()
     s["dim_items"] = with_("clean") + items
+    s["dim_stores_merged"], s["dim_items_merged"] = s["dim_stores"], s["dim_items"]
     s["distinct_items"] = with_("clean") + (
         "SELECT DISTINCT itemno AS item_id, im_desc AS item_name, category AS category_code, "
         "category_name AS category, vendor_name AS vendor FROM clean ORDER BY 1, 2, 3, 4, 5")

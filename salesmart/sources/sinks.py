@@ -6,19 +6,61 @@ only re-runs its tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: Suffixes of a table that is being written and of the one it replaces.
+NEW, OLD = ".new", ".old"
+
 
 def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                   fmt: str = "parquet") -> None:
-    """Full refresh of a derived table (drop, create, insert ... select)."""
-    writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    """Full refresh of a derived table: written aside, checked, then swapped in (``refresh_tables``),
+    so ``df`` may read the table itself."""
+    refresh_tables(df.sparkSession, {path: lambda to: write_checked(df, to, partition_by, fmt)})
+
+
+def refresh_tables(spark: SparkSession, writers: Mapping[str, Callable[[str], None]]) -> None:
+    """Refresh the tables of some paths together. Each writer is given the path to write to, beside
+    the table; no table is touched before all of them ended. If one fails, every old table stays. A
+    swap that was interrupted between its two renames is mended by the next refresh or by
+    ``restore_table``: the old table is then still there under its own name with ``OLD``."""
+    from salesmart.operators.quality import delete_table, rename_table, table_exists
+    paths = [p.rstrip("/") for p in writers]
+    for path, write in zip(paths, writers.values()):
+        restore_table(spark, path)
+        delete_table(spark, path + NEW)
+        write(path + NEW)
+    for path in paths:
+        if table_exists(spark, path):
+            delete_table(spark, path + OLD)
+            rename_table(spark, path, path + OLD)
+        rename_table(spark, path + NEW, path)
+    for path in paths:
+        delete_table(spark, path + OLD)
+
+
+def restore_table(spark: SparkSession, path: str) -> bool:
+    """Put back the old table where a swap took it away and did not end."""
+    from salesmart.operators.quality import rename_table, table_exists
+    path = path.rstrip("/")
+    if table_exists(spark, path) or not table_exists(spark, path + OLD):
+        return False
+    rename_table(spark, path + OLD, path)
+    return True
+
+
+def write_checked(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+                  fmt: str = "parquet") -> None:
+    """Write a new table; an error unless it reads back with as many rows as the tasks wrote."""
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").format(fmt)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    found = df.sparkSession.read.schema(df.schema).format(fmt).load(path).count()
+    if found != (seen.get.get("n") or 0):
+        raise RuntimeError(f"{path}: {seen.get.get('n')} rows written, {found} read back")
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,

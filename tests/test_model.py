@@ -148,3 +148,51 @@ def test_update_from_with_a_hot_key(spark):
     got = {r.item_id: r.label for r in update_from(df, updates, "category_code", ["label"]).collect()}
     assert len(got) == 3000
     assert got[0] == got[3] == "hot" and got[4] == "four" and got[5] == "old5"
+
+
+def test_merged_dimensions_equal_a_rebuild(spark, tmp_dir):
+    from salesmart.operators.model import update_dimensions
+    day = dt.date
+    batches = [[sales_row("I1", day(2024, 1, 5), name="A"), sales_row("I2", day(2024, 1, 5), name="B")],
+               [sales_row("I0", day(2023, 1, 1), name="LATE ARRIVAL")],           # older than what is stored
+               [sales_row("I3", day(2024, 2, 1), name="C")],
+               [sales_row("I3", day(2024, 2, 1), name="C")]]           # repeated
+    seen = []
+    for batch in batches:
+        seen += batch
+        dims = update_dimensions(frame(spark, batch), tmp_dir)
+        whole = frame(spark, seen)
+        assert sorted(dims["stores"].collect()) == sorted(dim_stores(whole).collect())
+        assert sorted(dims["items"].collect()) == sorted(dim_items(whole).collect())
+    empty = update_dimensions(frame(spark, batches[0]).limit(0), tmp_dir)
+    assert sorted(empty["stores"].collect()) == sorted(dim_stores(frame(spark, seen)).collect())
+
+
+def test_refresh_that_fails_leaves_the_old_tables(spark, tmp_dir):
+    import pytest
+    from functools import partial
+    from salesmart.sources.sinks import refresh_table, refresh_tables, write_checked
+    a, b = f"{tmp_dir}/a", f"{tmp_dir}/b"
+    refresh_table(spark.range(3), a)
+    refresh_table(spark.range(4), b)
+    bad = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        refresh_tables(spark, {a: partial(write_checked, spark.range(9)), b: partial(write_checked, bad)})
+    assert (spark.read.parquet(a).count(), spark.read.parquet(b).count()) == (3, 4)
+    # a table may be refreshed from itself, and to nothing
+    refresh_table(spark.read.parquet(a).union(spark.range(10, 12)), a)
+    assert spark.read.parquet(a).count() == 5
+    refresh_table(spark.range(0), b)
+    assert spark.read.parquet(b).count() == 0
+
+
+def test_interrupted_swap_is_mended(spark, tmp_dir):
+    from salesmart.operators.quality import rename_table, table_exists
+    from salesmart.sources.sinks import OLD, refresh_table, restore_table
+    path = f"{tmp_dir}/t"
+    refresh_table(spark.range(3), path)
+    rename_table(spark, path, path + OLD)            # a run that ended between the two renames
+    assert restore_table(spark, path) and not restore_table(spark, path)
+    rename_table(spark, path, path + OLD)
+    refresh_table(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7 and not table_exists(spark, path + OLD)

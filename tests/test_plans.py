@@ -63,3 +63,28 @@ def test_skipped_report_joins_on_whole_rows(spark):
     keys = [line for line in p.splitlines() if line.startswith("Left keys")]
     # the distinct rows meet the winners on every column (null-safe), not on the key alone
     assert any("sale_bottles" in line and "im_desc" in line for line in keys), keys
+
+
+def test_window_table_prunes_month_folders(spark, tmp_dir):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from salesmart.operators.clean import clean_sales
+    from salesmart.operators.windows import month_windows
+    from salesmart.sources.layers import append_to_layer, layer_windows, read_layer
+    append_to_layer(clean_sales(demo.raw_sales_view(spark, SF_SMALL)), f"{tmp_dir}/layer")
+    marks = spark.range(1).select(F.lit(dt.date(1998, 3, 9)).alias("high_water_mark"))
+    marks.write.parquet(f"{tmp_dir}/marks")
+    windows = month_windows(spark.read.parquet(f"{tmp_dir}/marks"), F.lit(dt.date(1998, 7, 2)))
+    layer = read_layer(spark, f"{tmp_dir}/layer")
+    due = layer_windows(layer, windows.union(windows))
+    assert "dynamicpruning" in plan(due)
+    expected = layer.filter("date >= '1998-04-01' and date < '1998-07-01'")
+    assert due.count() == expected.count() > 0 and due.exceptAll(expected.select(due.columns)).isEmpty()
+
+
+def test_each_raw_number_is_tested_once(spark):
+    from salesmart.operators.clean import clean_sales, typed_with_rejects
+    from salesmart.schema import NUMERIC_TYPES
+    raw = demo.raw_sales_view(spark, SF_SMALL)
+    for df in (clean_sales(raw), typed_with_rejects(raw).filter("reject_reason is null and positive_money")):
+        assert plan(df).count("RLIKE") == len(NUMERIC_TYPES)
