@@ -51,6 +51,46 @@ TEMPLATES = (
             "is hereby granted", ("for any purpose with or without fee",)),
     ("unlicense", "this is free and unencumbered software released into the public domain",
      ("unencumbered software",)),
+    # names of licenses as they stand in headers and lists, with "v" and "version"
+    ("gpl-2", "gnu general public license version 2", ("gnu general public license version 2",)),
+    ("gpl-2", "gnu general public license v2", ("gnu general public license v2",)),
+    ("gpl-3", "gnu general public license v3", ("gnu general public license v3",)),
+    ("gpl-3", "licensed under the gnu general public license either version 3 of the license",
+     ("gnu general public license either version 3",)),
+    ("gpl-2", "under the terms of the gnu general public license as published by the free software foundation "
+              "either version 2 of the license or at your option any later version",
+     ("gnu general public license as published by the free software foundation "
+      "either version 2 of the license",)),
+    ("gpl-3", "under the terms of the gnu general public license as published by the free software foundation "
+              "either version 3 of the license or at your option any later version",
+     ("gnu general public license as published by the free software foundation "
+      "either version 3 of the license",)),
+    ("agpl-3", "gnu affero general public license version 3", ("gnu affero general public license",)),
+    ("lgpl-2.1", "gnu lesser general public license version 2 1", ("gnu lesser general public license version 2 1",)),
+    ("lgpl-3", "gnu lesser general public license version 3", ("gnu lesser general public license version 3",)),
+    ("bsd-2-clause", "bsd 2 clause license", ("bsd 2 clause",)),
+    ("bsd-3-clause", "bsd 3 clause license", ("bsd 3 clause",)),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to "
+                     "endorse or promote products derived from this software without specific prior written "
+                     "permission", ("neither the name of", "endorse or promote products derived from this software")),
+    ("mpl-2", "mozilla public license version 2 0", ("mozilla public license version 2 0",)),
+    ("epl-2", "eclipse public license version 2 0", ("eclipse public license",)),
+    ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in "
+                 "compliance with the license", ("you may not use this file except in compliance with the license",)),
+    ("cc-by", "creative commons attribution 4 0", ("creative commons attribution 4 0",)),
+    ("cc-by-sa", "creative commons attribution sharealike 4 0", ("attribution sharealike",)),
+    ("cc-by-nc", "creative commons attribution noncommercial 4 0", ("attribution noncommercial",)),
+    ("cc-by-nd", "creative commons attribution noderivatives 4 0", ("attribution noderivatives",)),
+    ("cc0", "cc0 1 0 universal", ("cc0 1 0 universal",)),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the "
+             "authors be held liable for any damages arising from the use of this software",
+     ("in no event will the authors be held liable",)),
+    # machine-readable lines
+    *((label, f"spdx license identifier {name}", (f"spdx license identifier {name}",)) for label, name in (
+        ("mit", "mit"), ("apache-2", "apache 2 0"), ("bsd-2-clause", "bsd 2 clause"), ("bsd-3-clause", "bsd 3 clause"),
+        ("gpl-2", "gpl 2 0"), ("gpl-3", "gpl 3 0"), ("lgpl-2.1", "lgpl 2 1"), ("lgpl-3", "lgpl 3 0"),
+        ("agpl-3", "agpl 3 0"), ("mpl-2", "mpl 2 0"), ("epl-2", "epl 2 0"), ("isc", "isc"), ("unlicense", "unlicense"),
+        ("cc0", "cc0 1 0"), ("zlib", "zlib"))),
 )
 #: Highest-IDF words of a key phrase that are looked up, and the least score of a label.
 ANCHORS, MIN_SCORE = 2, 0.6

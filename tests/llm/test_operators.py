@@ -367,6 +367,31 @@ def test_licenses_of_many_notices(spark):
     assert all(("gpl-3" in labels) == (i % 3 == 0) for i, labels in got.items() if i > 1)
 
 
+NOTICES = {
+    "gpl-2": "GNU General Public License version 2",
+    "gpl-3": "It is licensed under the GNU General Public License, either version 3 of the License, or later.",
+    "bsd-3-clause": "Code: BSD 3-Clause License.",
+    "mpl-2": "Mozilla Public License Version 2.0",
+    "lgpl-2.1": "the GNU Lesser General Public License version 2.1 applies",
+    "cc-by-sa": "Creative Commons Attribution-ShareAlike 4.0",
+    "apache-2": "# SPDX-License-Identifier: Apache-2.0",
+    "agpl-3": "// SPDX-License-Identifier: AGPL-3.0-only",
+}
+
+
+def test_licenses_of_headers_and_every_template(spark):
+    """Usual headers get their label; every template, laid into text by hand, gets its own and is placed by the index."""
+    rows = [(i, f"some text before. {t}\nand after") for i, t in enumerate(NOTICES.values())]
+    rows += [(100 + i, f"words before {words} words after") for i, (_, words, _) in enumerate(license_scan.TEMPLATES)]
+    # a key phrase with one word missing is no notice
+    rows += [(200, "GNU General Public version 2"), (201, "Mozilla Public License"), (202, "SPDX-License: MIT"), (203, None)]
+    got = {r.doc_id: set(r.labels.split(",")) for r in license_scan.scan(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(NOTICES))] == [{label} for label in NOTICES]
+    assert all(label in got[100 + i] for i, (label, _, _) in enumerate(license_scan.TEMPLATES))
+    assert all(got[i] == {""} for i in range(200, 204))
+
+
 def test_leaks(spark, docs, no_docs):
     item = "What is the capital of the smallest country that the long river of the north crosses before it meets the sea?"
     edited = item.replace("smallest", "smalest").replace("north", "North").replace(" it ", " It, ")
