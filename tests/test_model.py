@@ -153,10 +153,12 @@ def test_update_from_with_a_hot_key(spark):
 def test_merged_dimensions_equal_a_rebuild(spark, tmp_dir):
     from salesmart.operators.model import update_dimensions
     day = dt.date
+    other = sales_row("I3", day(2024, 2, 1), name="C")
+    other = other[:12] + (77,) + other[13:]                                       # another item
     batches = [[sales_row("I1", day(2024, 1, 5), name="A"), sales_row("I2", day(2024, 1, 5), name="B")],
                [sales_row("I0", day(2023, 1, 1), name="LATE ARRIVAL")],           # older than what is stored
-               [sales_row("I3", day(2024, 2, 1), name="C")],
-               [sales_row("I3", day(2024, 2, 1), name="C")]]           # repeated
+               [other],
+               [other]]                                                           # repeated
     seen = []
     for batch in batches:
         seen += batch
