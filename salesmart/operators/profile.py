@@ -16,15 +16,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.numeric import div_round, percent, text_to_long, to_double
+from salesmart.operators.digests import row_digest
 from salesmart.session import scratch_path
 from salesmart.schema import DIMENSION_COLUMNS, MEASURE_COLUMNS, NUMERIC_TYPES
 
 
+#: Rows of more columns than this are compared by digest.
+WIDE_COLUMNS = 4
+
+
 # --- P1 / P2 / P3: duplicates -------------------------------------------------------------
 
 def duplicate_stats(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier full row (null equals null): count and percent."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows that repeat an earlier full row (null equals null): count and percent. Wide rows are
+    grouped by their digest, so that the shuffle holds two numbers a row."""
+    keys = row_digest(df) if len(df.columns) > WIDE_COLUMNS else [F.col(f"`{c}`") for c in df.columns]
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     totals = groups.agg(F.sum("_n").alias("n_rows"), F.sum(F.col("_n") - 1).alias("dup_rows"))
     return totals.select(F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
                          F.coalesce("dup_rows", F.lit(0)).cast("long").alias("dup_rows"),
