@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from salesmart.functions.numeric import div_round, percent, text_to_long, to_double
 from salesmart.operators.digests import row_digest
+from salesmart.operators.staged import distinct_rows
 from salesmart.session import scratch_path
 from salesmart.schema import DIMENSION_COLUMNS, MEASURE_COLUMNS, NUMERIC_TYPES
 
@@ -38,9 +39,10 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
                          percent(F.col("dup_rows"), F.col("n_rows")).alias("pct_dup"))
 
 
-def drop_full_duplicates(df: DataFrame) -> DataFrame:
-    """One row per distinct full row (copies collapse map-side before the shuffle)."""
-    return df.distinct()
+def drop_full_duplicates(df: DataFrame, scratch: str | None = None) -> DataFrame:
+    """One row per distinct full row (copies collapse map-side before the shuffle). With ``scratch``, a
+    folder in shared storage, the rows are written there once and only their digests are shuffled."""
+    return distinct_rows(df, scratch) if scratch else df.distinct()
 
 
 def key_collision_count(df: DataFrame, key: str) -> DataFrame:

@@ -6,12 +6,18 @@ import glob
 from pyspark.sql import functions as F
 
 from salesmart import demo
-from salesmart.operators.profile import duplicate_stats
+from salesmart.operators.load import (first_per_key, first_per_key_staged, mark_batch, skipped_marked,
+                                      skipped_rows)
+from salesmart.operators.profile import drop_full_duplicates, duplicate_stats
+from salesmart.operators.quality import create_layers
+from salesmart.operators.staged import stage
 from salesmart.plans import catalog
-from salesmart.schema import SALES_COLUMNS
+from salesmart.schema import SALES_COLUMNS, SALES_SCHEMA
 from salesmart.sources import sinks
+from salesmart.sources.ledger import Ledger
 from salesmart.sources.raw import read_raw_sales
 from tests.conftest import SF_SMALL
+from tests.test_load import frame, sales_row
 from tests.test_plans import plan
 
 
@@ -71,3 +77,48 @@ def test_dimensions_and_due_months_clean_once(spark, monkeypatch):
     assert len(seen) == 1
     catalog.q_extract_due_months(spark, SF_SMALL)
     assert len(seen) == 2
+
+
+def _tied_batch(spark):
+    """Keys once, twice on several days, on one day with different rows, as copies, and without a key."""
+    rows = [sales_row(f"K{i % 40}", dt.date(2024, 1, 1 + i % 3), bottles=9 - i % 5) for i in range(300)]
+    rows += [sales_row("HOT", dt.date(2024, 2, 1), name=f"N{i % 2}") for i in range(50)]
+    rows += [sales_row("ONE", dt.date(2024, 2, 2)), sales_row(None, dt.date(2024, 2, 2)), sales_row(None, dt.date(2024, 2, 2))]
+    rows += [sales_row("UNDATED", None, name="B"), sales_row("UNDATED", None, name="A"), sales_row("UNDATED", dt.date(2024, 1, 1))]
+    return frame(spark, rows).repartition(5)
+
+
+def test_staged_rows_are_the_first_of_their_keys(spark, tmp_dir):
+    batch = _tied_batch(spark)
+    got, expected = first_per_key_staged(batch, f"{tmp_dir}/s"), first_per_key(batch)
+    assert got.count() == expected.count() == 43
+    assert got.exceptAll(expected).isEmpty()
+    assert "hashpartitioning" not in plan(got)              # rows are marked by broadcast, not shuffled
+    by_store = first_per_key_staged(batch, f"{tmp_dir}/t", "store", ["sale_bottles"])
+    assert by_store.collect() == first_per_key(batch, "store", ["sale_bottles"]).collect()
+    empty = first_per_key_staged(spark.createDataFrame([], SALES_SCHEMA), f"{tmp_dir}/e")
+    assert empty.count() == 0
+
+
+def test_marked_batch_gives_the_skipped_report_without_shuffling_it(spark, tmp_dir):
+    layers = create_layers(spark, tmp_dir)
+    ledger = Ledger(spark, tmp_dir, layers)
+    batch = _tied_batch(spark)
+    held = batch.filter("invoice_line_no in ('HOT', 'K1', 'K7')").select("invoice_line_no").distinct()
+    ledger._write_keys(held.select("invoice_line_no", F.lit("staging").alias("layer")), overwrite=False)
+    marked = mark_batch(stage(batch, f"{tmp_dir}/rows"), ledger, f"{tmp_dir}/scratch")
+    assert "hashpartitioning" not in plan(marked)
+    assert marked.filter("_winner").count() == 43 and marked.filter("_winner and in_staging").count() == 3
+    assert not marked.filter("in_integration").count()
+    for layer, target in (("staging", held), ("integration", held.limit(0))):
+        got = skipped_marked(marked, layer, SALES_COLUMNS)
+        expected = skipped_rows(batch, target)
+        assert got.count() == expected.count() and got.exceptAll(expected).isEmpty()
+
+
+def test_distinct_rows_shuffle_digests_only(spark, tmp_dir):
+    batch = _tied_batch(spark)
+    got = drop_full_duplicates(batch, f"{tmp_dir}/d")
+    assert got.columns == batch.columns and got.count() == batch.distinct().count() < batch.count()
+    assert got.exceptAll(batch.distinct()).isEmpty()
+    assert "hashpartitioning" not in plan(got)
