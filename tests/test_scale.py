@@ -12,6 +12,7 @@ from salesmart.operators.profile import drop_full_duplicates, duplicate_stats
 from salesmart.operators.quality import create_layers
 from salesmart.operators.staged import stage
 from salesmart.plans import catalog
+from salesmart.plans.workflow import new_rejects
 from salesmart.schema import SALES_COLUMNS, SALES_SCHEMA
 from salesmart.sources import sinks
 from salesmart.sources.ledger import Ledger
@@ -122,3 +123,26 @@ def test_distinct_rows_shuffle_digests_only(spark, tmp_dir):
     assert got.columns == batch.columns and got.count() == batch.distinct().count() < batch.count()
     assert got.exceptAll(batch.distinct()).isEmpty()
     assert "hashpartitioning" not in plan(got)
+
+
+def test_rejects_shuffle_no_texts(spark, tmp_dir):
+    records = [(f"K{i % 30}", "a.json", "rejected", "missing date", f"text {i % 30}") for i in range(40)]
+    records += [("K1", "b.json", "rejected", "missing date", "text 1"), (None, "b.json", "rejected", "malformed record", "["),
+                ("K2", "b.json", "loadable", None, None)]
+    staged = stage(spark.createDataFrame(records, "invoice_line_no string, source_file string, outcome string, "
+                                                  "reject_reason string, raw_record string").repartition(3), f"{tmp_dir}/rows")
+    columns = ["invoice_line_no", "source_file", "reject_reason", "raw_record"]
+    kept = staged.filter("raw_record = 'text 0' or raw_record = 'text 20'").select(*columns)
+    got = new_rejects(staged, kept, f"{tmp_dir}/scratch")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(got.filter("copies = 1"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # what is shuffled by its text is what has copies, to meet their number
+    assert p.count("Exchange hashpartitioning") <= 2 and "hashpartitioning(_h1" not in p, p
+    assert sorted((r.source_file, r.raw_record, r.copies) for r in got.collect()) == sorted(
+        [("a.json", f"text {i}", 2 if i < 10 else 1) for i in range(30) if i not in (0, 20)]
+        + [("b.json", "text 1", 1), ("b.json", "[", 1)])
+    assert new_rejects(staged, None, f"{tmp_dir}/again").count() == 32
