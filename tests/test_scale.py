@@ -146,3 +146,19 @@ def test_rejects_shuffle_no_texts(spark, tmp_dir):
         [("a.json", f"text {i}", 2 if i < 10 else 1) for i in range(30) if i not in (0, 20)]
         + [("b.json", "text 1", 1), ("b.json", "[", 1)])
     assert new_rejects(staged, None, f"{tmp_dir}/again").count() == 32
+
+
+def test_skipped_report_shuffles_only_rows_with_copies(spark, tmp_dir):
+    ledger = Ledger(spark, tmp_dir, create_layers(spark, tmp_dir))
+    batch = _tied_batch(spark)
+    marked = mark_batch(stage(batch, f"{tmp_dir}/rows"), ledger, f"{tmp_dir}/scratch")
+    got = skipped_marked(marked, "staging", SALES_COLUMNS, scratch=f"{tmp_dir}/skipped")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = [b for b in plan(got).split("\n\n") if "hashpartitioning" in b]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert moved and all("hashpartitioning(_row" in b for b in moved), moved
+    assert {r.copies for r in got.collect()} > {1}
+    assert got.exceptAll(skipped_rows(batch, batch.limit(0))).isEmpty()
