@@ -6,15 +6,17 @@ import glob
 from pyspark.sql import functions as F
 
 from salesmart import demo
-from salesmart.operators.load import (first_per_key, first_per_key_staged, mark_batch, skipped_marked,
+from salesmart.operators.load import (first_per_key, first_per_key_staged, load_layers, mark_batch, skipped_marked,
                                       skipped_rows)
 from salesmart.operators.profile import drop_full_duplicates, duplicate_stats
+from salesmart.operators import load, quality
 from salesmart.operators.quality import create_layers
 from salesmart.operators.staged import stage
 from salesmart.plans import catalog
 from salesmart.plans.workflow import new_rejects
 from salesmart.schema import SALES_COLUMNS, SALES_SCHEMA
 from salesmart.sources import sinks
+from salesmart.sources.layers import read_layer
 from salesmart.sources.ledger import Ledger
 from salesmart.sources.raw import read_raw_sales
 from tests.conftest import SF_SMALL
@@ -162,3 +164,43 @@ def test_skipped_report_shuffles_only_rows_with_copies(spark, tmp_dir):
     assert moved and all("hashpartitioning(_row" in b for b in moved), moved
     assert {r.copies for r in got.collect()} > {1}
     assert got.exceptAll(skipped_rows(batch, batch.limit(0))).isEmpty()
+
+
+def test_large_loads_write_layers_without_a_shuffle_by_month(spark, tmp_dir, monkeypatch):
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = {}
+    for way, least in (("direct", 1), ("shuffled", 10**9)):
+        monkeypatch.setattr(load, "FILE_ROWS", least)
+        base = f"{tmp_dir}/{way}"
+        layers = create_layers(spark, base)
+        held = _tied_batch(spark).filter("invoice_line_no in ('HOT', 'K1')")
+        load_layers(held, {"staging": layers["staging"]}, scratch=f"{base}/s0")
+        Ledger(spark, base, layers).recover()
+        counts = load_layers(_tied_batch(spark), layers, scratch=f"{base}/s1")
+        got[way] = {r.layer: tuple(r) for r in counts.collect()}
+        assert quality.table_exists(spark, f"{base}/s1/inserts") == (way == "shuffled")
+        for layer, path in layers.items():
+            assert read_layer(spark, path).select(*SALES_COLUMNS).exceptAll(first_per_key(_tied_batch(spark))).isEmpty()
+        again = load_layers(_tied_batch(spark), layers, scratch=f"{base}/s2").collect()
+        assert all(r.rows_before == r.rows_after == 43 for r in again)
+    assert got["direct"] == got["shuffled"] == {"staging": ("staging", 2, 43), "integration": ("integration", 0, 43)}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+
+
+def test_layer_figures_and_keys_move_once(spark, tmp_dir):
+    ledger = Ledger(spark, tmp_dir, create_layers(spark, tmp_dir))
+    moved = []
+    ledger._insert_keys = lambda rows, overwrite: moved.append(rows)
+    ledger.add_keys(spark.createDataFrame([("A", False, False), ("B", True, False), ("C", True, True)],
+                                          "invoice_line_no string, in_staging boolean, in_integration boolean"))
+    p = plan(moved[0])
+    assert p.index("Generate") < p.index("Exchange"), p        # one row a key is shuffled, not one a layer
+    assert sorted(map(tuple, moved[0].collect())) == [("A", "integration"), ("A", "staging"), ("B", "integration")]
+
+
+def test_landing_load_reads_its_source_for_the_landing_only(spark, monkeypatch):
+    reads, real = [], catalog.sales
+    monkeypatch.setattr(catalog, "sales", lambda s, sf: reads.append(sf) or real(s, sf))
+    monkeypatch.setattr(catalog.wf, "run_incremental", lambda *a, months, **k: spark.createDataFrame([(str(months),)], "m string"))
+    catalog._landing_load(spark, SF_SMALL)
+    assert len(reads) == 2                                      # the records and the broken lines
