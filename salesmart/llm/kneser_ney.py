@@ -5,7 +5,8 @@ every language and keep the number of different n-grams far below that of the te
 trusted texts are counted: tasks count the n-grams of their rows, the counts are summed by n-gram,
 and the lower orders' counts (in how many contexts a shorter n-gram ends) come from the distinct
 longer ones. Discounts, back-off weights and probabilities follow order by order from joins of
-those tables on the n-gram's context and on its suffix.
+those tables on the n-gram's context and on its suffix. Several models are fitted and cut into shards in the
+same steps, their rows told apart by a column: the driver holds plans and threads for each step, not for each model.
 
 Scoring joins counts, not texts, with the finished table. Rows are gathered into blocks of about ``BLOCK_BYTES``
 of text, written once (compressed, with all their columns); a block asks for each of its different n-grams
@@ -46,8 +47,7 @@ with two underscores are taken by the columns that ``judge`` adds).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -129,13 +129,22 @@ def _counts(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
 
 
-def _discounts(table: DataFrame) -> list[float]:
-    """D1, D2, D3+ from the numbers of n-grams with counts 1 to 4."""
-    ones = table.agg(*(F.sum((F.col("n") == k).cast("long")) for k in (1, 2, 3, 4))).first()
-    n = [float(x or 0) for x in ones]
-    y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
-    return [min(k, max(0.05, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] else 0.5 * k
-            for k in (1, 2, 3)]
+def _discounts(tables: dict[int, DataFrame], by: list[str]) -> dict[int, list[Column]]:
+    """By order, each model's D1, D2, D3+ from the numbers of n-grams with counts 1 to 4."""
+    union = None
+    for k, table in tables.items():
+        ones = table.groupBy(F.lit(k).alias("k"), *by).agg(*(F.sum((F.col("n") == i).cast("long")) for i in (1, 2, 3, 4)))
+        union = ones if union is None else union.union(ones)
+    found = {k: [F.lit(None).cast("double")] * 3 for k in tables}
+    for k, *model, n1, n2, n3, n4 in union.collect():                 # a row for each order and model
+        n = [float(x) for x in (n1, n2, n3, n4)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
+        mine = F.lit(True)
+        for column, value in zip(by, model):
+            mine &= F.col(column) == value
+        found[k] = [F.when(mine, min(i, max(0.05, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 * i).otherwise(d)
+                    for i, d in zip((1, 2, 3), found[k])]
+    return found
 
 
 def _mask(order: int) -> Column:
@@ -147,39 +156,42 @@ def train(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return fit(stored(ngrams(texts, order), "kn-counts"), order)
 
 
-def fit(counts: DataFrame, order: int = ORDER) -> DataFrame:
+def fit(counts: DataFrame, order: int = ORDER, by: str | None = None) -> DataFrame:
     """The model of stored n-gram counts: k (order), code, log_p (of an n-gram of k bytes; null where it only serves as a
-    context) and log_backoff (from k + 1 bytes, in the context ``code`` of k bytes)."""
+    context) and log_backoff (from k + 1 bytes, in the context ``code`` of k bytes). With ``by``, a model of each of that
+    column's few values, which the rows begin with."""
+    by = [by] if by else []
     tables = {order: counts}
     for k in range(order - 1, 0, -1):
-        tables[k] = stored(tables[k + 1].groupBy(F.col("code").bitwiseAND(_mask(k)).alias("code"))
+        tables[k] = stored(tables[k + 1].groupBy(*by, F.col("code").bitwiseAND(_mask(k)).alias("code"))
                            .agg(F.count("*").alias("n")), "kn-counts")
+    discounts = _discounts(tables, by)
     probability = None
     parts = []
     for k in range(1, order + 1):
-        d = _discounts(tables[k])
+        d = discounts[k]
         cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         context = F.shiftright("code", 8)
-        sums = stored(tables[k].groupBy(context.alias("context")).agg(
+        sums = stored(tables[k].groupBy(*by, context.alias("context")).agg(
             F.sum("n").alias("total"), F.sum(cut).alias("freed")), "kn-contexts")
-        rows = tables[k].withColumn("context", context).join(sums, "context")
+        rows = tables[k].withColumn("context", context).join(sums, [*by, "context"])
         rows = rows.withColumn("suffix", F.col("code").bitwiseAND(_mask(k - 1)) if k > 1 else F.lit(0).cast("long"))
         if k > 1:
-            rows = rows.join(probability.select(F.col("code").alias("suffix"), F.col("p").alias("lower")), "suffix")
+            rows = rows.join(probability.select(*by, F.col("code").alias("suffix"), F.col("p").alias("lower")), [*by, "suffix"])
         else:
             rows = rows.withColumn("lower", F.lit(1 / 256))
         p = (F.greatest(F.col("n") - cut, F.lit(0.0)) + F.col("freed") * F.col("lower")) / F.col("total")
-        probability = stored(rows.select("code", p.alias("p")), "kn-probabilities")
-        parts.append(probability.select(F.lit(k).alias("k"), "code", F.log("p").alias("log_p"),
+        probability = stored(rows.select(*by, "code", p.alias("p")), "kn-probabilities")
+        parts.append(probability.select(*by, F.lit(k).alias("k"), "code", F.log("p").alias("log_p"),
                                         F.lit(None).cast("double").alias("log_backoff")))
-        parts.append(sums.select(F.lit(k - 1).alias("k"), F.col("context").alias("code"),
+        parts.append(sums.select(*by, F.lit(k - 1).alias("k"), F.col("context").alias("code"),
                                  F.lit(None).cast("double").alias("log_p"),
                                  F.log(F.col("freed") / F.col("total")).alias("log_backoff")))
     union = parts[0]
     for part in parts[1:]:
         union = union.union(part)
-    return stored(union.groupBy("k", "code").agg(F.max("log_p").alias("log_p"),
-                                                 F.max("log_backoff").alias("log_backoff")), "kn-model")
+    return stored(union.groupBy(*by, "k", "code").agg(F.max("log_p").alias("log_p"),
+                                                      F.max("log_backoff").alias("log_backoff")), "kn-model")
 
 
 class Table:
@@ -245,10 +257,12 @@ class Lookup:
     shards: int
     order: int
     size: int
+    shared: list[Broadcast] = field(default_factory=list)
 
     def close(self) -> None:
         """To be called when nothing will ask any more."""
-        self.low.destroy()
+        for sent in (self.low, *self.shared):
+            sent.destroy()
 
 
 def _pack(table: pa.Table | pa.RecordBatch) -> bytes:
@@ -265,62 +279,67 @@ def _unpack(body: pa.Scalar) -> pa.Table:
 def lookup_of(model: DataFrame, toxic: DataFrame | None = None, shard_rows: int = SHARD_ROWS,
               order: int = ORDER) -> Lookup:
     """The model in shards, with marks where ``toxic`` (a model of toxic text) is given."""
-    probability = model.where("log_p is not null")
-    backoff = model.where("log_backoff is not null")
+    return lookups_of(model.withColumn("model", F.lit(0)), [0], toxic, shard_rows, order)[0]
+
+
+def lookups_of(models: DataFrame, numbers: list[int], toxic: DataFrame | None = None, shard_rows: int = SHARD_ROWS,
+               order: int = ORDER) -> dict[int, Lookup]:
+    """By its number, each model of the column ``model`` in shards of its own; see ``lookup_of``."""
+    probability = models.where("log_p is not null")
+    backoff = models.where("log_backoff is not null")
 
     def rows(df, kind, value, context):
-        return df.select(F.lit(kind).cast("byte").alias("kind"), F.col("k").cast("byte").alias("k"), "code",
+        return df.select("model", F.lit(kind).cast("byte").alias("kind"), F.col("k").cast("byte").alias("k"), "code",
                          F.col(value).cast("float").alias("value"), context.bitwiseAND(0xFFFF).alias("pair"))
 
     # an n-gram's own row goes by its context, its row as a context of the next order by itself
     roles = rows(probability, PROBABILITY, "log_p", F.shiftright("code", 8)).union(
         rows(backoff, BACKOFF, "log_backoff", F.col("code")))
-    # contexts of no and of one byte know no pair; these rows are at most 131,842
+    # contexts of no and of one byte know no pair; these rows are at most 131,842 a model
     short = (F.col("k") <= 1) | ((F.col("k") == 2) & (F.col("kind") == PROBABILITY))
-    low = model.sparkSession.sparkContext.broadcast(roles.where(short).drop("pair").toArrow())
+    few = roles.where(short).drop("pair").toArrow()
+    low = {m: models.sparkSession.sparkContext.broadcast(few.filter(pc.equal(few.column("model"), m)).drop_columns("model"))
+           for m in numbers}
     roles = roles.where(~short)
     if toxic is not None:
-        roles = roles.union(rows(toxic.where((F.col("k") == order) & F.col("log_p").isNotNull()), TOXIC, "log_p",
+        marks = toxic.where((F.col("k") == order) & F.col("log_p").isNotNull())
+        roles = roles.union(rows(marks.withColumn("model", F.explode(F.array(*map(F.lit, numbers)))), TOXIC, "log_p",
                                  F.shiftright("code", 8)))
     roles = stored(roles, "kn-roles")
-    pairs = np.array([tuple(r) for r in roles.groupBy("pair").count().collect()],        # at most 65,536 rows
-                     dtype=np.int64).reshape(-1, 2)
-    shards = max(1, -(-int(pairs[:, 1].sum()) // shard_rows))
-    packed = (roles.select((F.col("pair") % shards).cast("int").alias("shard"), "kind", "k", "code", "value")
-              .repartition("shard").sortWithinPartitions("shard")
-              .mapInArrow(_packing(low, order), "shard int, body binary"))
-    return Lookup(stored(packed, "kn-shards"), low, shards, order, int(pairs[:, 1].sum()))
-
-
-def _shard(context: np.ndarray, shards: int) -> np.ndarray:
-    return (context & 0xFFFF) % shards
-
-
-def _packing(low: Broadcast, order: int):
-    def packed(shard: int, held: list) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held).drop_columns("shard")
+    size = dict.fromkeys(numbers, 0) | {m: n for m, n in roles.groupBy("model").count().collect()}
+    shards = {m: max(1, -(-size[m] // shard_rows)) for m in numbers}
+    of = F.create_map(*(F.lit(x) for item in shards.items() for x in item))[F.col("model")]
+    packed = stored(roles.select("model", (F.col("pair") % of).cast("int").alias("shard"), "kind", "k", "code", "value")
+                    .repartition("model", "shard").sortWithinPartitions("model", "shard")
+                    .mapInArrow(_packing(low, order), "model int, shard int, body binary"), "kn-shards")
+    return {m: Lookup(packed.where(F.col("model") == m).drop("model"), low[m], shards[m], order, size[m]) for m in numbers}
+
+
+def _packing(low: dict[int, Broadcast], order: int):
+    def packed(model: int, shard: int, held: list) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).drop_columns(["model", "shard"])
         is_toxic = pc.equal(rows.column("kind"), TOXIC)
         known, toxic = rows.filter(pc.invert(is_toxic)), rows.filter(is_toxic)
-        ratio = toxic.column("value").to_numpy() - Table(low.value, known).log_p(toxic.column("code").to_numpy(), order)
+        ratio = toxic.column("value").to_numpy() - Table(low[model].value, known).log_p(toxic.column("code").to_numpy(), order)
         marks = toxic.set_column(3, "value", pa.array((ratio - MARK).astype(np.float32))).filter(pa.array(ratio > MARK))
         body = _pack(pa.concat_tables([known, marks.cast(known.schema)]).combine_chunks())
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([body], pa.binary())],
-                                          names=["shard", "body"])
+        return pa.RecordBatch.from_arrays([pa.array([model], pa.int32()), pa.array([shard], pa.int32()),
+                                           pa.array([body], pa.binary())], names=["model", "shard", "body"])
 
     def run(batches):
         now, held = None, []
         for batch in batches:
-            shard = batch.column("shard").to_numpy()
-            edge = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(shard)].tolist()
+            model, shard = (batch.column(c).to_numpy() for c in ("model", "shard"))
+            edge = np.r_[0, np.flatnonzero((np.diff(model) != 0) | (np.diff(shard) != 0)) + 1, len(shard)].tolist()
             for a, b in zip(edge[:-1], edge[1:]):
                 if b > a:
-                    if held and shard[a] != now:
-                        yield packed(now, held)
+                    if held and (model[a], shard[a]) != now:
+                        yield packed(*now, held)
                         held = []
-                    now = int(shard[a])
+                    now = int(model[a]), int(shard[a])
                     held.append(batch.slice(a, b - a))
         if held:
-            yield packed(now, held)
+            yield packed(*now, held)
     return run
 
 
@@ -399,6 +418,7 @@ def score(docs: DataFrame, lookup: Lookup, text_col: str = "text", columns: list
         packed = lookup.rows.toArrow()          # at most ``broadcast_rows`` rows of 13 bytes
         shared = docs.sparkSession.sparkContext.broadcast(dict(zip(packed.column("shard").to_pylist(),
                                                                    packed.column("body").to_pylist())))
+        lookup.shared.append(shared)
         return docs.mapInArrow(_answered(shared, lookup.low, text_col, kept.columns, lookup.shards, lookup.order), schema)
     blocks = stored(docs.mapInArrow(_asking(text_col, lookup.shards, lookup.order), BLOCKS), "kn-blocks")
     asked = blocks.where("shard >= 0")
@@ -492,24 +512,30 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, column
 
     trusted = texts(False)
     halves = [trusted.where(F.pmod(F.xxhash64("text"), F.lit(2)) == h) for h in (0, 1)]
-    counts = [stored(ngrams(h.select("text")), "kn-counts") for h in halves]
-    counts.append(stored(counts[0].union(counts[1]).groupBy("code").agg(F.sum("n").alias("n")), "kn-counts"))
-    counts.append(stored(ngrams(texts(True).select("text")), "kn-counts"))
-    # independent chains of short jobs, submitted side by side
-    with ThreadPoolExecutor(len(counts)) as pool:
-        *half_models, model, toxic_model = pool.map(fit, counts)
+    toxic = texts(True)
+    half_models, whole, toxic_model = (0, 1), 2, 3
+
+    def numbered(df: DataFrame, number: int) -> DataFrame:
+        return df.select(F.lit(number).alias("model"), "code", "n")
+
+    counts = numbered(ngrams(halves[0].select("text")), half_models[0])
+    for number, some in ((half_models[1], halves[1]), (toxic_model, toxic)):
+        counts = counts.union(numbered(ngrams(some.select("text")), number))
+    counts = stored(counts, "kn-counts")
+    both = counts.where(F.col("model").isin(*half_models)).groupBy("code").agg(F.sum("n").alias("n"))
+    models = fit(counts.union(stored(numbered(both, whole), "kn-counts")), by="model")
+    lookups = lookups_of(models.where(F.col("model") != toxic_model), [*half_models, whole],
+                         models.where(F.col("model") == toxic_model).drop("model"))
 
     spread = SPREAD / F.sqrt(F.greatest(F.col("__n_bytes"), F.lit(1)))
     root = F.sqrt(F.col("__n_bytes"))
-    scores = []
-    for half, other in zip(halves, reversed(half_models)):
-        lookup = lookup_of(other, toxic_model)
-        scores.append(stored(score(half, lookup, columns=["lang"]).where("__n_bytes > 0").select(
-            "lang", (_log_perplexity() - spread).alias("x"), (F.col("__evidence") / root).alias("e")),
-            "kn-trusted-scores"))
-        lookup.close()                          # the scores are written, nothing asks any more
-    levels = scores[0].union(scores[1])
-    lookup = lookup_of(model, toxic_model)
+    scores = [score(half, lookups[other], columns=["lang"]).where("__n_bytes > 0").select(
+        "lang", (_log_perplexity() - spread).alias("x"), (F.col("__evidence") / root).alias("e"))
+        for half, other in zip(halves, reversed(half_models))]
+    levels = stored(scores[0].union(scores[1]), "kn-trusted-scores")
+    for number in half_models:
+        lookups[number].close()                 # the scores are written, nothing asks any more
+    lookup = lookups[whole]
     level, rate = (F.percentile_approx(c, F.lit(quantile), F.lit(10_000)) for c in ("x", "e"))
     # no longer than the languages, and one row
     by_lang = stored(levels.where("lang is not null").groupBy(F.col("lang").cast("string").alias("__lang"))

@@ -545,6 +545,36 @@ def test_kneser_ney_is_exact(spark, docs, shard_rows):
         assert abs(r["__log_prob"] - brute_log_p([x.encode() for x in train], (t or "").encode(), 3)) < 1e-4
 
 
+@pytest.mark.parametrize("shard_rows", [10 ** 6, 40])
+def test_kneser_ney_fits_models_together(spark, shard_rows):
+    texts = {0: ["the cat sat on the mat", "a cat and a dog"], 1: ["the dog sat on the log"], 4: ["zebra", "là été", "a"]}
+    counts = [kneser_ney.ngrams(spark.createDataFrame([(t,) for t in ts], "text string"), 3).select(
+        F.lit(m).alias("model"), "code", "n") for m, ts in texts.items()]
+    models = kneser_ney.fit(stored(counts[0].union(counts[1]).union(counts[2]), "t-counts"), 3, "model")
+    lookups = kneser_ney.lookups_of(models, [*texts, 7], None, shard_rows, 3)
+    seen = ["the cat", "a log", "zebra", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(seen)], "i int, text string")
+    for m, lookup in lookups.items():
+        assert (lookup.shards > 1) == (shard_rows < 1000 and m in texts)
+        for most in (0, 10 ** 6):
+            for r in kneser_ney.score(df, lookup, broadcast_rows=most).collect():
+                text = seen[r["i"]].encode()
+                want = brute_log_p([t.encode() for t in texts[m]], text, 3) if m in texts else -len(text) * np.log(256)
+                assert abs(r["__log_prob"] - want) < 1e-4
+
+
+def test_classifier_takes_its_models_in_the_same_steps(spark, monkeypatch):
+    """The driver keeps plans and threads for every table that is written, so four models must not write four times as many."""
+    names = []
+    write = kneser_ney.stored
+    monkeypatch.setattr(kneser_ney, "stored", lambda df, name: names.append(name) or write(df, name))
+    df = spark.createDataFrame([(i, f"the cat {i} sat on the mat", "en") for i in range(20)],
+                               "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, int(i > 8)) for i in range(12)], "doc_id long, quality int, toxic int")
+    assert kneser_ney.classify(df, labels).count() == 20
+    assert names.count("kn-model") == names.count("kn-shards") == 1 and len(names) < 30
+
+
 def test_classifier(spark, docs, no_docs):
     rng = random.Random(2)
     good = [(i, " ".join(rng.choice(WORDS) for _ in range(80)), "en") for i in range(120)]
