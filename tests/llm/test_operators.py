@@ -545,7 +545,7 @@ def test_kneser_ney_is_exact(spark, docs, shard_rows):
         assert abs(r["__log_prob"] - brute_log_p([x.encode() for x in train], (t or "").encode(), 3)) < 1e-4
 
 
-@pytest.mark.parametrize("shard_rows", [10 ** 6, 40])
+@pytest.mark.parametrize("shard_rows", [10 ** 6, 10])
 def test_kneser_ney_fits_models_together(spark, shard_rows):
     texts = {0: ["the cat sat on the mat", "a cat and a dog"], 1: ["the dog sat on the log"], 4: ["zebra", "là été", "a"]}
     counts = [kneser_ney.ngrams(spark.createDataFrame([(t,) for t in ts], "text string"), 3).select(
