@@ -204,3 +204,26 @@ def test_landing_load_reads_its_source_for_the_landing_only(spark, monkeypatch):
     monkeypatch.setattr(catalog.wf, "run_incremental", lambda *a, months, **k: spark.createDataFrame([(str(months),)], "m string"))
     catalog._landing_load(spark, SF_SMALL)
     assert len(reads) == 2                                      # the records and the broken lines
+
+
+def test_skipped_report_of_a_query_moves_no_whole_rows(spark, tmp_dir):
+    batch = _tied_batch(spark)
+    held = batch.filter("invoice_line_no in ('HOT', 'K1', 'K7')")
+    held = held.unionByName(held.limit(1)).unionByName(batch.filter("invoice_line_no is null"))
+    for target in (held, held.limit(0)):
+        got, expected = skipped_rows(batch, target, scratch=f"{tmp_dir}/s{target.count()}"), skipped_rows(batch, target)
+        assert got.schema.simpleString() == expected.schema.simpleString() and got.count() == expected.count()
+        assert got.exceptAll(expected).isEmpty()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = [b for b in plan(skipped_rows(batch, held, scratch=f"{tmp_dir}/p")).split("\n\n") if "hashpartitioning" in b]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert moved and all("hashpartitioning(_row" in b for b in moved), moved
+
+
+def test_skipped_duplicates_cleans_once(spark, monkeypatch):
+    seen = _evaluations(monkeypatch)
+    catalog.q_skipped_duplicates(spark, SF_SMALL)
+    assert len(seen) == 1
