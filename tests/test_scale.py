@@ -9,6 +9,7 @@ from salesmart import demo
 from salesmart.operators.load import (first_per_key, first_per_key_staged, load_layers, mark_batch, skipped_marked,
                                       skipped_rows)
 from salesmart.operators.profile import drop_full_duplicates, duplicate_stats
+from salesmart.operators.clean import clean_sales
 from salesmart.operators import load, quality
 from salesmart.operators.quality import create_layers
 from salesmart.operators.staged import stage
@@ -227,3 +228,49 @@ def test_skipped_duplicates_cleans_once(spark, monkeypatch):
     seen = _evaluations(monkeypatch)
     catalog.q_skipped_duplicates(spark, SF_SMALL)
     assert len(seen) == 1
+
+
+def _largest_method(spark, df):
+    """Bytes of code of the largest method that Spark generates for the plan."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        physical = df.select("*")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    found = debug.codegenStringSeq(physical)
+    return max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.size()))
+
+
+def test_records_are_typed_in_methods_that_are_compiled(spark, tmp_dir):
+    from salesmart.plans.workflow import staged_records
+    from salesmart.sources.raw import read_landing
+    spark.createDataFrame([("{}",)], "value string").write.text(f"{tmp_dir}/landing")
+    landing = read_landing(spark, f"{tmp_dir}/landing")
+    months = [(2024, m) for m in range(1, 13, 2)]
+    for df in (staged_records(landing, months), clean_sales(landing)):
+        assert 0 < _largest_method(spark, df) < 8000         # above, HotSpot interprets it
+
+
+def test_numbers_are_parsed_in_due_months_only(spark, tmp_dir):
+    from salesmart.plans.workflow import staged_records
+    from salesmart.sources.raw import read_landing
+    spark.createDataFrame([("{}",)], "value string").write.text(f"{tmp_dir}/landing")
+    landing = read_landing(spark, f"{tmp_dir}/landing")
+    staged = staged_records(landing, [(2024, 1)])
+    found = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count("RLIKE") == 9
+    # from the scan up: the date, the filter by month, the numbers
+    assert found.rindex("RLIKE") < found.index("2024-02-01") < found.index("inline(array(struct(_parsed_date")
+
+
+def test_marks_are_read_from_arrays(spark, tmp_dir):
+    from salesmart.operators.staged import marked, row_bits
+    staged = stage(spark.range(100_000, numPartitions=3).withColumn("k", F.xxhash64("id")), f"{tmp_dir}/rows")
+    ids = staged.filter("k % 3 = 0")
+    flags = {"third": F.lit(True), "sixth": F.col("k") % 2 == 0, "none": F.lit(False)}
+    got = marked(staged, row_bits(ids, flags, f"{tmp_dir}/bits"))
+    wrong = "third <> (k % 3 = 0) or sixth <> (k % 6 = 0) or none"
+    assert got.count() == 100_000 and got.filter(wrong).isEmpty() and not got.filter("third").isEmpty()
+    assert "conv(" not in plan(got)                 # no text is made of each row's byte
